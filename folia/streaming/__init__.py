@@ -1,0 +1,3 @@
+from folia.streaming.change_stream import current_version, start_change_stream
+
+__all__ = ["current_version", "start_change_stream"]

@@ -1,0 +1,72 @@
+"""Changes applied as they arrive: each micro-batch gives a new catalog version.
+
+A store is a folder with `books`, `inventory`, `outcomes` and `marks`, each
+with one subfolder per version. Version 0 is the starting state. A batch reads
+the version before it and writes its own, which a repeated batch overwrites
+with the same content, so changes take effect exactly once.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from folia.operators.changes import INSERTED, apply_changes
+
+LOG_SCHEMA = "seq long, op string, key long, body string"
+
+
+def _path(store: str, table: str, version: int) -> str:
+    return f"{store.rstrip('/')}/{table}/v={version}"
+
+
+def create_store(books: DataFrame, inventory: DataFrame, high_water: int, store: str) -> None:
+    """Writes version 0."""
+    spark = books.sparkSession
+    books.write.parquet(_path(store, "books", 0))
+    inventory.write.parquet(_path(store, "inventory", 0))
+    spark.createDataFrame([(high_water,)], "high_water long").write.parquet(_path(store, "marks", 0))
+
+
+def read_version(spark: SparkSession, store: str, table: str, version: int) -> DataFrame:
+    return spark.read.parquet(_path(store, table, version))
+
+
+def current_version(spark: SparkSession, store: str) -> int:
+    """The newest complete version; its mark is written last."""
+    marks = spark.read.option("basePath", f"{store}/marks").parquet(f"{store}/marks")
+    return marks.agg(F.max("v")).first()[0]
+
+
+def apply_batch(log: DataFrame, batch_id: int, store: str) -> None:
+    """Applies one batch of the log to version `batch_id`, giving the next one."""
+    spark = log.sparkSession
+    old, new = batch_id, batch_id + 1
+    high_water = read_version(spark, store, "marks", old).first()["high_water"]
+    result = apply_changes(
+        read_version(spark, store, "books", old),
+        read_version(spark, store, "inventory", old),
+        log,
+        high_water,
+        keep=True,
+    )
+    for table in ("books", "inventory", "outcomes"):
+        getattr(result, table).write.mode("overwrite").parquet(_path(store, table, new))
+    given = read_version(spark, store, "outcomes", new).filter(F.col("outcome") == INSERTED).count()
+    marks = spark.createDataFrame([(high_water + given,)], "high_water long")
+    marks.write.mode("overwrite").parquet(_path(store, "marks", new))
+
+
+def start_change_stream(spark: SparkSession, log_path: str, store: str, checkpoint: str) -> StreamingQuery:
+    """Starts a query that applies the JSON change logs found in a folder, then stops.
+
+    `seq` has to rise from file to file, as later batches see earlier effects.
+    """
+    log = spark.readStream.schema(LOG_SCHEMA).json(log_path)
+    return (
+        log.writeStream.foreachBatch(lambda batch, batch_id: apply_batch(batch, batch_id, store))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
