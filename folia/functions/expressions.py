@@ -71,13 +71,14 @@ def row_to_json(*columns: Column | str, keep_nulls: bool = False) -> Column:
 
 
 def json_fields(body: Column | str, names: Sequence[str]) -> Column:
-    """The named top-level fields of a JSON object as a struct of strings.
+    """The named top-level fields of a JSON object, as one text column each.
 
     Other fields are ignored, an absent field is NULL, and numbers keep the
     text they were written with. A body that is no JSON object gives NULLs.
+    This is a generator, to be used in `select`: the body is parsed once per
+    row, and filters on the fields do not repeat the parsing.
     """
-    schema = ", ".join(f"`{n}` string" for n in names)
-    return F.from_json(_col(body), schema)
+    return F.json_tuple(_col(body), *names).alias(*names)
 
 
 def has_field(body: Column | str, name: str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folia.functions import first_present, full_name, row_to_json
-from folia.operators.spread import HOT_ROWS, fan_out_join, lookup_join
+from folia.operators.spread import HOT_ROWS, fan_out_join, hot_keys, lookup_join
 
 # The columns of a book in a listing.
 BOOK_COLUMNS = ["book_id", "title", "isbn", "published_year", "price", "publisher_id"]
@@ -34,12 +34,12 @@ def catalog_listing(
         authors.select("author_id", full_name("first_name", "last_name").alias("author")),
         ["author_id"],
         "left",
-        hot_rows,
+        hot_keys(book_author, ["author_id"], hot_rows),
     )
     credits = named.groupBy("book_id", "author").agg(F.count(F.lit(1)).alias("_m"))
     stock = inventory.groupBy("book_id").agg(F.sum("quantity").alias("_q"))
     stocked = books.select(*BOOK_COLUMNS).join(stock, "book_id", "left")
-    credited = fan_out_join(stocked, credits, ["book_id"], hot_rows)
+    credited = fan_out_join(stocked, credits, ["book_id"], hot_keys(book_author, ["book_id"], hot_rows))
     total = F.col("_q") * first_present("_m", F.lit(1))
     return credited.select(
         *BOOK_COLUMNS, "author", first_present(total, F.lit(0).cast("long")).alias("inventory")

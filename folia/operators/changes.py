@@ -12,13 +12,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folia.functions import has_field, json_fields, truthy_number, truthy_text
 from folia.operators.catalog import BOOK_COLUMNS
-from folia.operators.spread import HOT_ROWS, lookup_join, running_start
+from folia.operators.spread import HOT_ROWS, hot_keys, lookup_join, running_start
 from folia.session import durable
 
 # Operations, outcomes, and the fields an update may set.
@@ -28,8 +28,8 @@ UPDATABLE_FIELDS = ["quantity"]
 REQUIRED_FIELDS = ["title", "isbn", "published_year", "price"]
 OPTIONAL_FIELDS = ["publisher_id"]
 
-# Rows of the log that one task numbers at a time.
-SEQ_WIDTH = 1 << 20
+# A task numbers the inserts of 2^20 consecutive `seq` at a time.
+BLOCK_BITS = 20
 
 
 @dataclass(frozen=True)
@@ -48,8 +48,8 @@ def read_inserts(log: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
     quotes counts as that number; a text that is no number is not valid.
     """
     names = REQUIRED_FIELDS + OPTIONAL_FIELDS
-    raw = log.filter(F.col("op") == INSERT).select("seq", json_fields("body", names).alias("_f"))
-    typed = raw.select("seq", *[F.col(f"_f.{n}").try_cast(types[n]).alias(n) for n in names])
+    raw = log.filter(F.col("op") == INSERT).select("seq", json_fields("body", names))
+    typed = raw.select("seq", *[F.col(n).try_cast(types[n]).alias(n) for n in names])
     tests = [
         truthy_text(n) if isinstance(types[n], T.StringType) else truthy_number(n) for n in REQUIRED_FIELDS
     ]
@@ -59,36 +59,41 @@ def read_inserts(log: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
     return typed.withColumn("valid", valid)
 
 
-def number_inserts(valid: DataFrame, high_water: int, width: int = SEQ_WIDTH) -> DataFrame:
+def number_inserts(valid: DataFrame, high_water: int, block_bits: int = BLOCK_BITS) -> DataFrame:
     """Adds `book_id`: ids above `high_water`, rising with `seq`, without gaps.
 
     Ids are not reused, so pass the highest id ever given, not the highest left.
     """
-    bucketed = valid.withColumn("_block", F.floor(F.col("seq") / width))
+    bucketed = valid.withColumn("_block", F.shiftright("seq", block_bits))
     placed = running_start(bucketed, [], "_block", ["seq"], F.lit(1), "_place")
     return placed.withColumn("book_id", F.col("_place") + F.lit(high_water + 1)).drop("_block", "_place")
 
 
-def read_updates(body: Column, quantity_type: T.DataType) -> tuple[Column, Column]:
-    """Whether an update sets an updatable field, and the value.
+def read_updates(log: DataFrame, quantity_type: T.DataType) -> DataFrame:
+    """Updates and deletes with `_value`, and `_valid` where an updatable field is set.
 
     Fields outside the whitelist are ignored. A present null is a valid value;
     text that does not fit the column is not.
     """
     field = UPDATABLE_FIELDS[0]
-    raw = json_fields(body, UPDATABLE_FIELDS)[field]
-    value = raw.try_cast(quantity_type)
-    return has_field(body, field) & (raw.isNull() | value.isNotNull()), value
+    keyed = log.filter(F.col("op").isin(UPDATE, DELETE))
+    raw = keyed.select("seq", "op", "key", "body", json_fields("body", [field]))
+    value = F.col(field).try_cast(quantity_type)
+    # Only without a value does it matter whether the field is there at all.
+    valid = F.when(F.col(field).isNull(), has_field("body", field)).otherwise(value.isNotNull())
+    return raw.select("seq", "op", "key", valid.alias("_valid"), value.alias("_value"))
 
 
 def existing(log: DataFrame, books: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Changes whose key is a book."""
-    return lookup_join(log, books.select(F.col("book_id").alias("key")), ["key"], "left_semi", hot_rows)
+    keys = books.select(F.col("book_id").alias("key"))
+    return lookup_join(log, keys, ["key"], "left_semi", hot_keys(log, ["key"], hot_rows))
 
 
 def missing(log: DataFrame, books: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Changes whose key is no book."""
-    return lookup_join(log, books.select(F.col("book_id").alias("key")), ["key"], "left_anti", hot_rows)
+    keys = books.select(F.col("book_id").alias("key"))
+    return lookup_join(log, keys, ["key"], "left_anti", hot_keys(log, ["key"], hot_rows))
 
 
 def delete_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
@@ -103,14 +108,14 @@ def apply_changes(
     high_water: int,
     *,
     hot_rows: int = HOT_ROWS,
-    keep: bool = False,
+    keep: bool = True,
 ) -> Changed:
     """Applies the log and returns new tables and outcomes; inputs stay as they are.
 
     An update sets `quantity` on all inventory rows of its book and counts as
-    applied when there is none. A delete removes the book only. With `keep`
-    the decided log is checkpointed once for all three results; use it when
-    more than one of them is written.
+    applied when there is none. A delete removes the book only. The numbered
+    inserts and the decided changes are checkpointed, as all three results
+    need them; without `keep` they are worked out anew for each result.
     """
     types = {f.name: f.dataType for f in books.schema}
     quantity_type = inventory.schema["quantity"].dataType
@@ -127,10 +132,10 @@ def apply_changes(
         inserted.select(F.col("book_id").alias("key"), F.col("seq").cast("long").alias("_born"))
     )
     born = born.withColumn("_known", F.lit(True))
-    keyed = log.filter(F.col("op").isin(UPDATE, DELETE)).withColumn("key", F.col("key").cast(id_type))
-    valid, value = read_updates(F.col("body"), quantity_type)
-    keyed = keyed.select("seq", "op", "key", valid.alias("_valid"), value.alias("_value"))
-    seen = lookup_join(keyed, born, ["key"], "left", hot_rows)
+    log = log.withColumn("key", F.col("key").cast(id_type))
+    hot = hot_keys(log, ["key"], hot_rows)
+    keyed = read_updates(log, quantity_type)
+    seen = lookup_join(keyed, born, ["key"], "left", hot)
     was_there = F.col("_known") & (F.col("_born").isNull() | (F.col("_born") < F.col("seq")))
     seen = seen.withColumn("_there", F.coalesce(was_there, F.lit(False))).drop("_known", "_born")
 
@@ -138,7 +143,7 @@ def apply_changes(
     died = (
         seen.filter((F.col("op") == DELETE) & F.col("_there")).groupBy("key").agg(F.min("seq").alias("_died"))
     )
-    decided = lookup_join(seen, died, ["key"], "left", hot_rows)
+    decided = lookup_join(seen, died, ["key"], "left", hot)
     found = F.col("_there") & (F.col("_died").isNull() | (F.col("seq") <= F.col("_died")))
     outcome = (
         F.when(~found, NOT_FOUND)
@@ -160,7 +165,8 @@ def apply_changes(
         .agg(F.max_by("_value", "seq").alias("_value"))
         .withColumn("_hit", F.lit(True))
     )
-    updated = lookup_join(inventory, latest, ["book_id"], "left", hot_rows)
+    hot_stock = hot_keys(inventory, ["book_id"], hot_rows)
+    updated = lookup_join(inventory, latest, ["book_id"], "left", hot_stock)
     quantity = F.when(F.col("_hit"), F.col("_value")).otherwise(F.col("quantity")).alias("quantity")
     new_inventory = updated.select(*[quantity if c == "quantity" else c for c in inventory.columns])
 
@@ -177,7 +183,7 @@ def apply_changes(
     )
     known_ops = F.coalesce(F.col("op").isin(INSERT, UPDATE, DELETE), F.lit(False))
     unknown = log.filter(~known_ops).select(
-        "seq", "op", F.col("key").cast(id_type).alias("key"), F.lit(INVALID).alias("outcome"), no_key.alias("new_id")
+        "seq", "op", "key", F.lit(INVALID).alias("outcome"), no_key.alias("new_id")
     )
     outcomes = (
         decided.select("seq", "op", "key", "outcome", no_key.alias("new_id"))

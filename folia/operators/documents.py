@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folia.functions import document_id
-from folia.operators.spread import HOT_ROWS, key_counts, lookup_join, number_parts
+from folia.operators.spread import HOT_ROWS, hot_keys, key_counts, lookup_join, number_parts
 
 PART_SIZE = 100_000
 
@@ -42,12 +42,14 @@ def pack(
     scalar: bool = False,
     total: str | None = None,
     part_size: int = PART_SIZE,
+    source: DataFrame | None = None,
 ) -> Pack:
     """Gathers children into one sorted array per key, hot keys into several.
 
     `fields` defaults to the whole child row, keys included. With `scalar` the
     single field is kept bare instead of as an object; NULL items stay. `total`
-    names a column for the number of children over all parts.
+    names a column for the number of children over all parts. `source` is the
+    table the children come from, if they are derived; see `number_parts`.
     """
     keys = list(keys)
     fields = list(fields or children.columns)
@@ -59,7 +61,9 @@ def pack(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.struct(*fields).alias("_c")
     )
     inner = [f"_k{i}" for i in range(len(keys))]
-    parted, hot = number_parts(slim, inner, part_size)
+    if source is not None:
+        source = source.select(*[F.col(k).alias(i) for k, i in zip(keys, inner)])
+    parted, hot = number_parts(slim, inner, part_size, source)
     group = inner if hot is None else [*inner, "part"]
     # Objects, not bare values, are collected: collect_list drops NULL values.
     items = F.sort_array(F.collect_list(item))
@@ -139,12 +143,13 @@ def distinct_children(
 ) -> DataFrame:
     """Distinct dimension fields per parent, reached through a bridge table.
 
-    Bridge rows without a dimension row vanish. Repeated bridge rows are
-    dropped before the join, so they are neither shuffled nor joined twice.
+    The dimension is unique by `dim_keys`. Bridge rows without a dimension row
+    vanish. Repeated bridge rows are dropped before the join, so they are
+    neither shuffled nor joined twice.
     """
     pairs = bridge.select(*parent_keys, *dim_keys).distinct()
     wanted = dim.select(*dim_keys, *[f for f in fields if f not in dim_keys])
-    joined = lookup_join(pairs, wanted, dim_keys, "inner", hot_rows)
+    joined = lookup_join(pairs, wanted, dim_keys, "inner", hot_keys(bridge, dim_keys, hot_rows))
     return joined.select(*parent_keys, *fields).distinct()
 
 
@@ -161,7 +166,7 @@ def pack_distinct(
 ) -> Pack:
     """Distinct dimension fields per parent, as an array."""
     children = distinct_children(bridge, dim, parent_keys, dim_keys, fields)
-    return pack(children, parent_keys, name, fields, scalar=scalar, part_size=part_size)
+    return pack(children, parent_keys, name, fields, scalar=scalar, part_size=part_size, source=bridge)
 
 
 def embed_all_when_present(
@@ -210,13 +215,15 @@ def embed_one(
     """The matching lookup row as an object; NULL when there is none.
 
     Should the lookup hold a key twice, the lowest row by `fields` is taken.
+    Embed lookups and links before arrays, while the parents are still a plain
+    table: their keys are counted first.
     """
     found = (
         lookup.filter(F.col(lookup_key).isNotNull())
         .groupBy(F.col(lookup_key).alias(parent_key))
         .agg(F.min(F.struct(*fields)).alias(name))
     )
-    joined = lookup_join(parents, found, [parent_key], "left", hot_rows)
+    joined = lookup_join(parents, found, [parent_key], "left", hot_keys(parents, [parent_key], hot_rows))
     return joined.select(*parents.columns, name)
 
 
@@ -246,7 +253,7 @@ def link(
         .distinct()
         .withColumn(marker, F.lit(True))
     )
-    joined = lookup_join(parents, known, [parent_key], "left", hot_rows)
+    joined = lookup_join(parents, known, [parent_key], "left", hot_keys(parents, [parent_key], hot_rows))
     return joined.withColumn(name, F.when(F.col(marker), document_id(collection, parent_key))).select(
         *parents.columns, name
     )

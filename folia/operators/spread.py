@@ -1,8 +1,10 @@
 """Joins and numberings that hold when one key has a large share of all rows.
 
-Each helper first counts rows per key. The count is a column-pruned aggregate
-with map-side combine, so a hot key costs one row per map task. When no key is
-hot, which is the usual case, the plain Spark operation is used unchanged.
+Rows per key are counted first, on the table as read and not on anything
+derived from it. The count is a column-pruned aggregate with map-side combine,
+so a hot key costs one row per map task, and it is skipped when the whole table
+has fewer rows than a hot key would. When no key is hot, which is the usual
+case, the plain Spark operation is used unchanged.
 """
 
 from __future__ import annotations
@@ -32,9 +34,10 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     The result is safe to broadcast: should more than MAX_HOT_KEYS qualify,
     the threshold is doubled until they fit.
     """
-    counts = key_counts(df, keys)
+    if df.count() <= hot_rows:
+        return None
     threshold = hot_rows
-    found = counts.filter(F.col("_n") > threshold)
+    found = key_counts(df, keys).filter(F.col("_n") > threshold)
     size = found.count()
     if size == 0:
         return None
@@ -51,17 +54,17 @@ def lookup_join(
     lookup: DataFrame,
     keys: Sequence[str],
     how: str = "left",
-    hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join to a lookup that is unique by `keys` (inner, left, left_semi, left_anti).
 
-    Whether a small lookup is broadcast is left to Spark, which checks its
-    size. For a large one, rows of hot keys stay where they are and meet a
-    broadcast of only the hot lookup rows, at most one per hot key; all other
-    rows are shuffled. Both halves together are the whole join.
+    `hot` are the keys, found by `hot_keys`, that many left rows have. Whether
+    a small lookup is broadcast is left to Spark, which checks its size. For a
+    large one, rows of hot keys stay where they are and meet a broadcast of
+    only the hot lookup rows, at most one per hot key; all other rows are
+    shuffled. Both halves together are the whole join.
     """
     keys = list(keys)
-    hot = hot_keys(left, keys, hot_rows)
     if hot is None:
         return left.join(lookup, keys, how)
     hot_side = left.join(F.broadcast(hot), keys, "left_semi")
@@ -73,7 +76,7 @@ def lookup_join(
 
 
 def fan_out_join(
-    parents: DataFrame, children: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+    parents: DataFrame, children: DataFrame, keys: Sequence[str], hot: DataFrame | None = None
 ) -> DataFrame:
     """Left join from parents, unique by `keys`, to any number of children.
 
@@ -81,9 +84,9 @@ def fan_out_join(
     children look up their parent, and childless parents are added.
     """
     keys = list(keys)
-    if hot_keys(children, keys, hot_rows) is None:
+    if hot is None:
         return parents.join(children, keys, "left")
-    matched = lookup_join(children, parents, keys, "inner", hot_rows)
+    matched = lookup_join(children, parents, keys, "inner", hot)
     childless = parents.join(key_counts(children, keys).select(*keys), keys, "left_anti")
     return matched.unionByName(childless, allowMissingColumns=True)
 
@@ -121,6 +124,7 @@ def number_parts(
     children: DataFrame,
     keys: Sequence[str],
     part_size: int,
+    source: DataFrame | None = None,
     max_hot_keys: int = MAX_HOT_KEYS,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Splits the children of each key into parts of at most `part_size` rows.
@@ -132,9 +136,17 @@ def number_parts(
     Only rows of keys over the limit are numbered. Equal rows are counted into
     one first, so a heap of copies never meets in one task; rows then take
     consecutive places in hash order and the place gives the part.
+
+    `source` is the table, with the same keys, that the children were derived
+    from without gaining rows; if it has no key over the limit, the children
+    have none either and are not counted themselves.
     """
     keys = list(keys)
     values = [c for c in children.columns if c not in keys]
+    if source is not None and hot_keys(source, keys, part_size) is None:
+        return children, None
+    if source is None and children.count() <= part_size:
+        return children, None
     counts = key_counts(children, keys).filter(F.col("_n") > part_size)
     size = counts.count()
     if size == 0:
@@ -152,8 +164,8 @@ def number_parts(
     bucketed = distinct.withColumn("_bucket", F.pmod(F.xxhash64(*values), slots) if values else F.lit(0))
     order = values or [F.lit(0)]
     placed = running_start(bucketed, keys, "_bucket", order, F.col("_copies"), "_start")
-    first = F.floor(F.col("_start") / part_size)
-    last = F.floor((F.col("_start") + F.col("_copies") - 1) / part_size)
+    first = F.expr(f"_start div {part_size}")
+    last = F.expr(f"(_start + _copies - 1) div {part_size}")
     parted = placed.withColumn("part", F.explode(F.sequence(first, last)))
     here = F.least(F.col("_start") + F.col("_copies"), (F.col("part") + 1) * part_size) - F.greatest(
         F.col("_start"), F.col("part") * part_size

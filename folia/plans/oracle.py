@@ -237,8 +237,8 @@ ORACLE: dict[str, str] = {
     "changes_with_book": f"WITH {_CHANGES} SELECT seq, key FROM log WHERE key IN (SELECT s_suppkey FROM supplier)",
     "changes_without_book": f"""WITH {_CHANGES} SELECT seq, key FROM log
         WHERE key IS NULL OR key NOT IN (SELECT s_suppkey FROM supplier)""",
-    "undeleted_books": f"""WITH {_CHANGES} SELECT s_suppkey AS book_id, s_name AS title FROM supplier
-        WHERE s_suppkey NOT IN (SELECT key FROM log WHERE op = 'delete')""",
+    "undeleted_customers": f"""WITH {_CHANGES} SELECT * FROM customer
+        WHERE c_custkey NOT IN (SELECT key FROM log WHERE op = 'delete')""",
     "inserts_checked": f"""WITH {_CHANGES}
         SELECT seq, CASE WHEN k = 0 THEN '' ELSE 'Book ' || CAST(seq AS VARCHAR) END AS title,
                CASE WHEN k <> 20 THEN CAST(seq AS VARCHAR) END AS isbn,

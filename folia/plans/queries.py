@@ -80,7 +80,7 @@ def orders_by_status(spark, sf_dir):
 @query
 def author_credit_counts(spark, sf_dir):
     _, book_author, authors, _ = catalog_tables(spark, sf_dir)
-    named = documents.lookup_join(book_author, authors, ["author_id"], "left")
+    named = book_author.join(authors, "author_id", "left")
     return catalog.value_counts(named, ["last_name"], "credits")
 
 
@@ -129,10 +129,10 @@ def customer_documents(spark, sf_dir):
         "nationkey", F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_nationkey"))
     )
     orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
-    docs = documents.embed_many(customers, orders, ["c_custkey"], "orders")
     docs = documents.embed_one(
-        docs, table(spark, sf_dir, "nation"), "nationkey", "n_nationkey", "nation", ["n_name", "n_regionkey"]
+        customers, table(spark, sf_dir, "nation"), "nationkey", "n_nationkey", "nation", ["n_name", "n_regionkey"]
     )
+    docs = documents.embed_many(docs, orders, ["c_custkey"], "orders")
     return docs.select(
         "c_custkey",
         F.size("orders").cast("long").alias("n_orders"),
@@ -222,11 +222,11 @@ def order_visit_documents(spark, sf_dir):
         documents.pack_distinct(lines, parts, ["orderkey"], ["partkey"], "items", ["p_brand", "p_size"]),
         documents.pack_distinct(lines, suppliers, ["orderkey"], ["suppkey"], "sellers", ["s_name", "s_nationkey"]),
     ]
-    docs = documents.attach(orders, packs)
+    docs = documents.link(orders, _known_customers(spark, sf_dir), "customers", "o_custkey", "c_custkey", "customer_ref")
     docs = documents.embed_all_when_present(
         docs, lines, table(spark, sf_dir, "region"), ["orderkey"], "regions", ["r_name"]
     )
-    docs = documents.link(docs, _known_customers(spark, sf_dir), "customers", "o_custkey", "c_custkey", "customer_ref")
+    docs = documents.attach(docs, packs)
     sizes = [F.size(c).cast("long").alias(f"n_{c}") for c in ("types", "items", "sellers", "regions")]
     return sanitize(docs).select("orderkey", *sizes, joined_text(F.col("types")).alias("types"), "customer_ref")
 
@@ -380,11 +380,11 @@ def changes_without_book(spark, sf_dir):
 
 
 @query
-def undeleted_books(spark, sf_dir):
-    """Suppliers without those that any delete names."""
-    books, _, log, _ = change_tables(spark, sf_dir)
-    named = log.filter(F.col("op") == changes.DELETE).select(F.col("key").alias("book_id")).distinct()
-    return changes.delete_keys(books, "book_id", named).select("book_id", "title")
+def undeleted_customers(spark, sf_dir):
+    """Customers without those that any delete names."""
+    _, _, log, _ = change_tables(spark, sf_dir)
+    named = log.filter(F.col("op") == changes.DELETE).select(F.col("key").alias("c_custkey")).distinct()
+    return changes.delete_keys(table(spark, sf_dir, "customer"), "c_custkey", named)
 
 
 @query
@@ -396,11 +396,11 @@ def inserts_checked(spark, sf_dir):
 @query
 def event_fields(spark, sf_dir):
     """A JSON body read by whitelist: the known field, an unknown one, and presence."""
-    fields = json_fields("props", ["k", "z"])
-    return table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events").select("event_id", "props", json_fields("props", ["k", "z"]))
+    return events.select(
         "event_id",
-        fields["k"].try_cast("int").alias("k"),
-        fields["z"].alias("z"),
+        F.col("k").try_cast("int").alias("k"),
+        "z",
         has_field("props", "k").alias("has_k"),
         has_field("props", "z").alias("has_z"),
     )
