@@ -1,0 +1,41 @@
+import json
+
+from folia.streaming import change_stream as S
+from tests.conftest import rows
+
+BOOK = {"title": "t", "isbn": "i", "published_year": 2001, "price": 2.5}
+
+
+def test_batches_build_on_each_other(spark, scratch):
+    store, logs = f"{scratch}/store", f"{scratch}/logs"
+    books = spark.createDataFrame(
+        [(1, "a", "i", 2000, 1.0, 1)], "book_id long, title string, isbn string, published_year int, price double, publisher_id int"
+    )
+    inventory = spark.createDataFrame([(1, 5)], "book_id long, quantity int")
+    S.create_store(books, inventory, 1, store)
+    assert S.current_version(spark, store) == 0
+
+    def send(changes):
+        df = spark.createDataFrame(
+            [(s, op, key, json.dumps(b)) for s, op, key, b in changes], "seq long, op string, key long, body string"
+        )
+        df.coalesce(1).write.mode("append").json(logs)
+        query = S.start_change_stream(spark, logs, store, f"{scratch}/checkpoint")
+        query.awaitTermination()
+
+    send([(1, "insert", None, BOOK), (2, "update", 1, {"quantity": 9}), (3, "delete", 2, {})])
+    assert S.current_version(spark, store) == 1
+    assert rows(S.read_version(spark, store, "inventory", 1)) == [(1, 9)]
+    assert rows(S.read_version(spark, store, "books", 1).select("book_id")) == [(1,)]
+
+    send([(4, "insert", None, BOOK), (5, "update", 2, {"quantity": 1})])
+    assert S.current_version(spark, store) == 2
+    # Id 2 was given and deleted in the first batch, so it is not given again.
+    assert rows(S.read_version(spark, store, "books", 2).select("book_id")) == [(1,), (3,)]
+    got = rows(S.read_version(spark, store, "outcomes", 2).select("seq", "outcome", "new_id"))
+    assert got == [(4, "inserted", 3), (5, "not_found", None)]
+
+    # A batch that is run again writes the same version.
+    log = spark.read.schema(S.LOG_SCHEMA).json(logs).filter("seq > 3")
+    S.apply_batch(log, 1, store)
+    assert rows(S.read_version(spark, store, "outcomes", 2).select("seq", "outcome", "new_id")) == got
