@@ -40,36 +40,39 @@ def pack(
     fields: Sequence[str] | None = None,
     *,
     scalar: bool = False,
+    distinct: bool = False,
     total: str | None = None,
     part_size: int = PART_SIZE,
-    source: DataFrame | None = None,
+    small: bool = False,
 ) -> Pack:
     """Gathers children into one sorted array per key, hot keys into several.
 
     `fields` defaults to the whole child row, keys included. With `scalar` the
-    single field is kept bare instead of as an object; NULL items stay. `total`
-    names a column for the number of children over all parts. `source` is the
-    table the children come from, if they are derived; see `number_parts`.
+    single field is kept bare instead of as an object; NULL items stay. With
+    `distinct` equal items are kept once. `total` names a column for the number
+    of children over all parts. `small` says that no key has more than
+    `part_size` children, which is counted otherwise.
     """
     keys = list(keys)
     fields = list(fields or children.columns)
     if scalar and len(fields) != 1:
         raise ValueError("a scalar array takes exactly one field")
-    item = F.struct(*[F.col(f"_c.{f}").alias(f) for f in fields])
     # Keys are kept apart from the fields, which may hold the keys once more.
-    slim = children.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.struct(*fields).alias("_c")
-    )
     inner = [f"_k{i}" for i in range(len(keys))]
-    if source is not None:
-        source = source.select(*[F.col(k).alias(i) for k, i in zip(keys, inner)])
-    parted, hot = number_parts(slim, inner, part_size, source)
+    slim = children.select(*[F.col(k).alias(i) for k, i in zip(keys, inner)], F.struct(*fields).alias("_c"))
+    slim = slim.na.drop(subset=inner)
+    if small:
+        hot = None
+    else:
+        slim, hot = number_parts(slim.distinct() if distinct else slim, inner, part_size)
     group = inner if hot is None else [*inner, "part"]
-    # Objects, not bare values, are collected: collect_list drops NULL values.
-    items = F.sort_array(F.collect_list(item))
+    # Objects, not bare values, are collected: collecting drops NULL values.
+    items = F.sort_array(F.collect_set("_c") if distinct else F.collect_list("_c"))
     if scalar:
         items = F.transform(items, lambda x: x[fields[0]])
-    rows = parted.na.drop(subset=inner).groupBy(*group).agg(items.alias(name))
+    # Arrays only grow when combined before a shuffle, so rows are shuffled
+    # bare; grouping and the join to the parents then stay in place.
+    rows = slim.repartition(*group).groupBy(*group).agg(items.alias(name))
     if total:
         count = F.size(name).cast("long")
         if hot is not None:
@@ -133,7 +136,7 @@ def embed_many(
     return attach(parents, [packed], part_size)
 
 
-def distinct_children(
+def bridged(
     bridge: DataFrame,
     dim: DataFrame,
     parent_keys: Sequence[str],
@@ -141,16 +144,27 @@ def distinct_children(
     fields: Sequence[str],
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Distinct dimension fields per parent, reached through a bridge table.
+    """Dimension fields per parent, reached through a bridge table.
 
     The dimension is unique by `dim_keys`. Bridge rows without a dimension row
-    vanish. Repeated bridge rows are dropped before the join, so they are
-    neither shuffled nor joined twice.
+    vanish.
     """
-    pairs = bridge.select(*parent_keys, *dim_keys).distinct()
     wanted = dim.select(*dim_keys, *[f for f in fields if f not in dim_keys])
+    pairs = bridge.select(*parent_keys, *dim_keys)
     joined = lookup_join(pairs, wanted, dim_keys, "inner", hot_keys(bridge, dim_keys, hot_rows))
-    return joined.select(*parent_keys, *fields).distinct()
+    return joined.select(*parent_keys, *fields)
+
+
+def distinct_children(
+    bridge: DataFrame,
+    dim: DataFrame,
+    parent_keys: Sequence[str],
+    dim_keys: Sequence[str],
+    fields: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Distinct dimension fields per parent as flat rows."""
+    return bridged(bridge, dim, parent_keys, dim_keys, fields, hot_rows).distinct()
 
 
 def pack_distinct(
@@ -164,9 +178,19 @@ def pack_distinct(
     scalar: bool = False,
     part_size: int = PART_SIZE,
 ) -> Pack:
-    """Distinct dimension fields per parent, as an array."""
-    children = distinct_children(bridge, dim, parent_keys, dim_keys, fields)
-    return pack(children, parent_keys, name, fields, scalar=scalar, part_size=part_size, source=bridge)
+    """Distinct dimension fields per parent, as an array.
+
+    When no parent has many bridge rows, one shuffle by parent does; else
+    repeated rows are dropped, with map-side combine, before the join and
+    before the children of a parent are counted.
+    """
+    small = hot_keys(bridge, parent_keys, part_size) is None
+    if not small:
+        bridge = bridge.select(*dict.fromkeys([*parent_keys, *dim_keys])).distinct()
+    children = bridged(bridge, dim, parent_keys, dim_keys, fields)
+    return pack(
+        children, parent_keys, name, fields, scalar=scalar, distinct=True, part_size=part_size, small=small
+    )
 
 
 def embed_all_when_present(

@@ -124,7 +124,6 @@ def number_parts(
     children: DataFrame,
     keys: Sequence[str],
     part_size: int,
-    source: DataFrame | None = None,
     max_hot_keys: int = MAX_HOT_KEYS,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Splits the children of each key into parts of at most `part_size` rows.
@@ -136,16 +135,10 @@ def number_parts(
     Only rows of keys over the limit are numbered. Equal rows are counted into
     one first, so a heap of copies never meets in one task; rows then take
     consecutive places in hash order and the place gives the part.
-
-    `source` is the table, with the same keys, that the children were derived
-    from without gaining rows; if it has no key over the limit, the children
-    have none either and are not counted themselves.
     """
     keys = list(keys)
     values = [c for c in children.columns if c not in keys]
-    if source is not None and hot_keys(source, keys, part_size) is None:
-        return children, None
-    if source is None and children.count() <= part_size:
+    if children.count() <= part_size:
         return children, None
     counts = key_counts(children, keys).filter(F.col("_n") > part_size)
     size = counts.count()

@@ -89,6 +89,17 @@ def test_distinct_children_as_scalars_keep_null(visits):
     assert docs == {1: [None, "cough"], 2: [], 3: [], 4: [None]}
 
 
+def test_distinct_children_in_parts_are_the_same(spark, visits):
+    parents, _, dim = visits
+    bridge = spark.createDataFrame([(1, i % 4 + 1) for i in range(30)] + [(2, 1)], "visit_id int, symptom_id int")
+    packed = D.pack_distinct(bridge, dim, ["visit_id"], ["symptom_id"], "items", ["symptom_id", "note"], part_size=3)
+    docs = D.attach(parents, [packed], 3)
+    sizes = sorted((r["visit_id"], r["part"], len(r["items"])) for r in docs.collect())
+    assert sizes == [(1, 0, 3), (1, 1, 1), (2, 0, 1), (3, 0, 0), (4, 0, 0)]
+    back = docs.select("visit_id", F.explode("items").alias("x")).select("visit_id", "x.*")
+    assert rows(back) == rows(D.distinct_children(bridge, dim, ["visit_id"], ["symptom_id"], ["symptom_id", "note"]))
+
+
 def test_distinct_children_with_hot_dimension_keys(visits):
     _, bridge, dim = visits
     plain = D.distinct_children(bridge, dim, ["visit_id"], ["symptom_id"], ["note"])

@@ -84,5 +84,3 @@ def test_number_parts_leaves_small_keys_alone(skewed):
     assert hot is None and parted is skewed
     parted, hot = spread.number_parts(skewed, ["k"], 250)
     assert hot is None and parted is skewed
-    parted, hot = spread.number_parts(skewed.distinct(), ["k"], 200, source=skewed)
-    assert hot is None
