@@ -87,6 +87,11 @@ def pack(
     return Pack(rows, tuple(keys), name, total, hot)
 
 
+def fits(children: DataFrame, keys: Sequence[str], part_size: int = PART_SIZE) -> bool:
+    """Whether no key has more than `part_size` rows; an action."""
+    return hot_keys(children, keys, part_size) is None
+
+
 def attach(parents: DataFrame, packs: Sequence[Pack], part_size: int = PART_SIZE) -> DataFrame:
     """Left-joins packs that share one key to their parents; no child gives `[]`.
 
@@ -177,14 +182,17 @@ def pack_distinct(
     *,
     scalar: bool = False,
     part_size: int = PART_SIZE,
+    small: bool | None = None,
 ) -> Pack:
     """Distinct dimension fields per parent, as an array.
 
     When no parent has many bridge rows, one shuffle by parent does; else
     repeated rows are dropped, with map-side combine, before the join and
-    before the children of a parent are counted.
+    before the children of a parent are counted. Which holds is found out with
+    `fits` unless the caller knows, having asked for another array already.
     """
-    small = hot_keys(bridge, parent_keys, part_size) is None
+    if small is None:
+        small = fits(bridge, parent_keys, part_size)
     if not small:
         bridge = bridge.select(*dict.fromkeys([*parent_keys, *dim_keys])).distinct()
     children = bridged(bridge, dim, parent_keys, dim_keys, fields)

@@ -36,48 +36,73 @@ def _values_at(band: DataFrame, before: int, ranks: Sequence[int]) -> list[float
     return [row[f"r{r}"] for r in ranks]
 
 
-def _narrow(values: DataFrame, n: int, ranks: Sequence[int], band_rows: int) -> tuple[DataFrame, int]:
-    """A value range small enough for one task that holds the ranks, and the number of values below."""
-    band, before, size = values, 0, n
-    while size > band_rows:
-        spread = 3 * SKETCH_ERROR
-        lowest = max((min(ranks) - before) / size - spread, 0.0)
-        highest = min((max(ranks) - before) / size + spread, 1.0)
-        low, high = band.approxQuantile("v", [lowest, highest], SKETCH_ERROR)
-        counted = band.agg(
-            F.count_if(F.col("v") < low).alias("below"), F.count_if(F.col("v") <= high).alias("upto")
-        ).first()
-        # The counts are exact, so a sketch that missed is found out here.
-        if not (before + counted["below"] <= min(ranks) and max(ranks) < before + counted["upto"]):
-            break
-        inside = counted["upto"] - counted["below"]
-        band = values.filter(F.col("v").between(low, high))
-        before += counted["below"]
-        if inside > size / 2:
-            break  # ties: few distinct values are left, however many rows
-        size = inside
-    return band, before
+def _brackets(
+    band: DataFrame, before: int, size: int, spans: Sequence[tuple[int, int]]
+) -> dict[tuple[int, int], tuple[float, float, int, int]]:
+    """A narrow value range around each span of ranks, with the number of
+    values below and inside it. One sketch proposes all ranges and one exact
+    count confirms them; a range that misses its ranks is left out."""
+    spread = 3 * SKETCH_ERROR
+    shares = [
+        min(max((rank - before) / size + side, 0.0), 1.0)
+        for first, last in spans
+        for rank, side in ((first, -spread), (last, spread))
+    ]
+    cuts = band.approxQuantile("v", shares, SKETCH_ERROR)
+    ranges = list(zip(cuts[0::2], cuts[1::2]))
+    counts = band.agg(
+        *[F.count_if(F.col("v") < low).alias(f"below{i}") for i, (low, _) in enumerate(ranges)],
+        *[F.count_if(F.col("v") <= high).alias(f"upto{i}") for i, (_, high) in enumerate(ranges)],
+    ).first()
+    confirmed = {}
+    for i, ((first, last), (low, high)) in enumerate(zip(spans, ranges)):
+        below, upto = counts[f"below{i}"], counts[f"upto{i}"]
+        if before + below <= first and last < before + upto:
+            confirmed[first, last] = low, high, before + below, upto - below
+    return confirmed
 
 
 def order_statistics(
-    df: DataFrame, column: str | Column, ranks: Sequence[int], n: int | None = None, band_rows: int = BAND_ROWS
-) -> list[float]:
-    """Exact values at 0-based ranks of the sorted column; an action.
+    df: DataFrame,
+    column: str | Column,
+    spans: Sequence[tuple[int, int]],
+    n: int | None = None,
+    band_rows: int = BAND_ROWS,
+) -> list[list[float]]:
+    """Exact values at pairs of neighbouring 0-based ranks of the sorted column; an action.
 
-    A large column is first narrowed to a band around each rank: a sketch
-    proposes bounds, exact counts confirm them. Only the band is grouped and
-    ranked, so the table is scanned, not sorted.
+    A large column is narrowed to a band around each pair, until the band
+    fits one task or is mostly ties. Only the band is grouped and ranked, so
+    the table is scanned a few times but neither sorted nor shuffled.
     """
     values = _numbers(df, column)
     if n is None:
         n = values.count()
     if n <= band_rows:
-        return _values_at(values, 0, ranks)
-    return [_values_at(*_narrow(values, n, [r], band_rows), [r])[0] for r in ranks]
+        flat = _values_at(values, 0, [r for span in spans for r in span])
+        return [list(pair) for pair in zip(flat[0::2], flat[1::2])]
+    proposed = _brackets(values, 0, n, spans)
+    found = []
+    for span in spans:
+        band, before, size = values, 0, n
+        step = proposed.get(span)
+        while step:
+            low, high, before, inside = step
+            band = values.filter(F.col("v").between(low, high))
+            if inside <= band_rows or inside > size / 2:
+                break
+            size = inside
+            step = _brackets(band, before, size, [span]).get(span)
+        found.append(_values_at(band, before, span))
+    return found
 
 
 def exact_quantiles(
-    df: DataFrame, column: str | Column, probabilities: Sequence[float], *, interpolate: bool = True,
+    df: DataFrame,
+    column: str | Column,
+    probabilities: Sequence[float],
+    *,
+    interpolate: bool = True,
     band_rows: int = BAND_ROWS,
 ) -> list[float | None]:
     """Exact quantiles of a numeric column; NULL and NaN are no values; an action.
@@ -89,11 +114,9 @@ def exact_quantiles(
     if n == 0:
         return [None] * len(probabilities)
     places = [p * (n - 1) if interpolate else max(math.ceil(p * n) - 1, 0) for p in probabilities]
-    ranks = sorted({r for p in places for r in (math.floor(p), math.ceil(p))})
-    value = dict(zip(ranks, order_statistics(df, column, ranks, n, band_rows)))
-    return [
-        value[math.floor(p)] + (p - math.floor(p)) * (value[math.ceil(p)] - value[math.floor(p)]) for p in places
-    ]
+    spans = [(math.floor(p), math.ceil(p)) for p in places]
+    pairs = order_statistics(df, column, spans, n, band_rows)
+    return [low + (p - math.floor(p)) * (high - low) for p, (low, high) in zip(places, pairs)]
 
 
 def describe(df: DataFrame, column: str, band_rows: int = BAND_ROWS) -> DataFrame:

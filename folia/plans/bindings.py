@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folia.functions import bin_column
+from folia.functions import bin_column, json_fields
 from folia.operators.changes import DELETE, INSERT, UPDATE
 
 
@@ -72,7 +72,7 @@ def change_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     inventory = table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("book_id"), F.col("l_quantity").cast("int").alias("quantity")
     )
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.col("k").cast("int")
     event = F.col("event_id").cast("string")
     # Some bodies lack a field or hold an empty, zero or null one.
     insert_body = F.concat(
@@ -98,7 +98,8 @@ def change_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
         .when(F.col("event_type") == "error", DELETE)
         .otherwise(UPDATE)
     )
-    log = table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events").select("*", json_fields("props", ["k"]))
+    log = events.select(
         F.col("event_id").alias("seq"),
         op.alias("op"),
         F.when(op != INSERT, F.col("user_id")).alias("key"),

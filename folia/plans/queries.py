@@ -217,10 +217,11 @@ def order_visit_documents(spark, sf_dir):
     lines, parts = _lines_and_parts(spark, sf_dir)
     suppliers = table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "suppkey")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("orderkey"), "o_custkey")
+    known = {"small": documents.fits(lines, ["orderkey"])}
     packs = [
-        documents.pack_distinct(lines, parts, ["orderkey"], ["partkey"], "types", ["p_type"], scalar=True),
-        documents.pack_distinct(lines, parts, ["orderkey"], ["partkey"], "items", ["p_brand", "p_size"]),
-        documents.pack_distinct(lines, suppliers, ["orderkey"], ["suppkey"], "sellers", ["s_name", "s_nationkey"]),
+        documents.pack_distinct(lines, parts, ["orderkey"], ["partkey"], "types", ["p_type"], scalar=True, **known),
+        documents.pack_distinct(lines, parts, ["orderkey"], ["partkey"], "items", ["p_brand", "p_size"], **known),
+        documents.pack_distinct(lines, suppliers, ["orderkey"], ["suppkey"], "sellers", ["s_name", "s_nationkey"], **known),
     ]
     docs = documents.link(orders, _known_customers(spark, sf_dir), "customers", "o_custkey", "c_custkey", "customer_ref")
     docs = documents.embed_all_when_present(
