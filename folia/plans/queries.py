@@ -594,6 +594,13 @@ def hash_split_orders(spark, sf_dir):
     return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
 
 
+@query
+def random_split_orders(spark, sf_dir):
+    """Both halves of a random split; which row is in which depends on the layout."""
+    train, test = models.random_split(table(spark, sf_dir, "orders").select("o_orderkey"))
+    return train.unionByName(test)
+
+
 @query
 def split_buckets(spark, sf_dir):
     bucket = hash_bucket("o_orderkey", 10, "s")
@@ -623,10 +630,22 @@ def assembled_features(spark, sf_dir):
     return prepared.select("doc_id", *[vector[i].alias(f"f{i}") for i in range(len(names))])
 
 
+def _rule_predictions(spark, sf_dir):
+    """A fixed rule: long texts are good."""
+    return labelled(spark, sf_dir, "inner").withColumn("prediction", F.when(F.col("n_chars") > 2000, 1).otherwise(0))
+
+
+@query
+def evaluator_accuracy(spark, sf_dir):
+    """Accuracy of the rule by the evaluator that scores the models."""
+    scored = _rule_predictions(spark, sf_dir).select(F.col(LABEL).cast("double"), F.col("prediction").cast("double"))
+    return spark.createDataFrame([(round(models.accuracy(scored, LABEL), 10),)], "accuracy double")
+
+
 @query
 def rule_accuracy(spark, sf_dir):
-    """Accuracy of a fixed rule (long texts are good) per source."""
-    scored = labelled(spark, sf_dir, "inner").withColumn("prediction", F.when(F.col("n_chars") > 2000, 1).otherwise(0))
+    """Accuracy of the rule per source."""
+    scored = _rule_predictions(spark, sf_dir)
     rows = models.accuracy_by(scored, LABEL, "prediction", ["source"])
     return rows.select("source", F.round("accuracy", 10).alias("accuracy"))
 

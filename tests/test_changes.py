@@ -13,7 +13,7 @@ def book(i):
     return (i, f"t{i}", f"i{i}", 2000, 9.5, 1)
 
 
-GOOD = {"title": "Clean Ways", "isbn": "978", "published_year": 2008, "price": 49.99, "publisher_id": 1}
+GOOD = {"title": "Leaves", "isbn": "123", "published_year": 1987, "price": 31.25, "publisher_id": 4}
 
 
 @pytest.fixture(scope="module")
@@ -54,7 +54,7 @@ def test_insert_validation(spark, tables):
     for i, (_, ok) in enumerate(cases):
         assert got[i] == (("inserted", next(ids)) if ok else ("invalid", None))
     new = {r["book_id"]: r for r in result.books.filter("book_id > 202").collect()}
-    assert new[203]["price"] == 49.99 and new[204]["publisher_id"] is None and new[205]["price"] == 12.5
+    assert new[203]["price"] == 31.25 and new[204]["publisher_id"] is None and new[205]["price"] == 12.5
 
 
 def test_updates_and_deletes(spark, tables):
@@ -102,7 +102,7 @@ def replay(books, inventory, log, high_water):
     books, inventory, outcome = dict(books), [list(x) for x in inventory], {}
     for seq, op, key, body in sorted(log):
         if op == "insert":
-            if all([body.get(f) for f in ("title", "isbn", "published_year", "price")]):
+            if all(body.get(f) for f in C.REQUIRED_FIELDS):
                 high_water += 1
                 books[high_water] = body["title"]
                 outcome[seq] = "inserted", high_water

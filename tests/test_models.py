@@ -22,6 +22,7 @@ def loans(spark):
 
 
 def test_logistic_regression_on_the_recorded_rows(spark):
+    # The rows the published coefficients belong to.
     data = [(1.0, [1.0, 2.0, 3.0]), (0.0, [2.0, 1.0, 0.0]), (0.0, [3.0, 3.0, 3.0]), (1.0, [0.0, 2.0, 1.0])]
     df = spark.createDataFrame([(y, Vectors.dense(x)) for y, x in data], ["label", "features"])
     fitted = M.logistic_regression("label", iterations=10).fit(df)
