@@ -133,7 +133,7 @@ def apply_changes(
     )
     born = born.withColumn("_known", F.lit(True))
     log = log.withColumn("key", F.col("key").cast(id_type))
-    hot = hot_keys(log, ["key"], hot_rows)
+    hot = hot_keys(log.filter(F.col("op").isin(UPDATE, DELETE)), ["key"], hot_rows)
     keyed = read_updates(log, quantity_type)
     seen = lookup_join(keyed, born, ["key"], "left", hot)
     was_there = F.col("_known") & (F.col("_born").isNull() | (F.col("_born") < F.col("seq")))

@@ -31,13 +31,15 @@ def key_counts(df: DataFrame, keys: Sequence[str], count: str = "_n") -> DataFra
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Keys with more than `hot_rows` rows, or None when there is none.
 
-    The result is safe to broadcast: should more than MAX_HOT_KEYS qualify,
-    the threshold is doubled until they fit.
+    NULL is listed like any key: it joins nothing, but a shuffle would send
+    all its rows to one task. The result is safe to broadcast: should more
+    than MAX_HOT_KEYS qualify, the threshold is doubled until they fit.
     """
     if df.count() <= hot_rows:
         return None
     threshold = hot_rows
-    found = key_counts(df, keys).filter(F.col("_n") > threshold)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    found = counts.filter(F.col("_n") > threshold)
     size = found.count()
     if size == 0:
         return None
@@ -61,18 +63,26 @@ def lookup_join(
     `hot` are the keys, found by `hot_keys`, that many left rows have. Whether
     a small lookup is broadcast is left to Spark, which checks its size. For a
     large one, rows of hot keys stay where they are and meet a broadcast of
-    only the hot lookup rows, at most one per hot key; all other rows are
-    shuffled. Both halves together are the whole join.
+    only the hot lookup rows, at most one per hot key; rows without a key
+    match nothing and pass by the join; all other rows are shuffled. The
+    pieces together are the whole join.
     """
     keys = list(keys)
     if hot is None:
         return left.join(lookup, keys, how)
-    hot_side = left.join(F.broadcast(hot), keys, "left_semi")
+    keyed = left.na.drop(subset=keys)
+    hot_side = keyed.join(F.broadcast(hot), keys, "left_semi")
     hot_lookup = lookup.join(F.broadcast(hot), keys, "left_semi")
-    cold_side = left.join(F.broadcast(hot), keys, "left_anti")
-    return hot_side.join(F.broadcast(hot_lookup), keys, how).unionByName(
+    cold_side = keyed.join(F.broadcast(hot), keys, "left_anti")
+    joined = hot_side.join(F.broadcast(hot_lookup), keys, how).unionByName(
         cold_side.join(lookup, keys, how)
     )
+    if how in ("left", "left_anti"):
+        has_key = F.lit(True)
+        for key in keys:
+            has_key = has_key & F.col(key).isNotNull()
+        joined = joined.unionByName(left.filter(~has_key), allowMissingColumns=True)
+    return joined
 
 
 def fan_out_join(

@@ -11,7 +11,7 @@ from tests.conftest import rows
 def skewed(spark):
     """Key 1 has a third of all rows, most of them copies of one another."""
     data = [(1, "copy")] * 150 + [(1, f"v{i}") for i in range(50)] + [(k % 60 + 2, f"w{k}") for k in range(400)]
-    data += [(None, "x"), (99, "y")]
+    data += [(None, "x")] * 30 + [(99, "y")]
     return spark.createDataFrame(data, "k int, v string").repartition(6)
 
 
@@ -19,11 +19,12 @@ def test_hot_keys_finds_only_keys_over_the_limit(skewed):
     assert rows(spread.hot_keys(skewed, ["k"], 100)) == [(1,)]
     assert spread.hot_keys(skewed, ["k"], 200) is None
     assert spread.hot_keys(skewed, ["k"]) is None
+    assert rows(spread.hot_keys(skewed, ["k"], 29)) == [(1,), (None,)]
 
 
 def test_hot_keys_raises_its_threshold_until_they_fit(skewed, monkeypatch):
     monkeypatch.setattr(spread, "MAX_HOT_KEYS", 3)
-    assert rows(spread.hot_keys(skewed, ["k"], 2)) == [(1,)]
+    assert rows(spread.hot_keys(skewed, ["k"], 2)) == [(1,), (None,)]
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
