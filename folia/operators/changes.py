@@ -132,7 +132,8 @@ def apply_changes(
         inserted.select(F.col("book_id").alias("key"), F.col("seq").cast("long").alias("_born"))
     )
     born = born.withColumn("_known", F.lit(True))
-    log = log.withColumn("key", F.col("key").cast(id_type))
+    # A key that cannot be an id is the key of no book.
+    log = log.withColumn("key", F.col("key").try_cast(id_type))
     hot = hot_keys(log.filter(F.col("op").isin(UPDATE, DELETE)), ["key"], hot_rows)
     keyed = read_updates(log, quantity_type)
     seen = lookup_join(keyed, born, ["key"], "left", hot)

@@ -88,6 +88,19 @@ def fit_features(
     return Pipeline(stages=stages).fit(train)
 
 
+def training_pipeline(
+    categorical: Sequence[str],
+    numeric: Sequence[str],
+    label: str,
+    classifier: Classifier,
+    *,
+    label_invalid: str = "error",
+) -> Pipeline:
+    """Features, label and one classifier as a single estimator, to be fitted,
+    saved and applied to raw rows as one model."""
+    return Pipeline(stages=[*feature_stages(categorical, numeric), label_stage(label, label_invalid), classifier])
+
+
 def logistic_regression(label: str, iterations: int = LOGISTIC_ITERATIONS) -> LogisticRegression:
     return LogisticRegression(labelCol=label, featuresCol=FEATURES, maxIter=iterations)
 

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def build_session(app_name: str = "folia", master: str | None = None, **conf: str) -> SparkSession:
@@ -37,16 +38,18 @@ def build_session(app_name: str = "folia", master: str | None = None, **conf: st
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as named by the cluster.
 
-    Only a local-mode session may fall back to a folder of this machine.
+    Only a local-mode session without the setting gets a folder of this
+    machine, one per application.
     """
-    named = spark.sparkContext.getConf().get(CHECKPOINT_CONF) or spark.conf.get(CHECKPOINT_CONF, None)
+    context = spark.sparkContext
+    named = context.getConf().get(CHECKPOINT_CONF) or spark.conf.get(CHECKPOINT_CONF, None)
     if named:
         return named
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set(CHECKPOINT_CONF, folder)
-        return folder
-    raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors can reach")
+    if not context.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors can reach")
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

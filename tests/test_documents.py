@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 from decimal import Decimal
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import types as T
 
 from folia.functions import document_id, sanitize
 from folia.operators import documents as D
+from folia.sources import write_json
 from tests.conftest import rows
 
 
@@ -137,6 +139,15 @@ def test_histories_keep_parents_without_children(spark, customers):
     assert sorted(r["parent_info"]["customerNumber"] for r in sample.collect()) == [1, 2]
 
 
+def test_history_sample_is_exported_as_nested_json(spark, customers, payments, scratch):
+    docs = D.history_sample(customers, payments, "customerNumber", "customerNumber", 2, total="total_payments", history="payments")
+    assert write_json(docs, f"{scratch}/sample") == 2
+    lines = sorted((json.loads(r[0]) for r in spark.read.text(f"{scratch}/sample").collect()), key=lambda x: x["parent_info"]["customerNumber"])
+    assert [x["total_payments"] for x in lines] == [1, 3]
+    assert lines[0]["parent_info"] == {"customerNumber": 1, "customerName": "a", "rep": 10}
+    assert lines[0]["payments"] == [{"customerNumber": 1, "paymentDate": "2020-01-02T00:00:00.000", "amount": 5.1}]
+
+
 def test_sanitize_reaches_into_objects_and_arrays(spark):
     df = spark.sql(
         "select cast(1.25 as decimal(10,2)) d, date'2020-01-02' day, named_struct('x', array(named_struct('m', cast(2.5 as decimal(5,1)), 'w', date'2020-01-03'))) s,"

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -90,6 +91,17 @@ def test_comparison_ranks_the_models(loans):
     assert [(r["model"], r["is_best"]) for r in only.collect()] == [("one", True)]
 
 
+def test_one_fitted_pipeline_equals_features_then_model(spark, loans, scratch):
+    train, test = M.hash_split(loans, "id")
+    tree = M.decision_tree("status_idx")
+    whole = M.training_pipeline(["gender", "area"], ["credit"], "status", tree).fit(train)
+    whole.write().save(f"{scratch}/model")
+    loaded = PipelineModel.load(f"{scratch}/model")
+    features = M.fit_features(train, ["gender", "area"], ["credit"], "status")
+    stepwise = tree.fit(features.transform(train)).transform(features.transform(test))
+    assert rows(loaded.transform(test).select("id", "prediction")) == rows(stepwise.select("id", "prediction"))
+
+
 def test_first_listed_wins_a_tie(spark):
     scores = spark.createDataFrame([(0, 0.5), (1, 0.9), (2, 0.9)], "position int, accuracy double")
     assert M.best_by(scores, "accuracy", "position").first()["position"] == 1

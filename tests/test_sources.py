@@ -101,13 +101,13 @@ def test_shared_folder_comes_from_the_session(spark):
     assert session.durable(spark.range(5)).count() == 5
 
 
-def test_no_local_folder_on_a_cluster():
+def unset_session(master):
     class Conf:
         def get(self, *_):
             return None
 
     class Context:
-        master = "yarn"
+        applicationId = "app-1"
 
         def getConf(self):
             return Conf()
@@ -115,5 +115,12 @@ def test_no_local_folder_on_a_cluster():
     class Session:
         sparkContext, conf = Context(), Conf()
 
+    Session.sparkContext.master = master
+    return Session()
+
+
+def test_a_local_folder_only_in_local_mode():
     with pytest.raises(ValueError):
-        session.shared_dir(Session())
+        session.shared_dir(unset_session("yarn"))
+    folder = session.shared_dir(unset_session("local[2]"))
+    assert Path(folder).is_dir() and session.shared_dir(unset_session("local[2]")) == folder
