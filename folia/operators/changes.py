@@ -139,6 +139,9 @@ def apply_changes(
     seen = lookup_join(keyed, born, ["key"], "left", hot)
     was_there = F.col("_known") & (F.col("_born").isNull() | (F.col("_born") < F.col("seq")))
     seen = seen.withColumn("_there", F.coalesce(was_there, F.lit(False))).drop("_known", "_born")
+    if keep and hot is not None:
+        # Each join with hot keys reads its left side in several pieces.
+        seen = durable(seen)
 
     # The first delete that finds its book ends it.
     died = (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from folia.functions import bin_column, has_field, hash_bucket, json_fields, sanitize
 from folia.operators import catalog, changes, documents, models, prep, profile
-from folia.plans.bindings import catalog_tables, cents, change_tables, labelled, table
+from folia.plans.bindings import catalog_tables, change_tables, labelled, table
 from folia.session import new_path
 from folia.sources import (
     json_lines,
