@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folia.llm import quality, toxicity
+from folia.llm import linededup, quality, toxicity
 from folia.llm.common import read, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_dedup(read(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -34,5 +38,24 @@ def shipped(query: Query) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {f.__name__: shipped(f) for f in (op1_quality_rules, op10_toxicity)}
-ORACLE: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: shipped(f) for f in (op1_quality_rules, op3_line_dedup, op10_toxicity)}
+ORACLE: dict[str, str] = {
+    "op3_line_dedup": """
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(parts, 1) AS place, unnest(parts) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+), keyed AS (
+  SELECT *, lower_ascii AS key FROM (
+    SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii FROM lines)
+), repeated AS (
+  SELECT key, min(doc_id) AS first_doc FROM keyed WHERE length(key) >= 10
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 2
+), judged AS (
+  SELECT k.*, r.key IS NOT NULL AND k.doc_id > r.first_doc AS gone FROM keyed k LEFT JOIN repeated r ON k.key = r.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256,
+  length(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS n_kept_chars
+FROM judged GROUP BY doc_id""",
+}
