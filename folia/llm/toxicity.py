@@ -131,27 +131,26 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
         return joined[-size:]
 
 
-def _learn(texts: list[tuple[bool, list[bytes]]], lift: float, size: int) -> Classifier | None:
-    """The dictionaries of labelled lists of words; None if nothing sets the classes apart."""
-    # Copies of one text, exact or near, share their longest word and count once.
-    groups: tuple[dict, dict] = ({}, {})
-    for y, words in texts:
-        own = set(words)
-        groups[int(y)].setdefault(max(own, key=lambda w: (len(w), w), default=b""), own)
-    seen = tuple(Counter(g for own in x.values() for g in {g for w in own for g in _beginnings(w)}) for x in groups)
+def _learn(texts: list[tuple[bool, np.ndarray]], words: list[bytes], lift: float, size: int) -> Classifier | None:
+    """The dictionaries of labelled texts, given as places in a list of distinct words;
+    None if nothing sets the classes apart."""
+    seen, groups = (Counter(), Counter()), (set(), set())
+    for y, own in texts:
+        own = np.unique(own).tolist()
+        # Copies of one text, exact or near, share their longest word and count once.
+        group = max((words[i] for i in own), key=lambda w: (len(w), w), default=b"")
+        if group not in groups[y]:
+            groups[y].add(group)
+            seen[y].update({g for i in own for g in _beginnings(words[i])})
     n = [max(len(x), 1) for x in groups]
     marks = {g for g, k in seen[1].items() if k >= lift * (e := n[1] * (seen[0][g] + 0.5) / n[0]) and k >= 4 + e + 4 * e**0.5}
-    toxic, ordinary = [], []
-    for y, words in texts:
-        for w in words:
-            if any(g in marks for g in _beginnings(w)):
-                if y:
-                    toxic.append(CARRIER[0][-1:] + w + CARRIER[1][:1])
-            elif not y:
-                ordinary.append(CARRIER[0][-1:] + w + CARRIER[1][:1])
-    if not toxic:
+    marked = np.array([any(g in marks for g in _beginnings(w)) for w in words], bool)
+    toxic = np.concatenate([own[marked[own]] for y, own in texts if y])
+    ordinary = np.concatenate([own[~marked[own]] for y, own in texts if not y])
+    if not len(toxic):
         return None
     ordinary = ordinary[:: max(1, len(ordinary) // 60_000)]
+    toxic, ordinary = ([CARRIER[0][-1:] + words[i] + CARRIER[1][:1] for i in x.tolist()] for x in (toxic, ordinary))
     common, frame, half = _dictionary(ordinary, 8 * size), b"".join(CARRIER), len(ordinary) // 2
     return Classifier(common + _dictionary(toxic, size) + frame, common + _dictionary(ordinary[half : half + len(toxic)] or ordinary, size) + frame)
 
@@ -169,27 +168,28 @@ def fit(values: list[tuple[str | None, int]], lift: float = 10.0, size: int = 20
     low = t.lowered()
     starts, ends, offsets = low.word_spans
     data = low.data.tobytes()
-    words = [data[s:e].strip(PUNCTUATION) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
-    texts = [(bool(y), words[a:b]) for y, a, b in zip(label, offsets[:-1], offsets[1:], strict=True)]
-    found = _learn(texts, lift, size)
+    _, first, which = np.unique(low.hashes(starts, ends), return_index=True, return_inverse=True)
+    words = [data[s:e].strip(PUNCTUATION) for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+    texts = [(bool(y), which[a:b]) for y, a, b in zip(label, offsets[:-1], offsets[1:], strict=True)]
+    found = _learn(texts, words, lift, size)
     if found is None:
         return Classifier()
     aside = np.arange(len(values)) % 3 == 2
-    first = _learn([x for x, out in zip(texts, aside, strict=True) if not out], lift, size) if 0 < label[aside].sum() < aside.sum() else None
-    use = aside if first else ~np.zeros_like(aside)
+    taught = _learn([x for x, out in zip(texts, aside, strict=True) if not out], words, lift, size) if 0 < label[aside].sum() < aside.sum() else None
+    use = aside if taught else ~np.zeros_like(aside)
     part = to_texts([x for (x, _), on in zip(values, use, strict=True) if on])
-    saved, offsets = (first or found).measures(part, (first or found).savings())
+    saved, offsets = (taught or found).measures(part, (taught or found).savings())
     found.weights = tuple(_logistic(_inputs(saved, offsets), label[use]))
     return found
 
 
-def fit_documents(docs: DataFrame, labels: DataFrame, sample: int = 8000) -> Classifier:
+def fit_documents(docs: DataFrame, labels: DataFrame, sample: int = 5000) -> Classifier:
     """The classifier of at most `sample` labelled documents that are not held out."""
     rows = labelled_sample(docs, labels, "toxic", sample, remainder(5) != 0).select("doc_id", "text", "label").collect()
     return fit([(r.text, r.label) for r in sorted(rows, key=lambda r: (r.doc_id, r.text or ""))])
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 8000) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 5000) -> DataFrame:
     """Score and verdict of every document."""
     model = fit_documents(docs, labels, sample)
 
@@ -208,7 +208,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 8000) -> DataFram
     return map_arrow(id_text(docs).withColumn("held_out", F.coalesce(remainder(5) == 0, F.lit(False))), judge, SCHEMA)
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, sample: int = 8000, text_col: str = "text") -> DataFrame:
+def without_toxic(docs: DataFrame, labels: DataFrame, sample: int = 5000, text_col: str = "text") -> DataFrame:
     """The documents that are not predicted toxic, with all their columns."""
     model = fit_documents(docs, labels, sample)
 
