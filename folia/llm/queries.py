@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folia.llm import linededup, neardup, quality, toxicity
+from folia.llm import decontamination, linededup, neardup, quality, toxicity
 from folia.llm.common import read, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -42,7 +46,7 @@ def shipped(query: Query) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {f.__name__: shipped(f) for f in (op1_quality_rules, op3_line_dedup, op4_minhash_near_dedup, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: shipped(f) for f in (op1_quality_rules, op3_line_dedup, op4_minhash_near_dedup, op6_benchmark_decontamination, op10_toxicity)}
 ORACLE: dict[str, str] = {
     "op3_line_dedup": """
 WITH lines AS (
