@@ -30,7 +30,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folia.llm.bytesops import Texts, chunks, pack, sums
-from folia.llm.bytesops import texts as to_texts
 from folia.llm.common import id_text, labelled_sample, map_arrow, remainder
 from folia.llm.wordcache import WordCache
 
@@ -164,22 +163,28 @@ def fit(values: list[tuple[str | None, int]], lift: float = 10.0, size: int = 20
     label = np.array([y for _, y in values], bool)
     if not len(values) or label.all() or not label.any():
         return Classifier()
-    t = to_texts([x for x, _ in values])
-    low = t.lowered()
-    starts, ends, offsets = low.word_spans
-    data = low.data.tobytes()
-    _, first, which = np.unique(low.hashes(starts, ends), return_index=True, return_inverse=True)
-    words = [data[s:e].strip(PUNCTUATION) for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-    texts = [(bool(y), which[a:b]) for y, a, b in zip(label, offsets[:-1], offsets[1:], strict=True)]
+    column = pa.array([x for x, _ in values], pa.string())
+    places: dict[bytes, int] = {}
+    own: list[np.ndarray] = []
+    for t in chunks(column):
+        low = t.lowered()
+        starts, ends, offsets = low.word_spans
+        data = low.data.tobytes()
+        _, first, which = np.unique(low.hashes(starts, ends), return_index=True, return_inverse=True)
+        spans = zip(starts[first].tolist(), ends[first].tolist(), strict=True)
+        which = np.array([places.setdefault(data[s:e].strip(PUNCTUATION), len(places)) for s, e in spans], np.int32)[which]
+        own += [which[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    words, texts = list(places), [(bool(y), x) for y, x in zip(label, own, strict=True)]
     found = _learn(texts, words, lift, size)
     if found is None:
         return Classifier()
     aside = np.arange(len(values)) % 3 == 2
     taught = _learn([x for x, out in zip(texts, aside, strict=True) if not out], words, lift, size) if 0 < label[aside].sum() < aside.sum() else None
     use = aside if taught else ~np.zeros_like(aside)
-    part = to_texts([x for (x, _), on in zip(values, use, strict=True) if on])
-    saved, offsets = (taught or found).measures(part, (taught or found).savings())
-    found.weights = tuple(_logistic(_inputs(saved, offsets), label[use]))
+    judge = taught or found
+    cache = judge.savings()
+    inputs = [_inputs(*judge.measures(t, cache)) for t in chunks(column.filter(pa.array(use)))]
+    found.weights = tuple(_logistic(np.concatenate(inputs), label[use]))
     return found
 
 
