@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folia.llm import decontamination, linededup, neardup, quality, toxicity
+from folia.llm import decontamination, linededup, neardup, packing, quality, toxicity
 from folia.llm.common import read, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,12 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.packed(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -46,7 +52,7 @@ def shipped(query: Query) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {f.__name__: shipped(f) for f in (op1_quality_rules, op3_line_dedup, op4_minhash_near_dedup, op6_benchmark_decontamination, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: shipped(f) for f in (op1_quality_rules, op3_line_dedup, op4_minhash_near_dedup, op6_benchmark_decontamination, op8_packing, op10_toxicity)}
 ORACLE: dict[str, str] = {
     "op3_line_dedup": """
 WITH lines AS (
