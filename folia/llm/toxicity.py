@@ -213,9 +213,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 5000) -> DataFram
     return map_arrow(id_text(docs).withColumn("held_out", F.coalesce(remainder(5) == 0, F.lit(False))), judge, SCHEMA)
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, sample: int = 5000, text_col: str = "text") -> DataFrame:
-    """The documents that are not predicted toxic, with all their columns."""
-    model = fit_documents(docs, labels, sample)
+def without_toxic(docs: DataFrame, labels: DataFrame, sample: int = 5000, text_col: str = "text", train_on: DataFrame | None = None) -> DataFrame:
+    """The documents that are not predicted toxic, with all their columns. The labels
+    are those of `train_on`, by default of `docs`."""
+    model = fit_documents(docs if train_on is None else train_on, labels, sample)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = model.savings()
