@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folia.llm import decontamination, linededup, neardup, packing, quality, toxicity
+from folia.llm import decontamination, linededup, neardup, packing, pii, quality, secretscan, toxicity
 from folia.llm.common import read, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.secrets(read(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_dedup(read(spark, sf_dir, "documents"))
 
@@ -32,6 +36,10 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(read(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -52,7 +60,7 @@ def shipped(query: Query) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {f.__name__: shipped(f) for f in (op1_quality_rules, op3_line_dedup, op4_minhash_near_dedup, op6_benchmark_decontamination, op8_packing, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: shipped(f) for f in (op1_quality_rules, op2_secret_scans, op3_line_dedup, op4_minhash_near_dedup, op6_benchmark_decontamination, op7_pii, op8_packing, op10_toxicity)}
 ORACLE: dict[str, str] = {
     "op3_line_dedup": """
 WITH lines AS (
