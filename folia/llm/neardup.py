@@ -14,7 +14,7 @@ checked by exact weighted Jaccard similarity of the shingles. Not all pairs of a
 bucket are checked: exact copies are one text; each member is checked against the
 smallest id of its bucket; then, as long as a bucket holds members of several
 components, against other members chosen by a different order in every
-band, and between components. Components of the links found are the classes.
+band and look. Components of the links found are the classes.
 
 Defined results: a text without words has no shingles and is alike only to equal
 texts (null counts as empty). Rows that share an id are one document, with the class
@@ -155,7 +155,7 @@ def _labelled(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     return members.join(roots, "u", "left").withColumn("root", F.coalesce("root", "u"))
 
 
-def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, rows: int = 6, rounds: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, rows: int = 6, rounds: int = 3) -> DataFrame:
     """One row per document: doc_id, text_id (the smallest id of that very text) and
     class_id (the smallest id of its class).
 
@@ -195,10 +195,10 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, rows:
     for turn in range(rounds):
         mixed = _labelled(members.select("band", "bucket", "u"), roots)
         order = F.xxhash64("u", "band", F.lit(turn))
-        # A member of each component per bucket, by another order in every band and
-        # round, and one of the bucket: those of other components are checked with it.
-        sub = mixed.groupBy("band", "bucket", "root").agg(F.min_by("u", order).alias("w"), F.min(order).alias("o"))
-        heads = sub.groupBy("band", "bucket").agg(F.min_by("w", "o").alias("v"), F.min_by("root", "o").alias("head_root"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+        # One member of each bucket of several components, by another order in every
+        # band and round: those of other components are checked with it.
+        heads = mixed.groupBy("band", "bucket").agg(F.min_by(F.struct("u", "root"), order).alias("h"), F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
+        heads = heads.select("band", "bucket", F.col("h.u").alias("v"), F.col("h.root").alias("head_root"))
         members_too = mixed.join(heads, ["band", "bucket"]).filter("root <> head_root").select("u", "v")
         pairs = members_too.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         pairs = written(pairs.join(tried, ["u", "v"], "left_anti"), "pairs")
