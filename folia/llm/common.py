@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
@@ -75,3 +76,16 @@ def ship(spark: SparkSession) -> None:
             z.write(file, file.relative_to(root))
     context.addPyFile(str(archive))
     _SHIPPED.add(context.applicationId)
+
+
+def located(docs: DataFrame, *columns: F.Column) -> DataFrame:
+    """`columns` of the documents with the place of each row: file and row, both long.
+
+    The place is that in the files the documents are read from, so it is the same in
+    every scan. Documents that come from no files are written first.
+    """
+    place = (F.xxhash64(F.col("_metadata.file_path")).alias("file"), F.col("_metadata.row_index").alias("row"))
+    try:
+        return docs.select(*place, *columns)
+    except AnalysisException:
+        return written(docs.select(*columns), "located").select(*place, "*")

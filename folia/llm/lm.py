@@ -36,7 +36,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 
 from folia.llm import gru
 from folia.llm.bytesops import U64, Texts, chunks, pack
-from folia.llm.common import map_arrow, partitions, remainder, written
+from folia.llm.common import located, map_arrow, partitions, remainder, written
 
 BLOCK_ROWS = 4096
 TRAINERS = 16
@@ -209,20 +209,10 @@ def train(coded: DataFrame, first: gru.Params, n_words: int, share: int, rounds:
 def language_model(docs: DataFrame, n_words: int = 768, share: int = 12, rounds: int = 2) -> DataFrame:
     """Base score and model score of every document."""
     spark = docs.sparkSession
-    where = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    where = where.withColumn("held_out", F.coalesce(remainder(10) == 0, F.lit(True)))
     # Documents that lie together in the input are a block: a word they share is asked
-    # for once. Without a place in a file, they are dealt out by id.
-    try:
-        place = docs.select("*", "_metadata.file_path", "_metadata.row_index")
-        block = F.xxhash64(F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / BLOCK_ROWS))
-        place.schema  # noqa: B018  raises where there is no such column
-        blocked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), block.alias("block"))
-    except Exception as error:
-        if "_metadata" not in str(error):
-            raise
-        n = max(1, docs.count() // BLOCK_ROWS)
-        blocked = where.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(n)).alias("block"))
+    # for once.
+    own = (F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    blocked = located(docs, *own).withColumn("block", F.xxhash64("file", F.floor(F.col("row") / BLOCK_ROWS)))
     blocked = blocked.withColumn("held_out", F.coalesce(remainder(10) == 0, F.lit(True)))
 
     asked = map_arrow(blocked, _asking, ASKED).repartition(partitions(spark), "word")

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folia.llm import decontamination, linededup, lm, neardup, packing, pii, quality, secretscan, toxicity
+from folia.llm import decontamination, linededup, lm, neardup, packing, pii, quality, secretscan, suffixes, toxicity
 from folia.llm.common import read, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(read(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -64,7 +68,7 @@ def shipped(query: Query) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {f.__name__: shipped(f) for f in (op1_quality_rules, op2_secret_scans, op3_line_dedup, op4_minhash_near_dedup, op5_lm_scoring, op6_benchmark_decontamination, op7_pii, op8_packing, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: shipped(f) for f in (op1_quality_rules, op2_secret_scans, op3_line_dedup, op4_minhash_near_dedup, op5_lm_scoring, op6_benchmark_decontamination, op7_pii, op8_packing, op9_suffix_array_dedup, op10_toxicity)}
 ORACLE: dict[str, str] = {
     "op3_line_dedup": """
 WITH lines AS (
