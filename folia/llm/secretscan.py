@@ -109,6 +109,8 @@ def features(t: Texts) -> tuple[np.ndarray, np.ndarray]:
         return out
 
     shaped, long = mix(shape + U64(1)), (size >= 12).astype(U64)
+    # A long word is known by its shape alone: its text would only be learned by heart.
+    words = np.where(long > 0, shaped, words)
     rows = [
         words,
         shaped,
