@@ -7,9 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from folia.session import durable
 
-# Distinct values that one task may rank.
-BAND_ROWS = 1_000_000
 # Relative rank error of the sketch that narrows a quantile down.
 SKETCH_ERROR = 0.001
 # Distance of the upper fence in quartile ranges, and the
@@ -20,117 +21,97 @@ GRID_CUT = 3.0
 
 
 def _numbers(df: DataFrame, column: str | Column) -> DataFrame:
-    """The values of a column as doubles, without NULL and NaN."""
+    """The values of a column in its own type, without NULL and NaN."""
     cell = F.col(column) if isinstance(column, str) else column
-    return df.select(cell.cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-
+    values = df.select(cell.alias("v")).filter(F.col("v").isNotNull())
+    floating = isinstance(values.schema["v"].dataType, (T.FloatType, T.DoubleType))
+    return values.filter(~F.isnan("v")) if floating else values
 
-def _values_at(band: DataFrame, before: int, ranks: Sequence[int]) -> list[float]:
-    """Values at 0-based ranks, all of which lie in the band that `before` values precede."""
-    counts = band.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.orderBy("v")) + F.lit(before)
-    ranked = counts.select("v", upto.alias("upto"))
-    # The value at a rank is the first whose running count passes the rank.
-    found = ranked.agg(*[F.min(F.when(F.col("upto") > r, F.col("v"))).alias(f"r{r}") for r in set(ranks)])
-    row = found.first()
-    return [row[f"r{r}"] for r in ranks]
 
+def _bands(values: DataFrame, n: int, ranks: Sequence[int]) -> list[tuple[int, Column]]:
+    """For each 0-based rank the number of values before a band, and the band as a test of v.
 
-def _brackets(
-    band: DataFrame, before: int, size: int, spans: Sequence[tuple[int, int]]
-) -> dict[tuple[int, int], tuple[float, float, int, int]]:
-    """A narrow value range around each span of ranks, with the number of
-    values below and inside it. One sketch proposes all ranges and one exact
-    count confirms them; a range that misses its ranks is left out."""
+    One sketch proposes all bands, one exact count confirms them. Bands are bounded in
+    doubles, which keep the order of the values; the values inside keep their type. A
+    band that misses its rank becomes the whole column.
+    """
+    double = F.col("v").cast("double")
     spread = 3 * SKETCH_ERROR
-    shares = [
-        min(max((rank - before) / size + side, 0.0), 1.0)
-        for first, last in spans
-        for rank, side in ((first, -spread), (last, spread))
-    ]
-    cuts = band.approxQuantile("v", shares, SKETCH_ERROR)
+    shares = [min(max(rank / n + side, 0.0), 1.0) for rank in ranks for side in (-spread, spread)]
+    cuts = values.agg(F.percentile_approx(double, shares, round(1 / SKETCH_ERROR)).alias("c")).first()["c"]
     ranges = list(zip(cuts[0::2], cuts[1::2]))
-    counts = band.agg(
-        *[F.count_if(F.col("v") < low).alias(f"below{i}") for i, (low, _) in enumerate(ranges)],
-        *[F.count_if(F.col("v") <= high).alias(f"upto{i}") for i, (_, high) in enumerate(ranges)],
+    counts = values.agg(
+        *[F.count_if(double < low).alias(f"below{i}") for i, (low, _) in enumerate(ranges)],
+        *[F.count_if(double <= high).alias(f"upto{i}") for i, (_, high) in enumerate(ranges)],
     ).first()
-    confirmed = {}
-    for i, ((first, last), (low, high)) in enumerate(zip(spans, ranges)):
-        below, upto = counts[f"below{i}"], counts[f"upto{i}"]
-        if before + below <= first and last < before + upto:
-            confirmed[first, last] = low, high, before + below, upto - below
-    return confirmed
-
-
-def order_statistics(
-    df: DataFrame,
-    column: str | Column,
-    spans: Sequence[tuple[int, int]],
-    n: int | None = None,
-    band_rows: int = BAND_ROWS,
-) -> list[list[float]]:
-    """Exact values at pairs of neighbouring 0-based ranks of the sorted column; an action.
-
-    A large column is narrowed to a band around each pair, until the band
-    fits one task or is mostly ties. Only the band is grouped and ranked, so
-    the table is scanned a few times but neither sorted nor shuffled.
+    return [
+        (counts[f"below{i}"], double.between(low, high))
+        if counts[f"below{i}"] <= rank < counts[f"upto{i}"]
+        else (0, F.lit(True))
+        for i, (rank, (low, high)) in enumerate(zip(ranks, ranges))
+    ]
+
+
+def order_statistics(df: DataFrame, column: str | Column, ranks: Sequence[int], n: int | None = None) -> list:
+    """Exact values at 0-based ranks of the sorted column, in its type; an action.
+
+    The table is scanned three times for all ranks together: for a sketch, for exact counts
+    around the bands that it proposes, and for the values inside the bands. Only these
+    are counted per distinct value and ranked, by ranges of values: totals of the ranges
+    before come in as offsets, so neither a band nor a range has to fit one task, and
+    ties are one row.
     """
     values = _numbers(df, column)
+    wanted = sorted(set(ranks))
     if n is None:
         n = values.count()
-    if n <= band_rows:
-        flat = _values_at(values, 0, [r for span in spans for r in span])
-        return [list(pair) for pair in zip(flat[0::2], flat[1::2])]
-    proposed = _brackets(values, 0, n, spans)
-    found = []
-    for span in spans:
-        band, before, size = values, 0, n
-        step = proposed.get(span)
-        while step:
-            low, high, before, inside = step
-            band = values.filter(F.col("v").between(low, high))
-            if inside <= band_rows or inside > size / 2:
-                break
-            size = inside
-            step = _brackets(band, before, size, [span]).get(span)
-        found.append(_values_at(band, before, span))
-    return found
-
-
-def exact_quantiles(
-    df: DataFrame,
-    column: str | Column,
-    probabilities: Sequence[float],
-    *,
-    interpolate: bool = True,
-    band_rows: int = BAND_ROWS,
-) -> list[float | None]:
+    bands = _bands(values, n, wanted)
+    tagged = F.explode(F.array_compact(F.array(*[F.when(test, F.lit(i)) for i, (_, test) in enumerate(bands)])))
+    counts = values.select("v", tagged.alias("band")).groupBy("band", "v").agg(F.count(F.lit(1)).alias("n"))
+    placed = durable(counts.repartitionByRange("band", "v").withColumn("range", F.spark_partition_id()))
+    before = Window.partitionBy("band").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("band", "range").agg(F.sum("n").alias("total"))
+    offsets = totals.select("band", "range", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset"))
+    inside = F.sum("n").over(Window.partitionBy("band", "range").orderBy("v"))
+    ranked = placed.withColumn("upto", inside).join(offsets, ["band", "range"])
+    upto = F.col("upto") + F.col("offset")
+    # The value at a rank is the first whose running count passes the rank.
+    found = ranked.agg(
+        *[F.min(F.when((F.col("band") == i) & (upto + below > rank), F.col("v"))).alias(f"r{rank}") for i, (rank, (below, _)) in enumerate(zip(wanted, bands))]
+    ).first()
+    return [found[f"r{r}"] for r in ranks]
+
+
+def exact_quantiles(df: DataFrame, column: str | Column, probabilities: Sequence[float], *, interpolate: bool = True) -> list:
     """Exact quantiles of a numeric column; NULL and NaN are no values; an action.
 
-    With `interpolate` the value between two neighbours is taken linearly,
-    else the lower neighbour, which is always a value of the column.
+    With `interpolate` the value between two neighbours is taken linearly, as a double;
+    else the lower neighbour, which is always a value of the column, in its type.
     """
     n = _numbers(df, column).count()
     if n == 0:
         return [None] * len(probabilities)
     places = [p * (n - 1) if interpolate else max(math.ceil(p * n) - 1, 0) for p in probabilities]
     spans = [(math.floor(p), math.ceil(p)) for p in places]
-    pairs = order_statistics(df, column, spans, n, band_rows)
-    return [low + (p - math.floor(p)) * (high - low) for p, (low, high) in zip(places, pairs)]
+    flat = order_statistics(df, column, [r for span in spans for r in span], n)
+    pairs = list(zip(flat[0::2], flat[1::2]))
+    if not interpolate:
+        return [low for low, _ in pairs]
+    return [float(low) + (p - math.floor(p)) * float(high - low) for p, (low, high) in zip(places, pairs)]
 
 
-def describe(df: DataFrame, column: str, band_rows: int = BAND_ROWS) -> DataFrame:
+def describe(df: DataFrame, column: str) -> DataFrame:
     """Count, mean, sample deviation, extremes and interpolated quartiles, as one row."""
-    q25, q50, q75 = exact_quantiles(df, column, [0.25, 0.5, 0.75], band_rows=band_rows)
+    q25, q50, q75 = exact_quantiles(df, column, [0.25, 0.5, 0.75])
     return _numbers(df, column).agg(
         F.count("v").alias("count"),
-        F.mean("v").alias("mean"),
+        F.mean("v").cast("double").alias("mean"),
         F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"),
+        F.min("v").cast("double").alias("min"),
         F.lit(q25).cast("double").alias("q25"),
         F.lit(q50).cast("double").alias("q50"),
         F.lit(q75).cast("double").alias("q75"),
-        F.max("v").alias("max"),
+        F.max("v").cast("double").alias("max"),
     )
 
 
@@ -180,13 +161,13 @@ def density(
 ) -> DataFrame:
     """Gaussian kernel density estimate on an even grid, as rows (x, density).
 
-    The bandwidth is `stddev_samp * n^(-1/5)`; the grid reaches `cut`
-    bandwidths beyond the extremes. Each value adds to every grid point and
-    sums are combined map-side, so only `points` rows per task are shuffled.
-    With `bins` the values are first counted into that many even bins and
-    each bin stands at its centre: an approximation that costs one scan.
+    The bandwidth is `stddev_samp * n^(-1/5)`; the grid reaches `cut` bandwidths beyond the
+    extremes. Each grid point is one sum, and all of
+    them are taken in one scan; no row is multiplied. With `bins` the values are
+    first counted into that many even bins and each bin stands at its centre, which
+    moves a value by at most half a bin; the sums then run over the bins.
     """
-    values = _numbers(df, column)
+    values = _numbers(df, column).select(F.col("v").cast("double").alias("v"))
     stats = values.agg(
         F.count("v").alias("n"), F.stddev_samp("v").alias("s"), F.min("v").alias("lo"), F.max("v").alias("hi")
     ).first()
@@ -204,10 +185,11 @@ def density(
             .select((F.lit(lo) + (F.col("b") + 0.5) * width).alias("v"), "w")
         )
     start, step = lo - cut * h, (hi - lo + 2 * cut * h) / (points - 1)
-    gridded = weighted.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-    x = F.lit(start) + F.col("i") * F.lit(step)
-    z = (x - F.col("v")) / F.lit(h)
-    kernel = F.col("w") * F.exp(z * z * F.lit(-0.5))
     scale = n * h * math.sqrt(2 * math.pi)
-    sums = gridded.groupBy("i").agg(F.sum(kernel).alias("k"))
-    return sums.select(x.alias("x"), (F.col("k") / F.lit(scale)).alias("density"))
+    grid = [start + i * step for i in range(points)]
+
+    def kernel_sum(x: float) -> Column:
+        z = (F.lit(x) - F.col("v")) / F.lit(h)
+        return F.sum(F.col("w") * F.exp(z * z * F.lit(-0.5))) / F.lit(scale)
+
+    return weighted.agg(F.array(*[F.struct(F.lit(x).alias("x"), kernel_sum(x).alias("density")) for x in grid]).alias("g")).select(F.inline("g"))

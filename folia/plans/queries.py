@@ -527,7 +527,7 @@ def narrowed_quantiles(spark, sf_dir):
     """Quantiles of the line prices found through sketches and exact counts."""
     probabilities = [0.25, 0.5, 0.75]
     lines = table(spark, sf_dir, "lineitem")
-    values = profile.exact_quantiles(lines, "l_extendedprice", probabilities, interpolate=False, band_rows=1000)
+    values = profile.exact_quantiles(lines, "l_extendedprice", probabilities, interpolate=False)
     return spark.createDataFrame(list(zip(probabilities, values)), "p double, value double")
 
 
