@@ -13,8 +13,11 @@ no bin is one task's work. Ids are never shuffled: the checksum of every piece i
 known when a document is tokenized, since a rest carries its running checksums at
 every UNIT tokens and a checksum of a part follows from those of two prefixes.
 
-Words are split at white space, which the tokenizer drops, and each distinct word is
-encoded once; the ids are the same as those of the whole text.
+Texts are split where the tokenizer's own pattern always splits: at white space, which it
+drops, and between an ASCII letter and an ASCII mark after it. A-Z are lower-cased, as
+the tokenizer does. Each distinct part is encoded once, and the ids are those of
+the whole text. Apostrophes and bars stay with what is around them, since
+contractions and special tokens hold them; parts of a special token keep their case.
 
 Defined results: null and empty texts are the one id END. Every input row is a
 document of its own, so repeated rows are packed twice and a null id is kept.
@@ -32,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folia.llm.bytesops import U64, Texts, chunks, pack, ranges
+from folia.llm.bytesops import LOWER, U64, Texts, chunks, pack, ranges
 from folia.llm.common import id_text, map_arrow, written
 
 WINDOW, UNIT, END = 4096, 16, 2
@@ -45,10 +48,40 @@ PIECES = pa.schema([("doc_id", LONG), ("start", LONG), ("length", LONG), ("ids_c
 PLACED = pa.schema([("doc_id", LONG), ("start", LONG), ("length", LONG), ("ids_crc32", LONG), ("doc_tokens", LONG), ("sequence_id", LONG), ("place", LONG)])
 
 
+MARK = np.zeros(256, bool)
+MARK[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+MARK[[ord("'"), ord("|")]] = False
+LETTER = np.zeros(256, bool)
+LETTER[[*range(65, 91), *range(97, 123)]] = True
+
+
+def parts(t: Texts) -> tuple[Texts, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts as the tokenizer sees them, and their parts: starts, ends, offsets by text."""
+    starts, ends, offsets = t.word_spans
+    data = LOWER[t.data]
+    raw = t.data.tobytes()
+    at = raw.find(b"<|")
+    while at >= 0:  # rare: what may be a special token
+        w = np.searchsorted(starts, at, "right") - 1
+        data[starts[w] : ends[w]] = t.data[starts[w] : ends[w]]
+        at = raw.find(b"<|", int(ends[w]))
+    cut = np.zeros(len(data), bool)
+    if len(data):
+        cut[1:] = LETTER[t.data[:-1]] & MARK[t.data[1:]]
+        cut[t.text_starts] = False
+    # Where a part begins, one before it ends: one mark for each side, so no sorting.
+    last = np.zeros(len(data) + 1, bool)
+    last[ends] = True
+    last[:-1] |= cut
+    cut[starts] = True
+    starts = np.flatnonzero(cut)
+    return Texts(data, t.offsets, t.first, t.last), starts, np.flatnonzero(last), np.searchsorted(starts, t.offsets)
+
+
 class Encoder:
     """Token ids of texts, with those of distinct words kept in flat arrays."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 600_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -73,7 +106,7 @@ class Encoder:
 
     def encode(self, t: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with END after it, and offsets by text."""
-        starts, ends, offsets = t.word_spans
+        t, starts, ends, offsets = parts(t)
         words = t.hashes(starts, ends)
         distinct, where, inverse = np.unique(words, return_index=True, return_inverse=True)
         for again in range(2):
@@ -119,6 +152,12 @@ def _times(a: int, b: int) -> int:
     return out
 
 
+@cache
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this worker, which later tasks find warm."""
+    return Encoder(path)
+
+
 def crc_of_rest(whole: int, head: int, rest_bytes: int) -> int:
     """crc32 of a string's rest, from those of the whole and of its head."""
     shift, i = 0x80000000, 0
@@ -152,7 +191,7 @@ def tokenized(docs: DataFrame, path: str) -> DataFrame:
     """Whole windows and rests of every document, with their checksums."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         for batch in batches:
             for t in chunks(batch.column("text")):
                 ids, offsets = encoder.encode(t)
