@@ -1,6 +1,6 @@
 """Numpy kernels over the UTF-8 bytes of many texts at once.
 
-An Arrow batch is cut into chunks of whole texts, so that a task holds a few
+An Arrow batch is cut into chunks of whole texts, so that a task holds some tens of
 megabytes of working arrays whatever the batch size; only a text longer than a
 chunk gets one of its own. Words are runs of bytes outside space and 0x09-0x0D,
 which are the same in bytes as in code points.
@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 U64 = np.uint64
 
 SPACE = np.zeros(256, bool)

@@ -65,7 +65,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int,
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this library to the executors, once per application, as --py-files would."""
+    """Sends this library to the executors, once per application, as --py-files would.
+
+    Batches for Python are kept to 16 MB, so that a worker holds little however long the
+    texts are.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return

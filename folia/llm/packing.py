@@ -81,7 +81,7 @@ def parts(t: Texts) -> tuple[Texts, np.ndarray, np.ndarray, np.ndarray]:
 class Encoder:
     """Token ids of texts, with those of distinct words kept in flat arrays."""
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -89,15 +89,15 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.keys, self.first, self.size = np.empty(0, U64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.keys, self.first, self.size = np.empty(0, U64), np.empty(0, np.int32), np.empty(0, np.int32)
         self.ids = np.empty(0, np.uint32)
 
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
         if len(self.keys) + len(keys) > self.limit:
             self.forget()
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        size = np.array([len(x) for x in got], np.int64)
-        first = len(self.ids) + np.concatenate(([0], np.cumsum(size)[:-1]))
+        got = [e.ids for a in range(0, len(words), 4096) for e in self.tokenizer.encode_batch_fast(words[a : a + 4096], add_special_tokens=False)]
+        size = np.array([len(x) for x in got], np.int32)
+        first = (len(self.ids) + np.cumsum(size) - size).astype(np.int32)
         self.ids = np.concatenate((self.ids, np.array([i for x in got for i in x], np.uint32)))
         merged = np.concatenate((self.keys, keys))
         order = np.argsort(merged, kind="stable")
@@ -122,7 +122,7 @@ class Encoder:
             self._learn(distinct[new], [data[s:e].decode() for s, e in zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)])
             self.limit = limit
         place = np.searchsorted(self.keys, distinct)
-        first, size = (self.first[place][inverse], self.size[place][inverse]) if len(words) else (np.empty(0, np.int64), np.empty(0, np.int64))
+        first, size = (self.first[place][inverse].astype(np.int64), self.size[place][inverse].astype(np.int64)) if len(words) else (np.empty(0, np.int64), np.empty(0, np.int64))
         before = np.concatenate(([0], np.cumsum(size)))
         out_offsets = before[offsets] + np.arange(t.size + 1)
         out = np.empty(out_offsets[-1], np.uint32)
