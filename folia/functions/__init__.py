@@ -7,8 +7,7 @@ from folia.functions.expressions import (
     hash_bucket,
     json_fields,
     row_to_json,
-    truthy_number,
-    truthy_text,
+    truthy_field,
 )
 from folia.functions.sanitize import document_schema, sanitize
 
@@ -23,6 +22,5 @@ __all__ = [
     "json_fields",
     "row_to_json",
     "sanitize",
-    "truthy_number",
-    "truthy_text",
+    "truthy_field",
 ]

@@ -86,11 +86,8 @@ def has_field(body: Column | str, name: str) -> Column:
     return F.coalesce(F.array_contains(F.json_object_keys(_col(body)), name), F.lit(False))
 
 
-def truthy_text(column: Column | str) -> Column:
-    """True for a text that is present and not empty; never NULL."""
-    return F.coalesce(_col(column) != "", F.lit(False))
-
-
-def truthy_number(column: Column | str) -> Column:
-    """True for a number that is present and not zero; never NULL."""
-    return F.coalesce(_col(column) != 0, F.lit(False))
+def truthy_field(body: Column | str, name: str) -> Column:
+    """Whether a JSON object has a field that is neither null, false, zero nor empty; never NULL."""
+    value = F.to_json(F.try_variant_get(F.try_parse_json(_col(body)), f"$.{name}", "variant"))
+    nothing = value.rlike(r'^(null|false|""|\[\]|\{\}|-?0+(\.0+)?([eE][+-]?[0-9]+)?)$')
+    return F.coalesce(~nothing, F.lit(False))

@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folia.functions import has_field, json_fields, truthy_number, truthy_text
+from folia.functions import has_field, json_fields, truthy_field
 from folia.operators.catalog import BOOK_COLUMNS
-from folia.operators.spread import HOT_ROWS, hot_keys, lookup_join, running_start
+from folia.operators.spread import HOT_ROWS, hot_keys, lookup_join, place_by_range
 from folia.session import durable
 
 # Operations, outcomes, and the fields an update may set.
@@ -28,9 +28,6 @@ UPDATABLE_FIELDS = ["quantity"]
 REQUIRED_FIELDS = ["title", "isbn", "published_year", "price"]
 OPTIONAL_FIELDS = ["publisher_id"]
 
-# A task numbers the inserts of 2^20 consecutive `seq` at a time.
-BLOCK_BITS = 20
-
 
 @dataclass(frozen=True)
 class Changed:
@@ -44,29 +41,27 @@ class Changed:
 def read_inserts(log: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
     """Inserts with their fields in the types of the books table and `valid`.
 
-    Required fields must be present and neither empty nor zero. A number in
-    quotes counts as that number; a text that is no number is not valid.
+    Required fields must be present and true in the sense of the JSON value: null, false,
+    0, "" and empty lists or objects are not, any other text is, "0" too. A number in
+    quotes counts as that number, a number or true in a text column as its text; what
+    does not fit the type of its column is not valid.
     """
     names = REQUIRED_FIELDS + OPTIONAL_FIELDS
-    raw = log.filter(F.col("op") == INSERT).select("seq", json_fields("body", names))
-    typed = raw.select("seq", *[F.col(n).try_cast(types[n]).alias(n) for n in names])
-    tests = [
-        truthy_text(n) if isinstance(types[n], T.StringType) else truthy_number(n) for n in REQUIRED_FIELDS
-    ]
-    valid = tests[0]
-    for test in tests[1:]:
-        valid = valid & test
-    return typed.withColumn("valid", valid)
-
-
-def number_inserts(valid: DataFrame, high_water: int, block_bits: int = BLOCK_BITS) -> DataFrame:
+    raw = log.filter(F.col("op") == INSERT).select("seq", "body", json_fields("body", names))
+    typed = raw.select("seq", "body", *[F.col(n).try_cast(types[n]).alias(n) for n in names])
+    valid = F.lit(True)
+    for name in REQUIRED_FIELDS:
+        valid = valid & F.col(name).isNotNull() & truthy_field("body", name)
+    return typed.withColumn("valid", valid).drop("body")
+
+
+def number_inserts(valid: DataFrame, high_water: int) -> DataFrame:
     """Adds `book_id`: ids above `high_water`, rising with `seq`, without gaps.
 
     Ids are not reused, so pass the highest id ever given, not the highest left.
     """
-    bucketed = valid.withColumn("_block", F.shiftright("seq", block_bits))
-    placed = running_start(bucketed, [], "_block", ["seq"], F.lit(1), "_place")
-    return placed.withColumn("book_id", F.col("_place") + F.lit(high_water + 1)).drop("_block", "_place")
+    placed = place_by_range(valid, "seq", "_place")
+    return placed.withColumn("book_id", F.col("_place") + F.lit(high_water + 1)).drop("_place")
 
 
 def read_updates(log: DataFrame, quantity_type: T.DataType) -> DataFrame:
@@ -169,8 +164,8 @@ def apply_changes(
         .agg(F.max_by("_value", "seq").alias("_value"))
         .withColumn("_hit", F.lit(True))
     )
-    hot_stock = hot_keys(inventory, ["book_id"], hot_rows)
-    updated = lookup_join(inventory, latest, ["book_id"], "left", hot_stock)
+    # Stock rows are on the left of a left join, where Spark splits a hot book itself.
+    updated = lookup_join(inventory, latest, ["book_id"], "left")
     quantity = F.when(F.col("_hit"), F.col("_value")).otherwise(F.col("quantity")).alias("quantity")
     new_inventory = updated.select(*[quantity if c == "quantity" else c for c in inventory.columns])
 

@@ -1,10 +1,11 @@
 """Nested documents from flat tables: embedded arrays, lookups and links.
 
-A parent normally becomes one document. Document stores bound the size of a
-document, and a task must hold the arrays it builds, so a parent with more than
-`part_size` children is written as several documents that share the parent's
-fields and are numbered by `part` from 0. No child is dropped. Every result
-has the `part` column; it is 0 for all parents that fit.
+Document stores bound the size of a document, and a task must hold the arrays it
+builds. So whoever asks for arrays names a bound, `part_size` rows and if wanted
+`part_bytes`, and a parent with more children is written as several documents that share
+the parent's fields and are numbered by `part` from 0. No child is dropped. Every
+result has the `part` column; it is 0 for all parents that fit. Those who want no
+bound use the flat form (`bridged`, `distinct_children`, or the children themselves).
 """
 
 from __future__ import annotations
@@ -19,18 +20,16 @@ from pyspark.sql import functions as F
 from folia.functions import document_id
 from folia.operators.spread import HOT_ROWS, hot_keys, key_counts, lookup_join, number_parts
 
-PART_SIZE = 100_000
-
 
 @dataclass(frozen=True)
 class Pack:
     """Children gathered per parent key, ready to be attached to the parents."""
 
-    rows: DataFrame  # keys, [part], the array, [total]
+    rows: DataFrame  # keys, part, the array
     keys: tuple[str, ...]
     name: str
-    total: str | None
-    hot: DataFrame | None  # keys that need several parts, with their row count
+    totals: DataFrame | None  # keys and the number of children over all parts
+    parts: DataFrame  # keys that need several parts, and how many (_parts)
 
 
 def pack(
@@ -39,19 +38,18 @@ def pack(
     name: str,
     fields: Sequence[str] | None = None,
     *,
+    part_size: int,
+    part_bytes: int | None = None,
     scalar: bool = False,
     distinct: bool = False,
     total: str | None = None,
-    part_size: int = PART_SIZE,
-    small: bool = False,
 ) -> Pack:
-    """Gathers children into one sorted array per key, hot keys into several.
+    """Gathers children into one sorted array per key, or several for a key with many.
 
     `fields` defaults to the whole child row, keys included. With `scalar` the
     single field is kept bare instead of as an object; NULL items stay. With
     `distinct` equal items are kept once. `total` names a column for the number
-    of children over all parts. `small` says that no key has more than
-    `part_size` children, which is counted otherwise.
+    of children over all parts. Lazy.
     """
     keys = list(keys)
     fields = list(fields or children.columns)
@@ -61,38 +59,22 @@ def pack(
     inner = [f"_k{i}" for i in range(len(keys))]
     slim = children.select(*[F.col(k).alias(i) for k, i in zip(keys, inner)], F.struct(*fields).alias("_c"))
     slim = slim.na.drop(subset=inner)
-    if small:
-        hot = None
-    else:
-        slim, hot = number_parts(slim.distinct() if distinct else slim, inner, part_size)
-    group = inner if hot is None else [*inner, "part"]
+    slim = slim.distinct() if distinct else slim
+    back = dict(zip(inner, keys))
+    totals = key_counts(slim, inner, total).withColumnsRenamed(back) if total else None
+    numbered, parts = number_parts(slim, inner, part_size, part_bytes)
     # Objects, not bare values, are collected: collecting drops NULL values.
-    items = F.sort_array(F.collect_set("_c") if distinct else F.collect_list("_c"))
+    items = F.sort_array(F.collect_list("_c"))
     if scalar:
         items = F.transform(items, lambda x: x[fields[0]])
     # Arrays only grow when combined before a shuffle, so rows are shuffled
     # bare; grouping and the join to the parents then stay in place.
-    rows = slim.repartition(*group).groupBy(*group).agg(items.alias(name))
-    if total:
-        count = F.size(name).cast("long")
-        if hot is not None:
-            rows = rows.join(hot, inner, "left")
-            count = F.coalesce("_n", count)
-        rows = rows.withColumn(total, count)
-    back = dict(zip(inner, keys))
-    columns = [*group, name, *([total] if total else [])]
-    rows = rows.select(*[F.col(c).alias(back.get(c, c)) for c in columns])
-    if hot is not None:
-        hot = hot.withColumnsRenamed(back)
-    return Pack(rows, tuple(keys), name, total, hot)
-
+    group = [*inner, "part"]
+    rows = numbered.repartition(*group).groupBy(*group).agg(items.alias(name))
+    return Pack(rows.withColumnsRenamed(back), tuple(keys), name, totals, parts.withColumnsRenamed(back))
 
-def fits(children: DataFrame, keys: Sequence[str], part_size: int = PART_SIZE) -> bool:
-    """Whether no key has more than `part_size` rows; an action."""
-    return hot_keys(children, keys, part_size) is None
 
-
-def attach(parents: DataFrame, packs: Sequence[Pack], part_size: int = PART_SIZE) -> DataFrame:
+def attach(parents: DataFrame, packs: Sequence[Pack]) -> DataFrame:
     """Left-joins packs that share one key to their parents; no child gives `[]`.
 
     Each pack has one row per key and part, so several packs never multiply.
@@ -100,29 +82,35 @@ def attach(parents: DataFrame, packs: Sequence[Pack], part_size: int = PART_SIZE
     keys = list(packs[0].keys)
     if any(list(p.keys) != keys for p in packs):
         raise ValueError("packs must share the parent key")
-    split = [p.hot for p in packs if p.hot is not None]
+    most = reduce(DataFrame.unionByName, [p.parts for p in packs]).groupBy(*keys).agg(F.max("_parts").alias("_parts"))
+    further = most.select(*keys, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_parts") - 1)).alias("part"))
     docs = parents.withColumn("part", F.lit(0).cast("long"))
-    on = keys
-    if split:
-        most = reduce(DataFrame.unionByName, split).groupBy(*keys).agg(F.max("_n").alias("_n"))
-        further = most.select(
-            *keys,
-            F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("_n") / part_size) - 1)).alias("part"),
-        )
-        docs = docs.unionByName(parents.join(further, keys).select(*parents.columns, "part"))
-        on = [*keys, "part"]
+    docs = docs.unionByName(parents.join(further, keys).select(*parents.columns, "part"))
+    names = []
     for p in packs:
-        rows = p.rows
-        if split and p.hot is None:
-            rows = rows.withColumn("part", F.lit(0).cast("long"))
-        item_type = rows.schema[p.name].dataType
-        docs = docs.join(rows, on, "left").withColumn(p.name, F.coalesce(p.name, F.array().cast(item_type)))
-        if p.total:
-            docs = docs.withColumn(p.total, F.coalesce(p.total, F.lit(0).cast("long")))
-    names = [x for p in packs for x in (p.name, p.total) if x]
+        item_type = p.rows.schema[p.name].dataType
+        docs = docs.join(p.rows, [*keys, "part"], "left").withColumn(p.name, F.coalesce(p.name, F.array().cast(item_type)))
+        names.append(p.name)
+        if p.totals is not None:
+            total = p.totals.columns[-1]
+            docs = docs.join(p.totals, keys, "left").withColumn(total, F.coalesce(total, F.lit(0).cast("long")))
+            names.append(total)
     return docs.select(*parents.columns, "part", *names)
 
 
+def embed_sets(parents: DataFrame, children: DataFrame, keys: Sequence[str], arrays: dict[str, Column]) -> DataFrame:
+    """Several arrays of distinct items from one table of children, in one grouping.
+
+    Each array is given as the item of a child row, NULL where the row has none for it.
+    For children that are few per parent by their nature; `pack_distinct` bounds them.
+    """
+    keys = list(keys)
+    sets = children.groupBy(*keys).agg(*[F.sort_array(F.collect_set(item)).alias(name) for name, item in arrays.items()])
+    docs = parents.join(sets, keys, "left")
+    empty = {name: F.coalesce(name, F.array().cast(sets.schema[name].dataType)) for name in arrays}
+    return docs.select(*parents.columns, *[c.alias(n) for n, c in empty.items()])
+
+
 def embed_many(
     parents: DataFrame,
     children: DataFrame,
@@ -130,15 +118,15 @@ def embed_many(
     name: str,
     fields: Sequence[str] | None = None,
     *,
+    part_size: int,
+    part_bytes: int | None = None,
     total: str | None = None,
-    part_size: int = PART_SIZE,
 ) -> DataFrame:
     """All child rows with the parent's key as an array of objects on the parent.
 
     The key has the same column name(s) on both sides.
     """
-    packed = pack(children, keys, name, fields, total=total, part_size=part_size)
-    return attach(parents, [packed], part_size)
+    return attach(parents, [pack(children, keys, name, fields, total=total, part_size=part_size, part_bytes=part_bytes)])
 
 
 def bridged(
@@ -180,59 +168,41 @@ def pack_distinct(
     name: str,
     fields: Sequence[str],
     *,
+    part_size: int,
+    part_bytes: int | None = None,
     scalar: bool = False,
-    part_size: int = PART_SIZE,
-    small: bool | None = None,
 ) -> Pack:
     """Distinct dimension fields per parent, as an array.
 
-    When no parent has many bridge rows, one shuffle by parent does; else
-    repeated rows are dropped, with map-side combine, before the join and
-    before the children of a parent are counted. Which holds is found out with
-    `fits` unless the caller knows, having asked for another array already.
+    Repeated bridge rows are dropped, with map-side combine, before the join and
+    before the children of a parent are counted.
     """
-    if small is None:
-        small = fits(bridge, parent_keys, part_size)
-    if not small:
-        bridge = bridge.select(*dict.fromkeys([*parent_keys, *dim_keys])).distinct()
-    children = bridged(bridge, dim, parent_keys, dim_keys, fields)
-    return pack(
-        children, parent_keys, name, fields, scalar=scalar, distinct=True, part_size=part_size, small=small
-    )
+    pairs = bridge.select(*dict.fromkeys([*parent_keys, *dim_keys])).distinct()
+    children = bridged(pairs, dim, parent_keys, dim_keys, fields)
+    return pack(children, parent_keys, name, fields, scalar=scalar, distinct=True, part_size=part_size, part_bytes=part_bytes)
 
 
-def embed_all_when_present(
-    parents: DataFrame,
-    bridge: DataFrame,
-    dim: DataFrame,
-    keys: Sequence[str],
-    name: str,
-    fields: Sequence[str],
-    *,
-    part_size: int = PART_SIZE,
-) -> DataFrame:
-    """Every distinct dimension row on each parent that has any bridge row.
-
-    This is what a join without a join condition computes when it is filtered
-    to one parent; parents without a bridge row get `[]`. Use `pack_distinct`
-    for the keyed form. The array is built once and handed to the rows as a
-    scalar, so no pairs of parents and dimension rows arise. As each document
-    repeats the whole array, the dimension has to fit one document: a larger
-    one is refused rather than cut.
+def all_rows_id(name: str) -> Column:
+    """The id under which the rows of a shared dimension are written."""
+    return F.sha2(F.lit(f"{name}|all"), 256)
+
+
+def shared_rows(dim: DataFrame, name: str, fields: Sequence[str]) -> DataFrame:
+    """The distinct rows of a dimension as a collection of their own, under one id."""
+    return dim.select(all_rows_id(name).alias("_id"), *fields).distinct()
+
+
+def refer_all_when_present(parents: DataFrame, bridge: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Links each parent that has any bridge row to all rows of a dimension.
+
+    This is what a join without a join condition computes when it is filtered to one
+    parent: every row, or none. The rows are the same for all parents, so they are
+    written once (`shared_rows`) and parents carry their id, NULL when there is no bridge
+    row. Use `pack_distinct` for the keyed form.
     """
-    values = dim.select(*fields).distinct()
-    size = values.limit(part_size + 1).count()
-    if size > part_size:
-        raise ValueError(f"the dimension has over {part_size} distinct rows and cannot sit in every document")
-    everything = values.agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("items"))
-    array = everything.select("items").scalar()
-    empty = F.array().cast(everything.schema["items"].dataType)
-    present = key_counts(bridge, keys, "_bridge_rows")
-    return (
-        parents.join(present, list(keys), "left")
-        .withColumn(name, F.when(F.col("_bridge_rows").isNotNull(), array).otherwise(empty))
-        .select(*parents.columns, name)
-    )
+    present = bridge.select(*keys).na.drop().distinct().withColumn("_present", F.lit(True))
+    ref = F.when(F.col("_present"), all_rows_id(name)).alias(f"{name}_ref")
+    return parents.join(present, list(keys), "left").select(*parents.columns, ref)
 
 
 def embed_one(
@@ -300,7 +270,8 @@ def histories(
     info: str = "parent_info",
     total: str = "total_children",
     history: str = "history",
-    part_size: int = PART_SIZE,
+    part_size: int,
+    part_bytes: int | None = None,
 ) -> DataFrame:
     """Each parent with the documents that refer to it and their number.
 
@@ -309,8 +280,8 @@ def histories(
     """
     keyed = parents.select(F.col(parent_ref).alias("_ref"), F.struct(*parents.columns).alias(info))
     referring = children.select(F.col(child_ref).alias("_ref"), F.struct(*children.columns).alias("_doc"))
-    packed = pack(referring, ["_ref"], history, ["_doc"], scalar=True, total=total, part_size=part_size)
-    return attach(keyed, [packed], part_size).select(info, "part", total, history)
+    packed = pack(referring, ["_ref"], history, ["_doc"], scalar=True, total=total, part_size=part_size, part_bytes=part_bytes)
+    return attach(keyed, [packed]).select(info, "part", total, history)
 
 
 def history_sample(

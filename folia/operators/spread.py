@@ -130,50 +130,52 @@ def running_start(
     )
 
 
+def place_by_range(df: DataFrame, order: str, name: str) -> DataFrame:
+    """Adds the 0-based place of each row by the unique column `order`.
+
+    Rows are dealt out by ranges of the column, however its values are spread, and counted
+    per range; the counts of the ranges before come in as an offset. The ranges are
+    checkpointed, as both uses need the same ones.
+    """
+    ranged = durable(df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()))
+    totals = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    ranges_before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_range", F.coalesce(F.sum("_n").over(ranges_before), F.lit(0)).alias("_offset"))  # a row per range
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1
+    placed = ranged.withColumn("_inside", inside).join(offsets, "_range")
+    return placed.withColumn(name, (F.col("_offset") + F.col("_inside")).cast("long")).drop("_range", "_offset", "_inside")
+
+
 def number_parts(
-    children: DataFrame,
-    keys: Sequence[str],
-    part_size: int,
-    max_hot_keys: int = MAX_HOT_KEYS,
-) -> tuple[DataFrame, DataFrame | None]:
-    """Splits the children of each key into parts of at most `part_size` rows.
-
-    Returns the children with a `part` column, and the counts (`_n`) of the
-    keys that need several parts. When none does, the children come back as
-    they are, without `part`, and the second result is None.
-
-    Only rows of keys over the limit are numbered. Equal rows are counted into
-    one first, so a heap of copies never meets in one task; rows then take
-    consecutive places in hash order and the place gives the part.
+    children: DataFrame, keys: Sequence[str], part_size: int, part_bytes: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Splits the children of each key into parts of at most `part_size` rows, and with
+    `part_bytes` of about so many bytes (a part's last row may pass it).
+
+    Returns the children with a `part` column, and (keys, _parts) of the keys that need
+    several. Rows take consecutive places by (hash of the row, row), and the running
+    weight gives the part, so a part depends on the rows of its key alone. Equal rows are
+    counted into one first, so a heap of copies never meets in one task. Lazy.
     """
     keys = list(keys)
     values = [c for c in children.columns if c not in keys]
-    if children.count() <= part_size:
-        return children, None
-    counts = key_counts(children, keys).filter(F.col("_n") > part_size)
-    size = counts.count()
-    if size == 0:
-        return children, None
-    counts = durable(counts)
-    if size <= max_hot_keys:
-        hot = children.join(F.broadcast(counts), keys)
-        cold = children.join(F.broadcast(counts), keys, "left_anti").withColumn("part", F.lit(0).cast("long"))
+    if part_bytes is None:
+        capacity, weight = part_size, F.lit(1).cast("long")
     else:
-        # Too many keys to broadcast: number every key that joins at all.
-        hot, cold = children.na.drop(subset=keys).withColumn("_n", F.lit(part_size * 65536).cast("long")), None
-
-    distinct = hot.groupBy(*keys, *values).agg(F.count(F.lit(1)).alias("_copies"), F.max("_n").alias("_n"))
-    slots = F.greatest(F.ceil(F.col("_n") / part_size), F.lit(1))
-    bucketed = distinct.withColumn("_bucket", F.pmod(F.xxhash64(*values), slots) if values else F.lit(0))
-    order = values or [F.lit(0)]
-    placed = running_start(bucketed, keys, "_bucket", order, F.col("_copies"), "_start")
-    first = F.expr(f"_start div {part_size}")
-    last = F.expr(f"(_start + _copies - 1) div {part_size}")
-    parted = placed.withColumn("part", F.explode(F.sequence(first, last)))
-    here = F.least(F.col("_start") + F.col("_copies"), (F.col("part") + 1) * part_size) - F.greatest(
-        F.col("_start"), F.col("part") * part_size
+        size = F.coalesce(F.octet_length(F.to_json(F.struct(*values))), F.lit(0)) if values else F.lit(0)
+        capacity, weight = part_size * part_bytes, F.greatest(F.lit(part_bytes), size * part_size).cast("long")
+    weighed = children.withColumn("_w", weight)
+    totals = weighed.na.drop(subset=keys).groupBy(*keys).agg(F.sum("_w").alias("_n")).filter(F.col("_n") > capacity)
+    parts = totals.withColumn("_parts", F.expr(f"(_n + {capacity} - 1) div {capacity}"))
+    small = weighed.join(totals.select(*keys), keys, "left_anti").select(*children.columns, F.lit(0).cast("long").alias("part"))
+    large = weighed.join(parts, keys)
+    counted = large.groupBy(*keys, *values).agg(
+        F.count(F.lit(1)).alias("_copies"), F.max("_parts").alias("_parts"), F.max("_w").alias("_w")
     )
-    numbered = parted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), here))).select(
-        *children.columns, "part"
+    bucketed = counted.withColumn("_bucket", F.pmod(F.xxhash64(*values), F.col("_parts")) if values else F.lit(0))
+    placed = running_start(
+        bucketed.withColumnRenamed("_w", "_each"), keys, "_bucket", values or [F.lit(0)], F.col("_copies") * F.col("_each"), "_start"
     )
-    return (numbered if cold is None else cold.unionByName(numbered)), counts
+    copies = placed.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
+    numbered = copies.withColumn("part", F.expr(f"(_start + _copy * _each) div {capacity}"))
+    return small.unionByName(numbered.select(*children.columns, "part")), parts.select(*keys, "_parts")

@@ -68,16 +68,15 @@ def change_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     )
     k = F.col("k").cast("int")
     event = F.col("event_id").cast("string")
-    # Some bodies lack a field or hold an empty, zero or null one.
+    # Some bodies lack a field or hold an empty, zero, false or null one, or a zero in quotes.
     insert_body = F.concat(
-        F.lit('{"title": "'),
-        F.when(k == 0, "").otherwise(F.concat(F.lit("Book "), event)),
-        F.lit('"'),
-        F.when(k == 20, "").otherwise(F.concat(F.lit(', "isbn": "'), event, F.lit('"'))),
+        F.lit('{"title": '),
+        F.when(k == 0, '""').when(k == 60, "false").when(k == 63, "0").otherwise(F.concat(F.lit('"Book '), event, F.lit('"'))),
+        F.when(k == 20, "").when(k == 61, ', "isbn": []').otherwise(F.concat(F.lit(', "isbn": "'), event, F.lit('"'))),
         F.lit(', "published_year": '),
         F.when(k == 30, "null").otherwise((k + 1990).cast("string")),
         F.lit(', "price": '),
-        F.when(k == 10, "0").otherwise(F.col("value").cast("string")),
+        F.when(k == 10, "0").when(k == 62, '"0"').otherwise(F.col("value").cast("string")),
         F.when(k == 40, "").otherwise(F.concat(F.lit(', "publisher_id": '), k.cast("string"))),
         F.lit("}"),
     )

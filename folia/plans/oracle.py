@@ -14,11 +14,13 @@ authors AS (SELECT s_suppkey AS author_id, n_name AS first_name,
 inventory AS (SELECT l_orderkey AS book_id,
                      CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS INTEGER) END AS quantity
               FROM lineitem),
-credits AS (SELECT book_id, first_name || ' ' || last_name AS author
-            FROM book_author LEFT JOIN authors USING (author_id)),
-listing AS (SELECT books.*, author, CAST(COALESCE(sum(quantity), 0) AS BIGINT) AS inventory
-            FROM books LEFT JOIN credits USING (book_id) LEFT JOIN inventory USING (book_id)
-            GROUP BY ALL)
+stock AS (SELECT b.book_id, (SELECT CAST(sum(i.quantity) AS BIGINT) FROM inventory i WHERE i.book_id = b.book_id) AS q FROM books b),
+names AS (SELECT author_id, concat_ws('', first_name, ' ', last_name) AS author FROM authors
+          WHERE first_name IS NOT NULL AND last_name IS NOT NULL),
+times AS (SELECT ba.book_id, n.author, count(*) AS m FROM book_author ba LEFT JOIN names n ON n.author_id = ba.author_id
+          GROUP BY ba.book_id, n.author),
+listing AS (SELECT b.*, t.author, COALESCE(s.q * COALESCE(t.m, 1), 0) AS inventory
+            FROM books b JOIN stock s ON s.book_id = b.book_id LEFT JOIN times t ON t.book_id = b.book_id)
 """
 
 _LABELLED = """
@@ -36,7 +38,7 @@ raw AS (SELECT event_id AS seq, user_id, value,
                     WHEN event_type = 'error' THEN 'delete' ELSE 'update' END AS op,
                CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
 log AS (SELECT seq, op, CASE WHEN op <> 'insert' THEN user_id END AS key, k, value FROM raw),
-checked AS (SELECT *, k NOT IN (0, 10, 20, 30) AS valid FROM log WHERE op = 'insert'),
+checked AS (SELECT *, k NOT IN (0, 10, 20, 30, 60, 61, 63) AS valid FROM log WHERE op = 'insert'),
 ins AS (SELECT seq, k, value,
                (SELECT max(s_suppkey) FROM supplier) + row_number() OVER (ORDER BY seq) AS id
         FROM checked WHERE valid),
@@ -64,7 +66,11 @@ _TYPES = """
 pairs AS (SELECT DISTINCT l_orderkey AS orderkey, NULLIF(p_type, 'PROMO') AS p_type
           FROM lineitem JOIN part ON l_partkey = p_partkey)
 """
-_KNOWN = "known AS (SELECT * FROM customer WHERE c_acctbal >= 0)"
+# Some orders name a customer that is not there, some name none.
+_PLACED = """
+placed AS (SELECT o_orderkey, o_totalprice, CASE o_orderpriority WHEN '5-LOW' THEN -o_custkey
+                  WHEN '1-URGENT' THEN NULL ELSE o_custkey END AS o_custkey FROM orders)
+"""
 
 
 def _describe(column: str, source: str) -> str:
@@ -139,10 +145,10 @@ ORACLE: dict[str, str] = {
     "catalog_preview": f"WITH {_CATALOG} SELECT * FROM listing ORDER BY book_id, author NULLS LAST LIMIT 3",
     "catalog_projection": f"WITH {_CATALOG} SELECT book_id, author, inventory > 0 AS in_stock FROM listing",
     "catalog_as_json": f"""WITH {_CATALOG}
-        SELECT CAST(CASE WHEN author IS NULL
-            THEN json_object('book_id', book_id, 'title', title, 'publisher_id', publisher_id, 'inventory', inventory)
-            ELSE json_object('book_id', book_id, 'title', title, 'publisher_id', publisher_id, 'author', author,
-                             'inventory', inventory) END AS VARCHAR) AS document FROM listing""",
+        SELECT '{{"book_id":' || book_id || ',"title":"' || title || '","isbn":"' || isbn
+               || '","published_year":' || published_year || ',"price":' || CAST(CAST(price AS DECIMAL(18,2)) AS VARCHAR)
+               || ',"publisher_id":' || publisher_id || COALESCE(',"author":"' || author || '"', '')
+               || ',"inventory":' || inventory || '}}' AS document FROM listing""",
     "book_lookup": f"WITH {_CATALOG} SELECT * FROM books WHERE book_id = 15",
     "orders_by_status": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'",
     "author_credit_counts": f"""WITH {_CATALOG} SELECT last_name, count(*) AS credits
@@ -165,53 +171,60 @@ ORACLE: dict[str, str] = {
         LEFT JOIN nation ON n_nationkey = c_nationkey AND c_mktsegment <> 'MACHINERY'""",
     "brand_documents": """SELECT p_brand, count(*) AS n_parts, min(p_partkey) AS first_part,
         max(p_retailprice) AS max_price FROM part GROUP BY p_brand""",
-    "order_links": f"""WITH {_KNOWN}
+    "order_links": f"""WITH {_PLACED}
         SELECT sha256('orders|' || CAST(o_orderkey AS VARCHAR)) AS _id, o_orderkey, o_custkey,
                CASE WHEN c_custkey IS NOT NULL THEN sha256('customers|' || CAST(o_custkey AS VARCHAR)) END AS customer_ref
-        FROM orders LEFT JOIN known ON o_custkey = c_custkey""",
+        FROM placed LEFT JOIN customer ON o_custkey = c_custkey""",
     "order_part_types": f"""WITH {_TYPES}
         SELECT o_orderkey AS orderkey, count(pairs.orderkey) AS n_types,
                COALESCE(string_agg(COALESCE(p_type, '~'), ',' ORDER BY p_type NULLS FIRST)
                         FILTER (WHERE pairs.orderkey IS NOT NULL), '') AS types
         FROM orders LEFT JOIN pairs ON o_orderkey = pairs.orderkey GROUP BY o_orderkey""",
     "order_distinct_types": f"WITH {_TYPES} SELECT * FROM pairs",
-    "order_all_regions": """
-        WITH present AS (SELECT DISTINCT l_orderkey FROM lineitem)
-        SELECT o_orderkey AS orderkey, count(r_name) AS n_regions,
-               COALESCE(string_agg(r_name, ',' ORDER BY r_name), '') AS regions
-        FROM orders LEFT JOIN (SELECT * FROM present, region) ON o_orderkey = l_orderkey GROUP BY o_orderkey""",
-    "order_visit_documents": f"""WITH {_TYPES}, {_KNOWN},
+    "order_all_regions": """SELECT o_orderkey AS orderkey,
+        CASE WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem) THEN sha256('regions|all') END AS regions_ref FROM orders""",
+    "shared_regions": "SELECT DISTINCT sha256('regions|all') AS _id, r_name, r_regionkey FROM region",
+    "order_visit_documents": f"""WITH {_TYPES}, {_PLACED},
         types AS (SELECT orderkey, count(*) AS n, string_agg(COALESCE(p_type, '~'), ',' ORDER BY p_type NULLS FIRST) AS t
                   FROM pairs GROUP BY orderkey),
         items AS (SELECT l_orderkey, count(DISTINCT (p_brand, p_size)) AS n
                   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey),
         sellers AS (SELECT l_orderkey, count(DISTINCT (s_name, s_nationkey)) AS n
                     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_orderkey),
-        present AS (SELECT l_orderkey, (SELECT count(DISTINCT r_name) FROM region) AS n FROM lineitem GROUP BY l_orderkey)
+        firsts AS (SELECT l_orderkey, min(l_suppkey) AS s FROM lineitem GROUP BY l_orderkey)
         SELECT o_orderkey AS orderkey, COALESCE(types.n, 0) AS n_types, COALESCE(items.n, 0) AS n_items,
-               COALESCE(sellers.n, 0) AS n_sellers, COALESCE(present.n, 0) AS n_regions, COALESCE(t, '') AS types,
-               CASE WHEN c_custkey IS NOT NULL THEN sha256('customers|' || CAST(o_custkey AS VARCHAR)) END AS customer_ref
-        FROM orders LEFT JOIN types ON o_orderkey = types.orderkey
+               COALESCE(sellers.n, 0) AS n_sellers, COALESCE(t, '') AS types,
+               CASE WHEN firsts.s IS NOT NULL THEN sha256('regions|all') END AS regions_ref,
+               CASE WHEN c_custkey IS NOT NULL THEN sha256('customers|' || CAST(o_custkey AS VARCHAR)) END AS customer_ref,
+               CASE WHEN s_suppkey IS NOT NULL THEN sha256('suppliers|' || CAST(s_suppkey AS VARCHAR)) END AS supplier_ref
+        FROM placed LEFT JOIN types ON o_orderkey = types.orderkey
         LEFT JOIN items ON o_orderkey = items.l_orderkey
         LEFT JOIN sellers ON o_orderkey = sellers.l_orderkey
-        LEFT JOIN present ON o_orderkey = present.l_orderkey
-        LEFT JOIN known ON o_custkey = c_custkey""",
-    "customer_histories": f"""WITH {_KNOWN}
+        LEFT JOIN firsts ON o_orderkey = firsts.l_orderkey
+        LEFT JOIN customer ON o_custkey = c_custkey
+        LEFT JOIN supplier ON firsts.s = s_suppkey AND s_acctbal >= 0""",
+    "customer_histories": f"""WITH {_PLACED}
         SELECT c_custkey, count(o_orderkey) AS total_children, count(o_orderkey) AS n_history,
                max(o_totalprice) AS max_price, min(o_totalprice) AS min_price
-        FROM known LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey""",
-    "customer_history_sample": f"""WITH {_KNOWN}
+        FROM customer LEFT JOIN placed ON c_custkey = o_custkey GROUP BY c_custkey""",
+    "customer_history_sample": f"""WITH {_PLACED}
         SELECT c_custkey, count(o_orderkey) AS total_children, count(o_orderkey) AS n_history,
                max(o_totalprice) AS max_price, min(o_totalprice) AS min_price
-        FROM (SELECT * FROM known ORDER BY c_custkey LIMIT 3) k LEFT JOIN orders ON c_custkey = o_custkey
+        FROM (SELECT * FROM customer ORDER BY c_custkey LIMIT 3) k LEFT JOIN placed ON c_custkey = o_custkey
         GROUP BY c_custkey""",
+    "history_sample_json": f"""WITH {_PLACED}, firsts AS (SELECT c_custkey, sha256('customers|' || CAST(c_custkey AS VARCHAR)) AS id
+                      FROM customer ORDER BY c_custkey LIMIT 3)
+        SELECT '{{"parent_info":{{"_id":"' || id || '","c_custkey":' || c_custkey || '}},"part":0,"total_children":' || count(o_orderkey)
+               || ',"history":[' || COALESCE(string_agg('{{"customer_ref":"' || id || '","o_orderkey":' || o_orderkey || '}}', ','
+                  ORDER BY o_orderkey) FILTER (WHERE o_orderkey IS NOT NULL), '') || ']}}' AS document
+        FROM firsts LEFT JOIN placed ON c_custkey = o_custkey GROUP BY id, c_custkey""",
     "sanitized_orders": """SELECT o_orderkey, o_totalprice AS price, o_totalprice AS paid,
         strftime(date_trunc('day', o_orderdate), '%Y-%m-%d %H:%M:%S') AS paid_at FROM orders""",
     "csv_round_trip": """SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey,
         CAST(CASE WHEN o_orderstatus <> 'F' THEN o_custkey END AS INTEGER) AS custkey,
         o_totalprice, o_orderpriority FROM orders""",
-    "collection_round_trip": """SELECT c_custkey, c_mktsegment, c_acctbal AS balance
-        FROM customer, range(2) WHERE c_nationkey = 7""",
+    "collection_round_trip": "SELECT c_custkey, c_nationkey, c_mktsegment, c_acctbal AS balance FROM customer, range(2)",
+    "collection_find": "SELECT c_custkey, c_mktsegment FROM customer WHERE c_nationkey = 7",
     "json_round_trip": """SELECT o_orderkey AS orderkey, count(l_partkey) AS n_lines, sum(l_quantity) AS sum_quantity
         FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey""",
     "order_json_lines": """SELECT '{"o_orderkey":' || o_orderkey
@@ -223,7 +236,7 @@ ORACLE: dict[str, str] = {
     "changed_books": f"""WITH {_CHANGES}, everything AS (
         SELECT s_suppkey AS book_id, s_name AS title, 'none' AS isbn, CAST(2000 AS INTEGER) AS published_year,
                s_acctbal AS price, s_nationkey AS publisher_id FROM supplier
-        UNION ALL SELECT id, 'Book ' || CAST(seq AS VARCHAR), CAST(seq AS VARCHAR), k + 1990, value,
+        UNION ALL SELECT id, 'Book ' || CAST(seq AS VARCHAR), CAST(seq AS VARCHAR), k + 1990, CASE WHEN k = 62 THEN 0.0 ELSE value END,
                          CASE WHEN k <> 40 THEN k END FROM ins)
         SELECT * FROM everything WHERE book_id NOT IN (SELECT key FROM gone)""",
     "changed_inventory": f"""WITH {_CHANGES}
@@ -237,10 +250,10 @@ ORACLE: dict[str, str] = {
     "undeleted_customers": f"""WITH {_CHANGES} SELECT * FROM customer
         WHERE c_custkey NOT IN (SELECT key FROM log WHERE op = 'delete')""",
     "inserts_checked": f"""WITH {_CHANGES}
-        SELECT seq, CASE WHEN k = 0 THEN '' ELSE 'Book ' || CAST(seq AS VARCHAR) END AS title,
-               CASE WHEN k <> 20 THEN CAST(seq AS VARCHAR) END AS isbn,
+        SELECT seq, CASE k WHEN 0 THEN '' WHEN 60 THEN 'false' WHEN 63 THEN '0' ELSE 'Book ' || CAST(seq AS VARCHAR) END AS title,
+               CASE WHEN k = 61 THEN '[]' WHEN k <> 20 THEN CAST(seq AS VARCHAR) END AS isbn,
                CASE WHEN k <> 30 THEN k + 1990 END AS published_year,
-               CASE WHEN k = 10 THEN 0.0 ELSE value END AS price,
+               CASE WHEN k IN (10, 62) THEN 0.0 ELSE value END AS price,
                CASE WHEN k <> 40 THEN k END AS publisher_id, valid FROM checked""",
     "event_fields": """SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
         CAST(NULL AS VARCHAR) AS z, TRUE AS has_k, FALSE AS has_z FROM events""",
@@ -257,7 +270,11 @@ ORACLE: dict[str, str] = {
     "exact_medians": """SELECT count(CASE WHEN l_returnflag <> 'R' THEN l_quantity END) AS n,
         quantile_disc(CASE WHEN l_returnflag <> 'R' THEN l_quantity END, 0.5) AS median_quantity,
         quantile_disc(l_extendedprice, 0.5) AS median_price FROM lineitem""",
-    "approximate_median_rank": "SELECT count(*) AS n, TRUE AS within_error FROM lineitem",
+    # Any value of a rank within the error: the two that bound it are on either side of the middle.
+    "approximate_median_rank": """WITH ranked AS (SELECT l_extendedprice AS v, count(*) OVER (ORDER BY l_extendedprice) AS upto,
+               count(*) OVER () AS n FROM lineitem)
+        SELECT max(n) AS n, min(v) FILTER (WHERE upto >= (0.5 - 0.0001) * n) <= min(v) FILTER (WHERE upto >= (0.5 + 0.0001) * n)
+               AS within_error FROM ranked""",
     "filled_quantities": """
         WITH src AS (SELECT o_orderkey, NULLIF(o_orderpriority, '2-HIGH') AS priority,
                             CASE WHEN o_orderstatus <> 'F' THEN CAST(year(o_orderdate) AS INTEGER) END AS year FROM orders)

@@ -20,6 +20,9 @@ from folia.sources import (
     write_json,
 )
 
+# Rows that a document of these tables may hold in one array.
+PART_SIZE = 100_000
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -61,8 +64,7 @@ def catalog_projection(spark, sf_dir):
 @query
 def catalog_as_json(spark, sf_dir):
     rows = catalog.catalog_listing(*catalog_tables(spark, sf_dir))
-    fields = rows.select("book_id", "title", "publisher_id", "author", "inventory")
-    return catalog.as_json(fields)
+    return catalog.as_json(rows.withColumn("price", F.col("price").cast("decimal(18,2)")))
 
 
 @query
@@ -91,7 +93,7 @@ def author_credit_counts(spark, sf_dir):
 def order_documents(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "orderkey")
     lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "orderkey")
-    docs = documents.embed_many(orders, lines, ["orderkey"], "lines", total="n_lines")
+    docs = documents.embed_many(orders, lines, ["orderkey"], "lines", part_size=PART_SIZE, total="n_lines")
     return docs.select(
         "orderkey",
         "o_totalprice",
@@ -132,7 +134,7 @@ def customer_documents(spark, sf_dir):
     docs = documents.embed_one(
         customers, table(spark, sf_dir, "nation"), "nationkey", "n_nationkey", "nation", ["n_name", "n_regionkey"]
     )
-    docs = documents.embed_many(docs, orders, ["c_custkey"], "orders")
+    docs = documents.embed_many(docs, orders, ["c_custkey"], "orders", part_size=PART_SIZE)
     return docs.select(
         "c_custkey",
         F.size("orders").cast("long").alias("n_orders"),
@@ -150,7 +152,7 @@ def brand_documents(spark, sf_dir):
     """Parts under their brand, a text key; the parts stay a table of their own."""
     parts = table(spark, sf_dir, "part")
     brands = catalog.distinct_rows(parts, ["p_brand"])
-    docs = documents.embed_many(brands, parts, ["p_brand"], "parts")
+    docs = documents.embed_many(brands, parts, ["p_brand"], "parts", part_size=PART_SIZE)
     return docs.select(
         "p_brand",
         F.size("parts").cast("long").alias("n_parts"),
@@ -159,23 +161,26 @@ def brand_documents(spark, sf_dir):
     )
 
 
-def _known_customers(spark, sf_dir):
-    return table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 0)
+def _orders_and_customers(spark, sf_dir):
+    """Orders, of which some name a customer that is not there and some name none."""
+    priority = F.col("o_orderpriority")
+    custkey = F.when(priority == "5-LOW", -F.col("o_custkey")).when(priority != "1-URGENT", F.col("o_custkey"))
+    return table(spark, sf_dir, "orders").withColumn("o_custkey", custkey), table(spark, sf_dir, "customer")
 
 
 @query
 def order_links(spark, sf_dir):
     """Orders with the id of their customer's document, where there is one."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    orders = documents.with_document_id(orders, "orders", ["o_orderkey"])
-    return documents.link(orders, _known_customers(spark, sf_dir), "customers", "o_custkey", "c_custkey", "customer_ref")
+    orders, customers = _orders_and_customers(spark, sf_dir)
+    orders = documents.with_document_id(orders.select("o_orderkey", "o_custkey"), "orders", ["o_orderkey"])
+    return documents.link(orders, customers, "customers", "o_custkey", "c_custkey", "customer_ref")
 
 
 @query
 def order_part_types(spark, sf_dir):
     """Distinct part types per order through the lines; a missing type stays in the list."""
     lines, parts = _lines_and_parts(spark, sf_dir)
-    packed = documents.pack_distinct(lines, parts, ["orderkey"], ["partkey"], "types", ["p_type"], scalar=True)
+    packed = documents.pack_distinct(lines, parts, ["orderkey"], ["partkey"], "types", ["p_type"], scalar=True, part_size=PART_SIZE)
     docs = documents.attach(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("orderkey")), [packed])
     return docs.select("orderkey", F.size("types").cast("long").alias("n_types"), joined_text(F.col("types")).alias("types"))
 
@@ -202,42 +207,47 @@ def order_distinct_types(spark, sf_dir):
 
 @query
 def order_all_regions(spark, sf_dir):
+    """Orders with lines refer to all regions, which are written once."""
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("orderkey"))
     lines, _ = _lines_and_parts(spark, sf_dir)
-    docs = documents.embed_all_when_present(
-        orders, lines, table(spark, sf_dir, "region"), ["orderkey"], "regions", ["r_name", "r_regionkey"]
-    )
-    names = F.transform("regions", lambda x: x["r_name"])
-    return docs.select("orderkey", F.size("regions").cast("long").alias("n_regions"), joined_text(names).alias("regions"))
+    return documents.refer_all_when_present(orders, lines, ["orderkey"], "regions")
+
+
+@query
+def shared_regions(spark, sf_dir):
+    return documents.shared_rows(table(spark, sf_dir, "region"), "regions", ["r_name", "r_regionkey"])
 
 
 @query
 def order_visit_documents(spark, sf_dir):
-    """One document per order with three keyed arrays, one unkeyed array and a link."""
+    """One document per order with three keyed arrays, a reference to all regions and two links."""
     lines, parts = _lines_and_parts(spark, sf_dir)
     suppliers = table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "suppkey")
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("orderkey"), "o_custkey")
-    known = {"small": documents.fits(lines, ["orderkey"])}
-    packs = [
-        documents.pack_distinct(lines, parts, ["orderkey"], ["partkey"], "types", ["p_type"], scalar=True, **known),
-        documents.pack_distinct(lines, parts, ["orderkey"], ["partkey"], "items", ["p_brand", "p_size"], **known),
-        documents.pack_distinct(lines, suppliers, ["orderkey"], ["suppkey"], "sellers", ["s_name", "s_nationkey"], **known),
-    ]
-    docs = documents.link(orders, _known_customers(spark, sf_dir), "customers", "o_custkey", "c_custkey", "customer_ref")
-    docs = documents.embed_all_when_present(
-        docs, lines, table(spark, sf_dir, "region"), ["orderkey"], "regions", ["r_name"]
-    )
-    docs = documents.attach(docs, packs)
-    sizes = [F.size(c).cast("long").alias(f"n_{c}") for c in ("types", "items", "sellers", "regions")]
-    return sanitize(docs).select("orderkey", *sizes, joined_text(F.col("types")).alias("types"), "customer_ref")
+    orders, customers = _orders_and_customers(spark, sf_dir)
+    orders = orders.select(F.col("o_orderkey").alias("orderkey"), "o_custkey")
+    # Lines meet parts and suppliers once, and all arrays come from one grouping.
+    children = lines.select("orderkey", "partkey", "suppkey").join(parts.withColumn("is_part", F.lit(True)), "partkey", "left")
+    children = children.join(suppliers.withColumn("is_supplier", F.lit(True)), "suppkey", "left")
+    arrays = {
+        "types": F.when(F.col("is_part"), F.struct("p_type")),
+        "items": F.when(F.col("is_part"), F.struct("p_brand", "p_size")),
+        "sellers": F.when(F.col("is_supplier"), F.struct("s_name", "s_nationkey")),
+        "line_suppliers": F.struct("suppkey"),
+    }
+    docs = documents.embed_sets(orders, children, ["orderkey"], arrays)
+    first = F.when(F.size("line_suppliers") > 0, F.array_min("line_suppliers")["suppkey"])
+    docs = docs.withColumn("supplier", first).withColumn("regions_ref", F.when(F.size("line_suppliers") > 0, documents.all_rows_id("regions")))
+    docs = documents.link(docs, customers, "customers", "o_custkey", "c_custkey", "customer_ref")
+    docs = documents.link(docs, suppliers.filter("s_acctbal >= 0"), "suppliers", "supplier", "suppkey", "supplier_ref")
+    sizes = [F.size(c).cast("long").alias(f"n_{c}") for c in ("types", "items", "sellers")]
+    types = joined_text(F.transform("types", lambda x: x["p_type"])).alias("types")
+    return sanitize(docs).select("orderkey", *sizes, types, "regions_ref", "customer_ref", "supplier_ref")
 
 
 def _customers_and_orders(spark, sf_dir):
-    customers = documents.with_document_id(_known_customers(spark, sf_dir), "customers", ["c_custkey"])
-    orders = documents.link(
-        table(spark, sf_dir, "orders"), customers, "customers", "o_custkey", "c_custkey", "customer_ref"
-    )
-    return customers, orders
+    orders, customers = _orders_and_customers(spark, sf_dir)
+    customers = documents.with_document_id(customers, "customers", ["c_custkey"])
+    return customers, documents.link(orders, customers, "customers", "o_custkey", "c_custkey", "customer_ref")
 
 
 def _history_columns(docs):
@@ -254,17 +264,27 @@ def _history_columns(docs):
 @query
 def customer_histories(spark, sf_dir):
     customers, orders = _customers_and_orders(spark, sf_dir)
-    return _history_columns(documents.histories(customers, orders, "_id", "customer_ref"))
+    return _history_columns(documents.histories(customers, orders, "_id", "customer_ref", part_size=PART_SIZE))
 
 
 @query
 def customer_history_sample(spark, sf_dir):
     """Histories of the first three customers: the sample report."""
     customers, orders = _customers_and_orders(spark, sf_dir)
-    docs = documents.history_sample(customers, orders, "_id", "customer_ref", 3, ["c_custkey"])
+    docs = documents.history_sample(customers, orders, "_id", "customer_ref", 3, ["c_custkey"], part_size=PART_SIZE)
     return _history_columns(docs)
 
 
+@query
+def history_sample_json(spark, sf_dir):
+    """The sample report written as nested JSON and read back as lines of text."""
+    path = new_path(spark, "json")
+    customers, orders = _customers_and_orders(spark, sf_dir)
+    customers, orders = customers.select("_id", "c_custkey"), orders.select("customer_ref", "o_orderkey")
+    write_json(documents.history_sample(customers, orders, "_id", "customer_ref", 3, ["c_custkey"], part_size=PART_SIZE), path)
+    return spark.read.text(path).select(F.col("value").alias("document"))
+
+
 @query
 def sanitized_orders(spark, sf_dir):
     """Decimals and dates inside an array of objects come out as doubles and timestamps."""
@@ -297,7 +317,7 @@ def csv_round_trip(spark, sf_dir):
 
 @query
 def collection_round_trip(spark, sf_dir):
-    """Customers loaded to a collection twice through a hook, read back, one nation found."""
+    """Customers loaded to a collection twice through a hook, and all read back."""
     path = new_path(spark, "collection")
 
     def hook(df):
@@ -306,7 +326,15 @@ def collection_round_trip(spark, sf_dir):
     customers = table(spark, sf_dir, "customer")
     for _ in range(2):
         load_collection(customers, path, hook, mode="append")
-    return read_documents(spark, path, where={"c_nationkey": 7}).select("c_custkey", "c_mktsegment", "balance")
+    return read_documents(spark, path).select("c_custkey", "c_nationkey", "c_mktsegment", "balance")
+
+
+@query
+def collection_find(spark, sf_dir):
+    """The customers of one nation, found in a collection."""
+    path = new_path(spark, "collection")
+    load_collection(table(spark, sf_dir, "customer"), path)
+    return read_documents(spark, path, where={"c_nationkey": 7}).select("c_custkey", "c_mktsegment")
 
 
 @query
@@ -315,7 +343,7 @@ def json_round_trip(spark, sf_dir):
     path = new_path(spark, "json")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("orderkey"), "o_orderdate")
     lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "orderkey")
-    docs = documents.embed_many(orders, lines, ["orderkey"], "lines", ["l_partkey", "l_quantity"])
+    docs = documents.embed_many(orders, lines, ["orderkey"], "lines", ["l_partkey", "l_quantity"], part_size=PART_SIZE)
     write_json(docs, path)
     back = read_documents(spark, path, format="json", schema=docs.schema)
     return back.select("orderkey", F.explode_outer("lines").alias("x")).groupBy("orderkey").agg(
@@ -480,7 +508,7 @@ def approximate_median_rank(spark, sf_dir):
 
 @query
 def filled_quantities(spark, sf_dir):
-    """Missing quantities and order dates' priorities filled with exact fitted values."""
+    """Missing priorities and order years filled with their modes."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.nullif("o_orderpriority", F.lit("2-HIGH")).alias("priority"),

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from folia.functions import row_to_json, sanitize
 
@@ -21,30 +21,17 @@ def write_documents(
 ) -> int:
     """Sanitizes and writes documents in one distributed write; returns how many.
 
-    The number is counted in the collection after the write, from the file
-    footers where the format has them, so the documents are not computed again.
-    "append" adds to a collection without a key check, so a repeated run
-    duplicates documents.
+    The number is counted while the rows are written, so neither other writers nor the
+    format's own lines count, and nothing is computed again. "append" adds to a
+    collection without a key check, so a repeated run duplicates documents.
     """
-    spark = df.sparkSession
-    before = _count(spark, path, format) if mode == "append" else 0
-    writer = sanitize(df).write.mode(mode).format(format).options(**options)
+    seen = Observation()
+    documents = sanitize(df).observe(seen, F.count(F.lit(1)).alias("n"))
+    writer = documents.write.mode(mode).format(format).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
-    return _count(spark, path, format) - before
-
-
-def _count(spark: SparkSession, path: str, format: str) -> int:
-    """Documents in a collection; 0 when there is none yet."""
-    try:
-        # A JSON document is one line, so nothing has to be parsed.
-        reader = spark.read.format("text" if format == "json" else format)
-        return reader.load(path).count()
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return 0
-        raise
+    return seen.get["n"]
 
 
 def load_collection(

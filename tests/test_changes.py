@@ -2,6 +2,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from folia.operators import changes as C
 from tests.conftest import rows
@@ -47,6 +48,12 @@ def test_insert_validation(spark, tables):
         ("not json", False),
         (None, False),
         ({**GOOD, "extra": 1}, True),
+        ({**GOOD, "title": 0}, False),
+        ({**GOOD, "title": False}, False),
+        ({**GOOD, "isbn": []}, False),
+        ({**GOOD, "price": "0"}, True),
+        ({**GOOD, "title": 7}, True),
+        ({**GOOD, "price": -0.0}, False),
     ]
     result = run(spark, tables, [(i, "insert", None, b) for i, (b, _) in enumerate(cases)])
     got = outcomes(result)
@@ -161,3 +168,10 @@ def test_existing_missing_and_whitelist(spark, tables):
     assert [r["seq"] for r in C.missing(log, tables[0], hot_rows=1).orderBy("seq").collect()] == [2, 4]
     assert C.whitelist(tables[1], ["quantity", "nothing"]).columns == ["quantity"]
     assert C.whitelist(tables[1], ["nothing"]).columns == []
+
+
+def test_sparse_numbers_are_placed_without_one_task(spark, capfd):
+    df = spark.range(5000).select((F.col("id") * 10**9).alias("seq"))
+    got = {r["seq"] // 10**9: r["book_id"] for r in C.number_inserts(df, 10).collect()}
+    assert got == {i: 11 + i for i in range(5000)}
+    assert "No Partition Defined" not in capfd.readouterr().err
