@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folia.functions import hash_bucket
+from folia.operators.spread import place_by_range
 
 # Split and model settings.
 TRAIN_PERCENT = 80
@@ -59,6 +60,30 @@ def index_stages(columns: Sequence[str], invalid: str = "keep") -> list[StringIn
     ]
 
 
+def index_table(df: DataFrame, column: str) -> DataFrame:
+    """Values of a column with their index by falling frequency, ties by value: (value, idx).
+
+    The same indexes as `index_stages`, as a table: distinct values are ranked by ranges of
+    (count, value), and none come to the driver. NULL has no row; it takes the next index.
+    """
+    counts = df.select(F.col(column).cast("string").alias("value")).na.drop().groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    placed = place_by_range(counts.select("value", F.struct(-F.col("n"), "value").alias("order")), "order", "idx")
+    return placed.select("value", F.col("idx").cast("double").alias("idx"))
+
+
+def index_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """`df` with `<column>_idx` for each column, from joined index tables; NULL gets the number
+    of distinct values."""
+    out = df
+    for c in columns:
+        table = index_table(df, c)
+        size = table.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
+        key, idx = f"_{c}_value", f"{c}_idx"
+        out = out.withColumn(key, F.col(c).cast("string")).join(table.select(F.col("value").alias(key), F.col("idx").alias(idx)), key, "left")
+        out = out.withColumn(idx, F.coalesce(idx, size)).drop(key)
+    return out
+
+
 def feature_names(categorical: Sequence[str], numeric: Sequence[str]) -> list[str]:
     return [*[f"{c}_idx" for c in categorical], *numeric]
 
@@ -105,24 +130,31 @@ def logistic_regression(label: str, iterations: int = LOGISTIC_ITERATIONS) -> Lo
     return LogisticRegression(labelCol=label, featuresCol=FEATURES, maxIter=iterations)
 
 
-def decision_tree(label: str, depth: int = TREE_DEPTH, seed: int = SEED) -> DecisionTreeClassifier:
-    return DecisionTreeClassifier(labelCol=label, featuresCol=FEATURES, maxDepth=depth, seed=seed)
+def most_bins(prepared: PipelineModel) -> int:
+    """Bins that trees need: one per value of the largest indexed column and one for
+    others, and never fewer than Spark's default."""
+    sizes = [len(values) + 1 for stage in prepared.stages if hasattr(stage, "labelsArray") for values in stage.labelsArray]
+    return max([32, *sizes])
+
+
+def decision_tree(label: str, depth: int = TREE_DEPTH, seed: int = SEED, bins: int = 32) -> DecisionTreeClassifier:
+    return DecisionTreeClassifier(labelCol=label, featuresCol=FEATURES, maxDepth=depth, seed=seed, maxBins=bins)
 
 
 def random_forest(
-    label: str, trees: int = FOREST_TREES, depth: int = TREE_DEPTH, seed: int = SEED
+    label: str, trees: int = FOREST_TREES, depth: int = TREE_DEPTH, seed: int = SEED, bins: int = 32
 ) -> RandomForestClassifier:
     return RandomForestClassifier(
-        labelCol=label, featuresCol=FEATURES, numTrees=trees, maxDepth=depth, seed=seed
+        labelCol=label, featuresCol=FEATURES, numTrees=trees, maxDepth=depth, seed=seed, maxBins=bins
     )
 
 
-def standard_classifiers(label: str) -> list[tuple[str, Classifier]]:
+def standard_classifiers(label: str, bins: int = 32) -> list[tuple[str, Classifier]]:
     """The three models of the comparison, in their listed order."""
     return [
         ("Logistic Regression", logistic_regression(label)),
-        ("Decision Tree", decision_tree(label)),
-        ("Random Forest", random_forest(label)),
+        ("Decision Tree", decision_tree(label, bins=bins)),
+        ("Random Forest", random_forest(label, bins=bins)),
     ]
 
 
@@ -159,8 +191,8 @@ def compare_models(
     executor are recomputed from the input.
     """
     label_idx = f"{label}_idx"
-    models = list(classifiers or standard_classifiers(label_idx))
     prepared = fit_features(train, categorical, numeric, label, label_invalid=label_invalid)
+    models = list(classifiers or standard_classifiers(label_idx, most_bins(prepared)))
     halves = [
         prepared.transform(half).select(FEATURES, label_idx).persist(StorageLevel.MEMORY_AND_DISK)
         for half in (train, test)

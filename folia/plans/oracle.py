@@ -83,21 +83,26 @@ def _describe(column: str, source: str) -> str:
         round(max({column}), 4) AS max FROM {source}"""
 
 
-def _index(column: str) -> str:
+def _hashed(key: str) -> str:
+    """The bucket 0..99 of a key."""
+    return f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8) AS BIGINT) % 100"
+
+
+def _index(column: str, source: str = "labelled") -> str:
     """Index by falling frequency, ties by value; NULL gets the next index."""
     text = f"CAST({column} AS VARCHAR)"
     return f"""(SELECT v, CAST(row_number() OVER (ORDER BY n DESC, v) - 1 AS DOUBLE) AS i
-        FROM (SELECT {text} AS v, count(*) AS n FROM labelled WHERE {column} IS NOT NULL GROUP BY 1))"""
+        FROM (SELECT {text} AS v, count(*) AS n FROM {source} WHERE {column} IS NOT NULL GROUP BY 1))"""
 
 
-def _indexed(columns: list[str]) -> str:
+def _indexed(columns: list[str], source: str = "labelled") -> str:
     joins = "\n".join(
-        f"LEFT JOIN {_index(c)} x_{c} ON CAST(labelled.{c} AS VARCHAR) = x_{c}.v" for c in columns
+        f"LEFT JOIN {_index(c, source)} x_{c} ON CAST({source}.{c} AS VARCHAR) = x_{c}.v" for c in columns
     )
     picks = ", ".join(
-        f"COALESCE(x_{c}.i, (SELECT CAST(count(DISTINCT {c}) AS DOUBLE) FROM labelled)) AS {c}_idx" for c in columns
+        f"COALESCE(x_{c}.i, (SELECT CAST(count(DISTINCT {c}) AS DOUBLE) FROM {source})) AS {c}_idx" for c in columns
     )
-    return f"indexed AS (SELECT labelled.*, {picks} FROM labelled {joins})"
+    return f"indexed AS (SELECT {source}.*, {picks} FROM {source} {joins})"
 
 
 def _mode(column: str) -> str:
@@ -132,6 +137,28 @@ _LABELLED_TYPES = [
     ("length_bin", "string"),
 ]
 
+_PRICED = f"""
+priced AS (SELECT o_orderkey, CAST(o_totalprice > 150000 AS INTEGER) AS is_dear, CAST(o_orderstatus = 'F' AS INTEGER) AS is_done,
+                  CAST(o_orderpriority = '5-LOW' AS INTEGER) AS is_low,
+                  CASE WHEN (o_totalprice > 150000) <> (o_orderpriority = '5-LOW') THEN 'high' ELSE 'plain' END AS level,
+                  {_hashed('o_orderkey')} < 80 AS trains FROM orders)
+"""
+# The Gini impurity that is left after each possible split; the least wins.
+_STUMP = f"""WITH {_PRICED},
+    long AS (SELECT o_orderkey, trains, level, f, v FROM priced
+             UNPIVOT (v FOR f IN (is_dear, is_done, is_low))),
+    sides AS (SELECT f, v, count(*) AS n, avg(CAST(level = 'high' AS INTEGER)) AS p FROM long WHERE trains GROUP BY f, v),
+    best AS (SELECT f FROM sides GROUP BY f ORDER BY sum(n * 2 * p * (1 - p)) LIMIT 1)
+    SELECT o_orderkey, CASE WHEN p > 0.5 THEN 'high' ELSE 'plain' END AS predicted
+    FROM long JOIN best USING (f) JOIN sides USING (f, v) WHERE NOT trains"""
+_SCORES = f"""{_PRICED},
+    majority AS (SELECT is_dear, avg(CAST(level = 'high' AS INTEGER)) > 0.5 AS high FROM priced WHERE trains GROUP BY is_dear),
+    score AS (SELECT round(avg(CAST((level = 'high') = high AS INTEGER)), 10) AS accuracy
+              FROM priced JOIN majority USING (is_dear) WHERE NOT trains),
+    scores AS (SELECT CAST(position AS INTEGER) AS position, model, accuracy FROM score,
+               (VALUES (0, 'Logistic Regression'), (1, 'Decision Tree'), (2, 'Random Forest')) t(position, model))
+"""
+
 _LINES_TOTAL = """
 SELECT o_orderkey AS orderkey, o_totalprice, CAST(0 AS BIGINT) AS part, count(l_orderkey) AS n_lines,
        COALESCE(sum(l_quantity), 0.0) AS sum_quantity, min(l_linenumber) AS min_line,
@@ -340,4 +367,25 @@ ORACLE: dict[str, str] = {
     "best_source": f"""WITH {_INNER}
         SELECT source, round(avg(CASE WHEN quality = CASE WHEN n_chars > 2000 THEN 1 ELSE 0 END THEN 1.0 ELSE 0.0 END), 10) AS accuracy
         FROM labelled GROUP BY source ORDER BY accuracy DESC, source LIMIT 1""",
+    "logistic_log_odds": f"""WITH {_INNER}, train AS (SELECT * FROM labelled WHERE {_hashed('doc_id')} < 80),
+        classes AS (SELECT quality, row_number() OVER (ORDER BY count(*) DESC, CAST(quality AS VARCHAR)) - 1 AS c
+                    FROM train GROUP BY quality),
+        odds AS (SELECT toxic, ln(count(*) FILTER (WHERE c = 1) / count(*) FILTER (WHERE c = 0)) AS o
+                 FROM train JOIN classes USING (quality) GROUP BY toxic)
+        SELECT CAST(1 AS INTEGER) AS class, feature, round(v, 3) + 0.0 AS coefficient FROM (
+            SELECT 'toxic' AS feature, max(o) FILTER (WHERE toxic = 1) - max(o) FILTER (WHERE toxic = 0) AS v FROM odds
+            UNION ALL SELECT '(intercept)', max(o) FILTER (WHERE toxic = 0) FROM odds)""",
+    "stump_predictions": _STUMP,
+    "single_tree_forest_predictions": _STUMP,
+    "signal_model_scores": f"WITH {_SCORES} SELECT position, model, accuracy, position = 0 AS is_best FROM scores",
+    "signal_best_model": f"WITH {_SCORES} SELECT position, model, accuracy, TRUE AS is_best FROM scores WHERE position = 0",
+    "prepared_training_rows": f"""WITH {_LABELLED},
+        holes AS (SELECT doc_id, lang, source, quality, toxic, CASE WHEN source <> 'src3' THEN n_chars END AS n_chars FROM labelled),
+        fill AS (SELECT quantile_disc(n_chars, 0.5) AS n, {_mode('quality')}, {_mode('toxic')} FROM holes),
+        whole AS (SELECT h.doc_id, h.lang, h.source, COALESCE(h.quality, f.quality) AS quality, COALESCE(h.toxic, f.toxic) AS toxic,
+                         COALESCE(h.n_chars, f.n) AS n_chars FROM holes h, fill f),
+        binned AS (SELECT *, CASE WHEN n_chars <= 500 THEN 'Short' WHEN n_chars <= 2000 THEN 'Medium'
+                                  WHEN n_chars <= 8000 THEN 'Long' ELSE 'Very Long' END AS length_bin FROM whole),
+        {_indexed(['lang', 'source', 'length_bin', 'quality'], 'binned')}
+        SELECT doc_id, lang_idx, source_idx, length_bin_idx, toxic, quality_idx FROM indexed""",
 }

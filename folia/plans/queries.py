@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from folia.functions import bin_column, has_field, hash_bucket, json_fields, sanitize
 from folia.operators import catalog, changes, documents, models, prep, profile
-from folia.plans.bindings import catalog_tables, change_tables, labelled, table
+from folia.plans.bindings import LENGTH_EDGES, LENGTH_LABELS, catalog_tables, change_tables, labelled, table
 from folia.session import new_path
 from folia.sources import (
     json_lines,
@@ -643,9 +643,7 @@ def selected_features(spark, sf_dir):
 @query
 def string_indexes(spark, sf_dir):
     """Index of each value by falling frequency; a missing label gets the next index."""
-    docs = labelled(spark, sf_dir)
-    (indexer,) = models.index_stages([*CATEGORICAL, LABEL])
-    indexed = indexer.fit(docs).transform(docs)
+    indexed = models.index_columns(labelled(spark, sf_dir), [*CATEGORICAL, LABEL])
     return indexed.select("doc_id", *[f"{c}_idx" for c in [*CATEGORICAL, LABEL]])
 
 
@@ -713,3 +711,88 @@ def tree_predictions(spark, sf_dir):
     prepared = models.fit_features(train, CATEGORICAL, NUMERIC, LABEL)
     fitted = models.decision_tree(f"{LABEL}_idx").fit(prepared.transform(train))
     return fitted.transform(prepared.transform(test)).select("doc_id", f"{LABEL}_idx", "prediction")
+
+
+# Models whose result has a closed form, on rows where the features tell something.
+
+
+@query
+def logistic_log_odds(spark, sf_dir):
+    """One binary feature: the coefficient is the difference of the log-odds."""
+    train, _ = _split(spark, sf_dir)
+    prepared = models.fit_features(train, [], NUMERIC, LABEL).transform(train)
+    fitted = models.logistic_regression(f"{LABEL}_idx").fit(prepared)
+    rows = models.coefficients(spark, fitted, models.feature_names([], NUMERIC))
+    return rows.select("class", "feature", (F.round("coefficient", 3) + 0.0).alias("coefficient"))
+
+
+SIGNS = ["is_dear", "is_done", "is_low"]
+
+
+def _priced_orders(spark, sf_dir):
+    """Dear orders are `high`, but for those of low priority, of which the cheap are."""
+    dear, low = F.col("o_totalprice") > 150000, F.col("o_orderpriority") == "5-LOW"
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        dear.cast("int").alias("is_dear"),
+        (F.col("o_orderstatus") == "F").cast("int").alias("is_done"),
+        low.cast("int").alias("is_low"),
+        F.when(dear != low, "high").otherwise("plain").alias("level"),
+    )
+    return models.hash_split(orders, "o_orderkey")
+
+
+def _stump(label):
+    return models.decision_tree(label, depth=1)
+
+
+def _forest_of_one(label):
+    return models.random_forest(label, trees=1, depth=1).setBootstrap(False).setFeatureSubsetStrategy("all")
+
+
+def _level_predictions(spark, sf_dir, classifier):
+    train, test = _priced_orders(spark, sf_dir)
+    prepared = models.fit_features(train, [], SIGNS, "level")
+    predicted = classifier("level_idx").fit(prepared.transform(train)).transform(prepared.transform(test))
+    names = F.array(*[F.lit(x) for x in prepared.stages[-1].labels])
+    return predicted.select("o_orderkey", F.get(names, F.col("prediction").cast("int")).alias("predicted"))
+
+
+@query
+def stump_predictions(spark, sf_dir):
+    """A tree of one split takes the feature with the best Gini gain."""
+    return _level_predictions(spark, sf_dir, _stump)
+
+
+@query
+def single_tree_forest_predictions(spark, sf_dir):
+    """A forest of one tree over all rows and features is that tree."""
+    return _level_predictions(spark, sf_dir, _forest_of_one)
+
+
+@query
+def signal_model_scores(spark, sf_dir):
+    """On one binary feature with signal all three models take the majority of each value."""
+    train, test = _priced_orders(spark, sf_dir)
+    label = "level_idx"
+    three = [("Logistic Regression", models.logistic_regression(label)), ("Decision Tree", _stump(label)), ("Random Forest", _forest_of_one(label))]
+    scores = models.compare_models(train, test, [], ["is_dear"], "level", three)
+    return scores.select("position", "model", F.round("accuracy", 10).alias("accuracy"), "is_best")
+
+
+@query
+def signal_best_model(spark, sf_dir):
+    return models.best_by(signal_model_scores(spark, sf_dir), "accuracy", "position")
+
+
+@query
+def prepared_training_rows(spark, sf_dir):
+    """The whole preparation: missing values filled by median and modes, binned, selected, indexed."""
+    docs = labelled(spark, sf_dir).withColumn("n_chars", F.when(F.col("source") != "src3", F.col("n_chars")))
+    median = profile.exact_quantiles(docs, "n_chars", [0.5], interpolate=False)[0]
+    modes = prep.fit_fill_values(docs, ["quality", "toxic"])
+    filled = modes.apply(prep.FillValues({"n_chars": median}).apply(docs))
+    binned = filled.withColumn("length_bin", bin_column("n_chars", LENGTH_EDGES, LENGTH_LABELS))
+    chosen = prep.select_features(binned, CATEGORICAL, NUMERIC, LABEL, ["doc_id"])
+    indexed = models.index_columns(chosen, [*CATEGORICAL, LABEL])
+    return indexed.select("doc_id", *[f"{c}_idx" for c in CATEGORICAL], *NUMERIC, f"{LABEL}_idx")

@@ -25,19 +25,23 @@ def tables(spark):
 
 
 def naive(books, book_author, authors, inventory):
-    author = F.concat("first_name", F.lit(" "), "last_name").alias("author")
-    return (
-        books.join(book_author, "book_id", "left")
-        .join(authors, "author_id", "left")
-        .join(inventory, "book_id", "left")
-        .groupBy(*C.BOOK_COLUMNS, author)
-        .agg(F.coalesce(F.sum("quantity"), F.lit(0)).alias("inventory"))
-    )
+    """The listing by loops over the rows."""
+    books, book_author, authors, inventory = (x.collect() for x in (books, book_author, authors, inventory))
+    out = {}
+    for book in books:
+        credits = [a.author_id for a in book_author if a.book_id == book.book_id] or [None]
+        stocks = [i.quantity for i in inventory if i.book_id == book.book_id] or [None]
+        for author_id in credits:
+            names = [(a.first_name, a.last_name) for a in authors if a.author_id == author_id] or [(None, None)]
+            for first, last in names:
+                key = (*book, f"{first} {last}" if first is not None and last is not None else None)
+                out[key] = out.get(key, 0) + sum(q or 0 for q in stocks)
+    return sorted(((*k, v) for k, v in out.items()), key=repr)
 
 
 @pytest.mark.parametrize("hot_rows", [1_000_000, 5, 1])
 def test_listing_means_the_four_way_left_join(tables, hot_rows):
-    assert rows(C.catalog_listing(*tables, hot_rows=hot_rows)) == rows(naive(*tables))
+    assert rows(C.catalog_listing(*tables, hot_rows=hot_rows)) == naive(*tables)
 
 
 def test_listing_edge_cases(tables):

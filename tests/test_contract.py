@@ -35,7 +35,8 @@ def plain(value):
 
 
 def test_every_query_has_sql_unless_it_trains_a_model():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == NO_SQL
+    own = {name for name in contract.queries() if not (name.startswith("op") and name[2].isdigit()) and name != "pipeline"}
+    assert own - set(contract.oracle_sql()) == NO_SQL
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 

@@ -31,7 +31,7 @@ def employees(spark):
 
 
 def test_embed_many_keeps_whole_rows_duplicates_and_empty_parents(customers, payments):
-    docs = {r["customerNumber"]: r for r in D.embed_many(customers, payments, ["customerNumber"], "payments", total="n").collect()}
+    docs = {r["customerNumber"]: r for r in D.embed_many(customers, payments, ["customerNumber"], "payments", part_size=100, total="n").collect()}
     assert set(docs) == {1, 2, 3, 4}
     assert [p["amount"] for p in docs[1]["payments"]] == [Decimal("5.10")]
     assert docs[1]["payments"][0]["customerNumber"] == 1
@@ -56,7 +56,7 @@ def test_embed_many_in_parts_loses_nothing(spark, customers):
 def test_several_packs_do_not_multiply_even_in_parts(spark, customers):
     a = D.pack(spark.createDataFrame([(1, i) for i in range(7)], "customerNumber int, v int"), ["customerNumber"], "a", ["v"], part_size=3)
     b = D.pack(spark.createDataFrame([(1, 0), (2, 1)], "customerNumber int, v int"), ["customerNumber"], "b", ["v"], part_size=3)
-    got = D.attach(customers, [a, b], 3).filter("customerNumber < 3").collect()
+    got = D.attach(customers, [a, b]).filter("customerNumber < 3").collect()
     assert sorted((r["customerNumber"], r["part"], len(r["a"]), len(r["b"])) for r in got) == [
         (1, 0, 3, 1), (1, 1, 3, 0), (1, 2, 1, 0), (2, 0, 0, 1)
     ]
@@ -86,7 +86,7 @@ def visits(spark):
 
 def test_distinct_children_as_scalars_keep_null(visits):
     parents, bridge, dim = visits
-    packed = D.pack_distinct(bridge, dim, ["visit_id"], ["symptom_id"], "symptoms", ["note"], scalar=True)
+    packed = D.pack_distinct(bridge, dim, ["visit_id"], ["symptom_id"], "symptoms", ["note"], scalar=True, part_size=100)
     docs = {r["visit_id"]: r["symptoms"] for r in D.attach(parents, [packed]).collect()}
     assert docs == {1: [None, "cough"], 2: [], 3: [], 4: [None]}
 
@@ -95,7 +95,7 @@ def test_distinct_children_in_parts_are_the_same(spark, visits):
     parents, _, dim = visits
     bridge = spark.createDataFrame([(1, i % 4 + 1) for i in range(30)] + [(2, 1)], "visit_id int, symptom_id int")
     packed = D.pack_distinct(bridge, dim, ["visit_id"], ["symptom_id"], "items", ["symptom_id", "note"], part_size=3)
-    docs = D.attach(parents, [packed], 3)
+    docs = D.attach(parents, [packed])
     sizes = sorted((r["visit_id"], r["part"], len(r["items"])) for r in docs.collect())
     assert sizes == [(1, 0, 3), (1, 1, 1), (2, 0, 1), (3, 0, 0), (4, 0, 0)]
     back = docs.select("visit_id", F.explode("items").alias("x")).select("visit_id", "x.*")
@@ -109,13 +109,28 @@ def test_distinct_children_with_hot_dimension_keys(visits):
     assert rows(plain) == rows(split)
 
 
-def test_all_when_present_gives_every_row_or_none(visits):
+def test_all_when_present_refers_to_every_row_or_none(visits):
     parents, bridge, dim = visits
-    docs = {r["visit_id"]: r["all"] for r in D.embed_all_when_present(parents, bridge, dim, ["visit_id"], "all", ["note"]).collect()}
-    assert {k: len(v) for k, v in docs.items()} == {1: 3, 2: 3, 3: 0, 4: 3}
-    assert [x["note"] for x in docs[2]] == [None, "cough", "rash"]
-    with pytest.raises(ValueError):
-        D.embed_all_when_present(parents, bridge, dim, ["visit_id"], "all", ["note"], part_size=2)
+    docs = {r["visit_id"]: r["all_ref"] for r in D.refer_all_when_present(parents, bridge, ["visit_id"], "all").collect()}
+    shared = D.shared_rows(dim, "all", ["note"]).collect()
+    assert sorted((r["note"] or "" for r in shared)) == ["", "cough", "rash"]
+    (ref,) = {r["_id"] for r in shared}
+    assert docs == {1: ref, 2: ref, 3: None, 4: ref}
+
+
+def test_sets_of_one_grouping(visits):
+    parents, bridge, dim = visits
+    children = bridge.join(dim.withColumn("there", F.lit(True)), "symptom_id", "left")
+    docs = D.embed_sets(parents, children, ["visit_id"], {"notes": F.when(F.col("there"), F.struct("note")), "ids": F.struct("symptom_id")})
+    got = {r["visit_id"]: ([x["note"] for x in r["notes"]], [x["symptom_id"] for x in r["ids"]]) for r in docs.collect()}
+    assert got == {1: ([None, "cough"], [1, 2, 3]), 2: ([], [9]), 3: ([], []), 4: ([None], [2])}
+
+
+def test_wide_children_are_split_by_bytes(spark, customers):
+    children = spark.createDataFrame([(1, i, "x" * 1000) for i in range(20)] + [(2, 0, "y")], "customerNumber int, v int, t string")
+    docs = D.embed_many(customers, children, ["customerNumber"], "items", ["v", "t"], part_size=1000, part_bytes=5000)
+    sizes = [len(r["items"]) for r in docs.filter("customerNumber = 1").collect()]
+    assert sum(sizes) == 20 and max(sizes) <= 6 and docs.filter("customerNumber = 2").count() == 1
 
 
 def test_links_are_stable_and_absent_without_target(spark, customers, employees):
@@ -129,18 +144,18 @@ def test_links_are_stable_and_absent_without_target(spark, customers, employees)
 
 def test_histories_keep_parents_without_children(spark, customers):
     visits = spark.createDataFrame([(1, 7), (1, 8), (2, 9), (None, 1)], "ref int, visit int")
-    got = {r["parent_info"]["customerNumber"]: (r["total_children"], [v["visit"] for v in r["history"]]) for r in D.histories(customers, visits, "customerNumber", "ref").collect()}
+    got = {r["parent_info"]["customerNumber"]: (r["total_children"], [v["visit"] for v in r["history"]]) for r in D.histories(customers, visits, "customerNumber", "ref", part_size=100).collect()}
     assert got == {1: (2, [7, 8]), 2: (1, [9]), 3: (0, []), 4: (0, [])}
     split = D.histories(customers, visits, "customerNumber", "ref", part_size=1).collect()
     assert sorted((r["parent_info"]["customerNumber"], r["part"], r["total_children"]) for r in split) == [
         (1, 0, 2), (1, 1, 2), (2, 0, 1), (3, 0, 0), (4, 0, 0)
     ]
-    sample = D.history_sample(customers, visits, "customerNumber", "ref", 2)
+    sample = D.history_sample(customers, visits, "customerNumber", "ref", 2, part_size=100)
     assert sorted(r["parent_info"]["customerNumber"] for r in sample.collect()) == [1, 2]
 
 
 def test_history_sample_is_exported_as_nested_json(spark, customers, payments, scratch):
-    docs = D.history_sample(customers, payments, "customerNumber", "customerNumber", 2, total="total_payments", history="payments")
+    docs = D.history_sample(customers, payments, "customerNumber", "customerNumber", 2, total="total_payments", history="payments", part_size=100)
     assert write_json(docs, f"{scratch}/sample") == 2
     lines = sorted((json.loads(r[0]) for r in spark.read.text(f"{scratch}/sample").collect()), key=lambda x: x["parent_info"]["customerNumber"])
     assert [x["total_payments"] for x in lines] == [1, 3]

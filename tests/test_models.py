@@ -112,3 +112,19 @@ def test_accuracy_as_value_and_as_table(spark):
     assert M.accuracy(df, "label") == 0.75
     assert rows(M.accuracy_by(df, "label", by=["g"])) == [("a", 0.5), ("b", 1.0)]
     assert M.accuracy_by(df, "label").first()[0] == 0.75
+
+
+def test_trees_take_many_categories(spark):
+    rows = [(f"c{i % 40}", float(i % 3), "yes" if i % 40 < 20 else "no") for i in range(800)]
+    df = spark.createDataFrame(rows, "c string, x double, y string")
+    prepared = M.fit_features(df, ["c"], ["x"], "y")
+    fitted = M.decision_tree("y_idx", bins=M.most_bins(prepared)).fit(prepared.transform(df))
+    assert M.accuracy(fitted.transform(prepared.transform(df)), "y_idx") == 1.0
+    assert M.compare_models(df, df, ["c"], ["x"], "y").count() == 3
+
+
+def test_index_table_is_the_indexer(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("a",), (None,), ("c",), ("b",), ("d",)], "v string").repartition(3)
+    (indexer,) = M.index_stages(["v"])
+    want = indexer.fit(df).transform(df)
+    assert rows(M.index_columns(df, ["v"]).select("v", "v_idx")) == rows(want.select("v", "v_idx"))

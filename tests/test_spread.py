@@ -64,24 +64,28 @@ def test_running_start_is_the_exact_running_sum(spark):
         total[k] += w
 
 
-@pytest.mark.parametrize("max_hot_keys", [1000, 0])
 @pytest.mark.parametrize("part_size", [7, 40, 100])
-def test_number_parts_keeps_every_row_in_full_parts(skewed, part_size, max_hot_keys):
-    parted, hot = spread.number_parts(skewed, ["k"], part_size, max_hot_keys=max_hot_keys)
-    assert hot is not None
+def test_number_parts_keeps_every_row_in_full_parts(skewed, part_size):
+    parted, parts = spread.number_parts(skewed, ["k"], part_size)
     got = parted.filter("k is not null").collect()
     assert Counter((r["k"], r["v"]) for r in got) == Counter(
         (r["k"], r["v"]) for r in skewed.filter("k is not null").collect()
     )
     sizes = Counter((r["k"], r["part"]) for r in got)
+    several = {r["k"]: r["_parts"] for r in parts.collect()}
     for k, n in Counter(r["k"] for r in got).items():
         full, rest = divmod(n, part_size)
         expected = [part_size] * full + ([rest] if rest else [])
         assert [sizes[(k, p)] for p in range(len(expected))] == expected
+        assert several.get(k, 1) == len(expected)
+
+
+def test_parts_depend_on_the_rows_of_their_key_alone(spark, skewed):
+    """Other keys, few or many, hot or not, change nothing."""
+    part = lambda df: {(r["k"], r["v"], r["part"]) for r in spread.number_parts(df, ["k"], 40)[0].filter("k = 1").collect()}
+    assert part(skewed) == part(skewed.filter("k = 1").repartition(7))
 
 
 def test_number_parts_leaves_small_keys_alone(skewed):
-    parted, hot = spread.number_parts(skewed, ["k"], 1000)
-    assert hot is None and parted is skewed
-    parted, hot = spread.number_parts(skewed, ["k"], 250)
-    assert hot is None and parted is skewed
+    parted, parts = spread.number_parts(skewed, ["k"], 1000)
+    assert parts.count() == 0 and rows(parted.drop("part")) == rows(skewed)
