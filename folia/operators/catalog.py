@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folia.functions import first_present, full_name, row_to_json
-from folia.operators.spread import HOT_ROWS, fan_out_join, hot_keys, lookup_join
 
 # The columns of a book in a listing.
 BOOK_COLUMNS = ["book_id", "title", "isbn", "published_year", "price", "publisher_id"]
@@ -19,7 +18,6 @@ def catalog_listing(
     book_author: DataFrame,
     authors: DataFrame,
     inventory: DataFrame,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per book and author name, with the stock summed over the book.
 
@@ -29,21 +27,28 @@ def catalog_listing(
     formed: stock per book and name multiplicity are aggregated apart, with
     map-side combine, and multiplied.
     """
-    named = lookup_join(
-        book_author.select("book_id", "author_id"),
-        authors.select("author_id", full_name("first_name", "last_name").alias("author")),
-        ["author_id"],
-        "left",
-        hot_keys(book_author, ["author_id"], hot_rows),
+    credits, stocked = _credits(book_author, authors), _stocked(books, inventory)
+    # Credits look up their book, so a book with very many is on a side that Spark can
+    # split; books without credits are added.
+    credited = credits.join(stocked, "book_id").unionByName(
+        stocked.join(book_author.select("book_id").distinct(), "book_id", "left_anti"), allowMissingColumns=True
     )
-    hot_books = hot_keys(book_author, ["book_id"], hot_rows)
-    if hot_books is None:
-        # No book is large, so one shuffle by book serves the count and the join.
-        named = named.repartition("book_id")
-    credits = named.groupBy("book_id", "author").agg(F.count(F.lit(1)).alias("_m"))
+    return _listed(credited)
+
+
+def _credits(book_author: DataFrame, authors: DataFrame) -> DataFrame:
+    """How often each author name is on each book."""
+    names = authors.select("author_id", full_name("first_name", "last_name").alias("author"))
+    named = book_author.select("book_id", "author_id").join(names, "author_id", "left")
+    return named.groupBy("book_id", "author").agg(F.count(F.lit(1)).alias("_m"))
+
+
+def _stocked(books: DataFrame, inventory: DataFrame) -> DataFrame:
     stock = inventory.groupBy("book_id").agg(F.sum("quantity").alias("_q"))
-    stocked = books.select(*BOOK_COLUMNS).join(stock, "book_id", "left")
-    credited = fan_out_join(stocked, credits, ["book_id"], hot_books)
+    return books.select(*BOOK_COLUMNS).join(stock, "book_id", "left")
+
+
+def _listed(credited: DataFrame) -> DataFrame:
     total = F.col("_q") * first_present("_m", F.lit(1))
     return credited.select(
         *BOOK_COLUMNS, "author", first_present(total, F.lit(0).cast("long")).alias("inventory")
@@ -55,8 +60,8 @@ def catalog_entry(
 ) -> DataFrame:
     """The listing row of one book, or no row. With several authors the first
     by name is taken. The key filter reaches all scans that have the key."""
-    one = [equals(t, book_id=book_id) for t in (books, book_author, inventory)]
-    rows = catalog_listing(one[0], one[1], authors, one[2])
+    book, credited, stock = [equals(t, book_id=book_id) for t in (books, book_author, inventory)]
+    rows = _listed(_stocked(book, stock).join(_credits(credited, authors), "book_id", "left"))
     return first_rows(rows, 1, F.col("author").asc_nulls_last())
 
 

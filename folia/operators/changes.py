@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from folia.functions import has_field, json_fields, truthy_field
 from folia.operators.catalog import BOOK_COLUMNS
-from folia.operators.spread import HOT_ROWS, hot_keys, lookup_join, place_by_range
+from folia.operators.spread import counted_hot_keys, lookup_join, place_by_range
 from folia.session import durable
 
 # Operations, outcomes, and the fields an update may set.
@@ -79,16 +79,16 @@ def read_updates(log: DataFrame, quantity_type: T.DataType) -> DataFrame:
     return raw.select("seq", "op", "key", valid.alias("_valid"), value.alias("_value"))
 
 
-def existing(log: DataFrame, books: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def existing(log: DataFrame, books: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """Changes whose key is a book."""
     keys = books.select(F.col("book_id").alias("key"))
-    return lookup_join(log, keys, ["key"], "left_semi", hot_keys(log, ["key"], hot_rows))
+    return lookup_join(log, keys, ["key"], "left_semi", counted_hot_keys(log, ["key"], hot_rows))
 
 
-def missing(log: DataFrame, books: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def missing(log: DataFrame, books: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """Changes whose key is no book."""
     keys = books.select(F.col("book_id").alias("key"))
-    return lookup_join(log, keys, ["key"], "left_anti", hot_keys(log, ["key"], hot_rows))
+    return lookup_join(log, keys, ["key"], "left_anti", counted_hot_keys(log, ["key"], hot_rows))
 
 
 def delete_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
@@ -102,7 +102,7 @@ def apply_changes(
     log: DataFrame,
     high_water: int,
     *,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     keep: bool = True,
 ) -> Changed:
     """Applies the log and returns new tables and outcomes; inputs stay as they are.
@@ -129,13 +129,13 @@ def apply_changes(
     born = born.withColumn("_known", F.lit(True))
     # A key that cannot be an id is the key of no book.
     log = log.withColumn("key", F.col("key").try_cast(id_type))
-    hot = hot_keys(log.filter(F.col("op").isin(UPDATE, DELETE)), ["key"], hot_rows)
+    hot = counted_hot_keys(log.filter(F.col("op").isin(UPDATE, DELETE)), ["key"], hot_rows)
     keyed = read_updates(log, quantity_type)
     seen = lookup_join(keyed, born, ["key"], "left", hot)
     was_there = F.col("_known") & (F.col("_born").isNull() | (F.col("_born") < F.col("seq")))
     seen = seen.withColumn("_there", F.coalesce(was_there, F.lit(False))).drop("_known", "_born")
-    if keep and hot is not None:
-        # Each join with hot keys reads its left side in several pieces.
+    if keep:
+        # Read by the grouping below and by the join with it.
         seen = durable(seen)
 
     # The first delete that finds its book ends it.

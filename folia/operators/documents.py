@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folia.functions import document_id
-from folia.operators.spread import HOT_ROWS, hot_keys, key_counts, lookup_join, number_parts
+from folia.operators.spread import counted_hot_keys, key_counts, lookup_join, number_parts
 
 
 @dataclass(frozen=True)
@@ -135,7 +135,7 @@ def bridged(
     parent_keys: Sequence[str],
     dim_keys: Sequence[str],
     fields: Sequence[str],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Dimension fields per parent, reached through a bridge table.
 
@@ -144,7 +144,7 @@ def bridged(
     """
     wanted = dim.select(*dim_keys, *[f for f in fields if f not in dim_keys])
     pairs = bridge.select(*parent_keys, *dim_keys)
-    joined = lookup_join(pairs, wanted, dim_keys, "inner", hot_keys(bridge, dim_keys, hot_rows))
+    joined = lookup_join(pairs, wanted, dim_keys, "inner", counted_hot_keys(bridge, dim_keys, hot_rows))
     return joined.select(*parent_keys, *fields)
 
 
@@ -154,7 +154,7 @@ def distinct_children(
     parent_keys: Sequence[str],
     dim_keys: Sequence[str],
     fields: Sequence[str],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Distinct dimension fields per parent as flat rows."""
     return bridged(bridge, dim, parent_keys, dim_keys, fields, hot_rows).distinct()
@@ -212,20 +212,19 @@ def embed_one(
     lookup_key: str,
     name: str,
     fields: Sequence[str],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """The matching lookup row as an object; NULL when there is none.
 
     Should the lookup hold a key twice, the lowest row by `fields` is taken.
-    Embed lookups and links before arrays, while the parents are still a plain
-    table: their keys are counted first.
+    Embed lookups and links before arrays, while the parents are still a plain table.
     """
     found = (
         lookup.filter(F.col(lookup_key).isNotNull())
         .groupBy(F.col(lookup_key).alias(parent_key))
         .agg(F.min(F.struct(*fields)).alias(name))
     )
-    joined = lookup_join(parents, found, [parent_key], "left", hot_keys(parents, [parent_key], hot_rows))
+    joined = lookup_join(parents, found, [parent_key], "left", counted_hot_keys(parents, [parent_key], hot_rows))
     return joined.select(*parents.columns, name)
 
 
@@ -241,7 +240,7 @@ def link(
     parent_key: str,
     target_key: str,
     name: str,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """The id of the referenced document, NULL when that document is missing.
 
@@ -255,7 +254,7 @@ def link(
         .distinct()
         .withColumn(marker, F.lit(True))
     )
-    joined = lookup_join(parents, known, [parent_key], "left", hot_keys(parents, [parent_key], hot_rows))
+    joined = lookup_join(parents, known, [parent_key], "left", counted_hot_keys(parents, [parent_key], hot_rows))
     return joined.withColumn(name, F.when(F.col(marker), document_id(collection, parent_key))).select(
         *parents.columns, name
     )

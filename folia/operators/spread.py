@@ -51,6 +51,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     return found.select(*keys) if size else None
 
 
+def counted_hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None) -> DataFrame | None:
+    """`hot_keys` if a limit is named, else None without counting: where a skewed side is the
+    left of a join, Spark splits it at run time, unless the join feeds a grouping by its key."""
+    return None if hot_rows is None else hot_keys(df, keys, hot_rows)
+
+
 def lookup_join(
     left: DataFrame,
     lookup: DataFrame,
