@@ -10,7 +10,7 @@ import corpus_pipeline
 from folia.llm.common import read
 
 from .conftest import WORD  # noqa: F401
-from .test_operators import TOKENS, check_packing, plain_classes, plain_lines, sha, shingles, weighted  # noqa: F401
+from .test_operators import check_packing, plain_classes, plain_lines, sha, shingles, weighted  # noqa: F401
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="test tables are not here")
