@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from folia.llm.bytesops import U64, Texts, chunks, mix, pack, ranges, texts, window_hashes
 from folia.llm.common import id_text, map_arrow, written
-from folia.llm.components import components
+from folia.llm.components import components, joined
 
 LONG = pa.int64()
 EMPTY = U64(0xFFFFFFFFFFFFFFFF)
@@ -190,8 +190,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, rows:
     packed = written(map_arrow(ids, packing, PACKED).join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "packed")
 
     tried = written(members.filter("u <> v").select("u", "v").distinct(), "pairs")
-    links = written(_check(tried, packed, least), "links")
-    roots = components(links)
+    roots = components(_check(tried, packed, least))
     for turn in range(rounds):
         mixed = _labelled(members.select("band", "bucket", "u"), roots)
         order = F.xxhash64("u", "band", F.lit(turn))
@@ -208,8 +207,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, rows:
         tried = tried.unionByName(pairs)
         if found.isEmpty():
             break
-        links = links.unionByName(found)
-        roots = components(links)
+        roots = joined(roots, found)
     classes = copies.join(roots.select(F.col("u").alias("text_id"), "root"), "text_id", "left")
     known = classes.select("doc_id", "text_id", F.coalesce("root", "text_id").alias("class_id"))
     return known.unionByName(id_text(docs).filter("doc_id IS NULL").select("doc_id"), allowMissingColumns=True)

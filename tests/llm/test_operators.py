@@ -12,7 +12,7 @@ import pytest
 import public_tokenizers
 from folia.llm import decontamination, linededup, lm, neardup, packing, pii, quality, secretscan, suffixes, toxicity
 from folia.llm.bytesops import texts
-from folia.llm.components import components
+from folia.llm.components import components, joined
 from tokenizers import Tokenizer
 
 from .conftest import ODD, WORD, prose
@@ -224,6 +224,8 @@ def test_components(sent):
     links = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 100), (7, 7), *[(500, 500 + i) for i in range(60)]]
     got = {r.u: r.root for r in components(sent.createDataFrame(links, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, 100: 90, **{500 + i: 500 for i in range(1, 60)}}
+    more = joined(components(sent.createDataFrame(links, "u long, v long")), sent.createDataFrame([(40, 550), (90, 80), (3, 4), (1000, 999)], "u long, v long"))
+    assert {r.u: r.root for r in more.collect()} == {**{i: 0 for i in range(1, 41)}, 90: 80, 100: 80, **{500 + i: 0 for i in range(60)}, 1000: 999}
 
 
 # -- benchmark leaks -----------------------------------------------------------------
