@@ -10,11 +10,11 @@ is about k log k darts a text, whatever its length, beside one hash per shingle.
 
 Signatures are cut into bands. Texts that agree in a band meet in a bucket; with 32
 bands of 6 rows, two texts of similarity 0.8 meet with probability 0.9999. Pairs are
-checked by exact weighted Jaccard similarity of the shingles. Not all pairs of a
-bucket are checked: exact copies are one text; each member is checked against the
-smallest id of its bucket; then, as long as a bucket holds members of several
-components, against other members chosen by a different order in every
-band and look. Components of the links found are the classes.
+checked by exact weighted Jaccard similarity of the shingles. Exact copies are one
+text. Each member is checked against the smallest id of its bucket, then, while that
+joins many, against another member chosen by a different order in every band and look.
+That only saves work: in the end all pairs of a bucket whose members are still in
+different components are checked. Components of the links found are the classes.
 
 Defined results: a text without words has no shingles and is alike only to equal
 texts (null counts as empty). Rows that share an id are one document, with the class
@@ -38,10 +38,12 @@ from folia.llm.components import components, joined
 
 LONG = pa.int64()
 EMPTY = U64(0xFFFFFFFFFFFFFFFF)
-SIGNATURES = pa.schema([("doc_id", LONG), ("digest", pa.binary()), ("bands", pa.list_(LONG))])
+SIGNATURES = pa.schema([("doc_id", LONG), ("digest", pa.binary()), ("n", LONG), ("bands", pa.list_(LONG))])
 PACKED = pa.schema([("doc_id", LONG), ("packed", pa.binary())])
 CHECKED = pa.schema([("u", LONG), ("v", LONG), ("similarity", pa.float64())])
 GROUP = 256  # texts whose darts are in memory at a time
+BLOCK = 256  # members of a bucket that meet as many others in a task
+FEW = 4  # pairs per member that are checked without a further look
 
 
 def shingles(t: Texts, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -149,26 +151,49 @@ def _check(pairs: DataFrame, packed: DataFrame, least: float) -> DataFrame:
     return map_arrow(both, run, CHECKED).filter(F.col("similarity") >= least).select("u", "v")
 
 
-def _labelled(members: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return members.withColumn("root", F.col("u"))
+def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     return members.join(roots, "u", "left").withColumn("root", F.coalesce("root", "u"))
 
 
-def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, rows: int = 6, rounds: int = 3) -> DataFrame:
-    """One row per document: doc_id, text_id (the smallest id of that very text) and
-    class_id (the smallest id of its class).
+def _mixed(labelled: DataFrame) -> DataFrame:
+    """Buckets of several components: their members (n), those outside the largest
+    component (n_rest) and that component (main)."""
+    by_root = labelled.groupBy("band", "bucket", "root").agg(F.count(F.lit(1)).alias("k"))
+    top = F.max(F.struct("k", "root"))
+    whole = by_root.groupBy("band", "bucket").agg(F.sum("k").alias("n"), top.alias("top"))
+    return whole.select("band", "bucket", "n", (F.col("n") - F.col("top.k")).alias("n_rest"), F.col("top.root").alias("main")).filter("n_rest > 0")
+
+
+def _open_pairs(labelled: DataFrame, mixed: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
+    """All pairs (u, v) that share a bucket and are in different components, but for those
+    whose numbers of shingles alone keep them below `least`.
 
-    `rounds` bounds the further looks at buckets that hold several components; they
-    end as soon as one finds no link.
+    One of each pair is outside the bucket's largest component. Those members in blocks
+    meet all members in blocks, so a task holds two blocks of a bucket, however large it is.
     """
+    sized = labelled.join(mixed, ["band", "bucket"])
+    rest_blocks, blocks = (F.ceil(F.col(n) / block).cast("int") for n in ("n_rest", "n"))
+    own = lambda n: F.pmod(F.xxhash64("u", F.lit(block)), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    rest = sized.filter("root <> main").select("band", "bucket", own(rest_blocks).alias("i"), every(blocks).alias("j"), "u", "root", "words")
+    whole = sized.select("band", "bucket", every(rest_blocks).alias("i"), own(blocks).alias("j"), F.col("u").alias("v"), F.col("root").alias("other"), F.col("words").alias("other_words"))
+    pairs = rest.join(whole, ["band", "bucket", "i", "j"]).filter("root <> other")
+    # Shared shingles are those of the shorter text at most, their union those of the longer.
+    few, many = (f(*(F.greatest(F.col(n) - 4, F.lit(1)) for n in ("words", "other_words"))) for f in (F.least, F.greatest))
+    pairs = pairs.filter(few >= many * (least - 1e-9))
+    return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+
+def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, rows: int = 6) -> DataFrame:
+    """One row per document: doc_id, text_id (the smallest id of that very text) and
+    class_id (the smallest id of its class)."""
     ids = id_text(docs).filter("doc_id IS NOT NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for t in chunks(batch.column("text")):
                 own = batch.slice(t.first, t.last - t.first)
-                yield pack({"doc_id": own.column("doc_id"), "digest": own.column("digest"), "bands": sign(t, bands, rows)}, SIGNATURES)
+                yield pack({"doc_id": own.column("doc_id"), "digest": own.column("digest"), "n": np.diff(t.word_spans[2]), "bands": sign(t, bands, rows)}, SIGNATURES)
 
     digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
     signed = written(map_arrow(ids.withColumn("digest", digest), run, SIGNATURES), "signatures")
@@ -177,7 +202,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, rows:
 
     # One row per distinct text and band.
     distinct = signed.join(copies.filter("doc_id = text_id").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    banded = distinct.select(F.col("doc_id").alias("u"), F.posexplode("bands").alias("band", "bucket"))
+    banded = distinct.select(F.col("doc_id").alias("u"), F.col("n").alias("words"), F.posexplode("bands").alias("band", "bucket"))
     sizes = banded.groupBy("band", "bucket").agg(F.min("u").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = written(banded.join(sizes.select("band", "bucket", "v"), ["band", "bucket"]), "members")
 
@@ -191,23 +216,36 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, rows:
 
     tried = written(members.filter("u <> v").select("u", "v").distinct(), "pairs")
     roots = components(_check(tried, packed, least))
-    for turn in range(rounds):
-        mixed = _labelled(members.select("band", "bucket", "u"), roots)
-        order = F.xxhash64("u", "band", F.lit(turn))
+    turn, before = 0, None
+    while True:
+        labelled = written(_labelled(members.select("band", "bucket", "u", "words"), roots), "labelled")
+        mixed = written(_mixed(labelled), "mixed")
+        visits = mixed.agg(F.sum(F.col("n") * F.col("n_rest")), F.sum("n")).first()
+        # A look is worth its shuffles while the last one has halved the pairs at least.
+        if not visits[0] or visits[0] <= FEW * visits[1] or (before and 2 * visits[0] > before):
+            break
+        before = visits[0]
         # One member of each bucket of several components, by another order in every
-        # band and round: those of other components are checked with it.
-        heads = mixed.groupBy("band", "bucket").agg(F.min_by(F.struct("u", "root"), order).alias("h"), F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
+        # band and look: those of other components are checked with it.
+        order = F.xxhash64("u", "band", F.lit(turn))
+        in_mixed = labelled.join(mixed.select("band", "bucket"), ["band", "bucket"])
+        heads = in_mixed.groupBy("band", "bucket").agg(F.min_by(F.struct("u", "root"), order).alias("h"))
         heads = heads.select("band", "bucket", F.col("h.u").alias("v"), F.col("h.root").alias("head_root"))
-        members_too = mixed.join(heads, ["band", "bucket"]).filter("root <> head_root").select("u", "v")
+        members_too = in_mixed.join(heads, ["band", "bucket"]).filter("root <> head_root").select("u", "v")
         pairs = members_too.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         pairs = written(pairs.join(tried, ["u", "v"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            break
         found = written(_check(pairs, packed, least), "links")
         tried = tried.unionByName(pairs)
+        turn += 1
         if found.isEmpty():
             break
         roots = joined(roots, found)
+    # A look without a link has left all components as they were labelled.
+    if visits[0]:
+        pairs = written(_open_pairs(labelled, mixed, least).join(tried, ["u", "v"], "left_anti"), "pairs")
+        found = written(_check(pairs, packed, least), "links")
+        if not found.isEmpty():
+            roots = joined(roots, found)
     classes = copies.join(roots.select(F.col("u").alias("text_id"), "root"), "text_id", "left")
     known = classes.select("doc_id", "text_id", F.coalesce("root", "text_id").alias("class_id"))
     return known.unionByName(id_text(docs).filter("doc_id IS NULL").select("doc_id"), allowMissingColumns=True)

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -220,6 +221,42 @@ def test_near_duplicates(sent, odd, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_hidden_in_a_crowd(sent):
+    # All texts are near 0.72 alike but for twenty pairs at 0.81, whose buckets they share.
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(400)]
+
+    def edited(own, places):
+        words = list(base)
+        for k in places:
+            words[5 + 10 * k] = f"{own}at{k}"
+        return " ".join(words)
+
+    docs = [(i, edited(f"t{i}", rng.sample(range(39), 7))) for i in range(240)]
+    for g in range(20):
+        at = rng.sample(range(39), 11)
+        same = list(base)
+        for k in at[:3]:
+            same[5 + 10 * k] = f"pair{g}at{k}"
+        for c, own in enumerate((at[3:7], at[7:])):
+            words = list(same)
+            for k in own:
+                words[5 + 10 * k] = f"p{g}{c}at{k}"
+            docs.append((1000 + 2 * g + c, " ".join(words)))
+    want = plain_classes(docs)
+    assert all(want[1001 + 2 * g] == want[1000 + 2 * g] for g in range(20)) and len(set(want.values())) > 200
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(sent.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
+    assert got == want
+
+
+def test_open_pairs_are_all_pairs_of_different_components(sent):
+    rows = [(0, 1, u, 100, u if u % 3 else 0) for u in range(70)] + [(1, 1, u, 100, u if u % 3 else 0) for u in range(50, 90)] + [(1, 2, 500, 100, 0), (1, 2, 501, 78, 501)]
+    labelled = sent.createDataFrame(rows, "band int, bucket long, u long, words long, root long")
+    got = [(r.u, r.v) for r in neardup._open_pairs(labelled, neardup._mixed(labelled), 0.8, block=8).collect()]
+    want = {(a[2], b[2]) for a in rows for b in rows if a[:2] == b[:2] and a[2] > b[2] and a[4] != b[4] and a[2] != 501}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_components(sent):
     links = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 100), (7, 7), *[(500, 500 + i) for i in range(60)]]
     got = {r.u: r.root for r in components(sent.createDataFrame(links, "u long, v long")).collect()}
