@@ -8,9 +8,9 @@ exact counts of all training documents.
 2. With the replies, each block scores the base model and turns its tokens into places
    in the network's vocabulary: the `n_words` most frequent words, else a level (how often
    the word occurs, by powers of two; seen once or never is the first level).
-3. The network is trained by truncated backpropagation on a share of the training
-   documents (`share`, by hash, so it grows with the corpus) by TRAINERS tasks side by
-   side, whose weights are averaged after each round.
+3. The network is trained by truncated backpropagation on all training documents, each in
+   one of `rounds` (by hash), by TRAINERS tasks side by side or as many more as there are
+   TRAINER_TOKENS in a round. Their weights are averaged after each round.
 4. Every whole document is scored, the state carried from window to window.
 
 Words of one level have a share of it by their count. On the first level, words seen
@@ -39,7 +39,8 @@ from folia.llm.bytesops import U64, Texts, chunks, pack
 from folia.llm.common import located, map_arrow, partitions, remainder, written
 
 BLOCK_ROWS = 4096
-TRAINERS = 16
+TRAINERS, TRAINER_TOKENS = 16, 1 << 21
+FIXED = 2.0**30  # weights are summed as whole parts of one, in whatever order they come
 LEVELS = 40
 END_WORD = U64(0x5EED0F7E57E2D01D)
 LONG = pa.int64()
@@ -53,7 +54,7 @@ CODED = pa.schema(
 RESULT = pa.schema(
     [("doc_id", LONG), ("held_out", pa.bool_()), ("n_tokens", LONG), ("n_known", LONG), ("train_tokens", LONG), ("base_score", pa.float64()), ("score", pa.float64())]
 )
-WEIGHTS = pa.schema([("name", pa.string()), ("value", pa.binary())])
+WEIGHTS = pa.schema([("team", LONG), ("name", pa.string()), ("n", LONG), ("value", pa.binary())])
 
 
 def tokens(t: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -181,12 +182,26 @@ def _ids(raw: list[bytes]) -> list[np.ndarray]:
     return [np.frombuffer(unpack(x), np.uint16).astype(np.int64) for x in raw]
 
 
-def train(coded: DataFrame, first: gru.Params, n_words: int, share: int, rounds: int) -> gru.Params:
-    """Rounds of training by TRAINERS tasks, each on its part of one document in `share`."""
+def _summing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of all weights of a partition, by name."""
+    total: dict[str, tuple[int, np.ndarray]] = {}
+    for batch in batches:
+        for name, n, value in zip(*(batch.column(c).to_pylist() for c in ("name", "n", "value")), strict=True):
+            own = np.frombuffer(value, np.int64)
+            m, before = total.get(name, (0, np.zeros(len(own), np.int64)))
+            total[name] = m + n, before + own
+    if total:
+        yield pack({"team": np.zeros(len(total), np.int64), "name": list(total), "n": [n for n, _ in total.values()], "value": [v.tobytes() for _, v in total.values()]}, WEIGHTS)
+
+
+def train(coded: DataFrame, first: gru.Params, n_words: int, all_tokens: int, rounds: int) -> gru.Params:
+    """Rounds of training by tasks side by side; every training document is in one round
+    and one task's part of it."""
     params = first
-    pool = coded.filter("NOT held_out").withColumn("draw", F.pmod(F.xxhash64("doc_id"), F.lit(share * rounds)))
+    trainers = max(TRAINERS, -(-all_tokens // (rounds * TRAINER_TOKENS)))
+    pool = coded.filter("NOT held_out").withColumn("draw", F.pmod(F.xxhash64("doc_id"), F.lit(rounds)))
     for turn in range(rounds):
-        own = pool.filter(F.col("draw") == turn).select(F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.lit(TRAINERS)).alias("trainer"), "ids")
+        own = pool.filter(F.col("draw") == turn).select(F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.lit(trainers)).alias("trainer"), "ids")
 
         def run(batches: Iterator[pa.RecordBatch], params=params) -> Iterator[pa.RecordBatch]:
             # A trainer's documents come in batches; one batch is in memory at a time.
@@ -197,16 +212,19 @@ def train(coded: DataFrame, first: gru.Params, n_words: int, share: int, rounds:
                 for k in np.unique(trainer):
                     seqs = _ids([raw[i] for i in np.flatnonzero(trainer == k)])
                     held[int(k)] = gru.train(held.get(int(k), params), seqs, n_words)
-            for weights in held.values():
-                yield pack({"name": list(weights), "value": [v.tobytes() for v in weights.values()]}, WEIGHTS)
+            for k, weights in held.items():
+                value = [np.rint(v * FIXED).astype(np.int64).tobytes() for v in map(np.float64, weights.values())]
+                yield pack({"team": [k % TRAINERS] * len(weights), "name": list(weights), "n": [1] * len(weights), "value": value}, WEIGHTS)
 
-        rows = map_arrow(own.repartition(TRAINERS, "trainer"), run, WEIGHTS).collect()  # at most TRAINERS sets
+        taught = map_arrow(own.repartition(trainers, "trainer"), run, WEIGHTS)
+        rows = map_arrow(taught.repartition(TRAINERS, "team"), _summing, WEIGHTS).collect()  # at most TRAINERS sets
         if rows:
-            params = {k: np.mean([np.frombuffer(bytes(r.value), v.dtype).reshape(v.shape) for r in sorted(rows, key=lambda r: bytes(r.value)) if r["name"] == k], 0, dtype=v.dtype) for k, v in params.items()}
+            n = {k: sum(r.n for r in rows if r["name"] == k) for k in params}
+            params = {k: (sum(np.frombuffer(bytes(r.value), np.int64) for r in rows if r["name"] == k) / (n[k] * FIXED)).astype(v.dtype).reshape(v.shape) for k, v in params.items()}
     return params
 
 
-def language_model(docs: DataFrame, n_words: int = 768, share: int = 12, rounds: int = 2) -> DataFrame:
+def language_model(docs: DataFrame, n_words: int = 768, rounds: int = 2) -> DataFrame:
     """Base score and model score of every document."""
     spark = docs.sparkSession
     # Documents that lie together in the input are a block: a word they share is asked
@@ -230,7 +248,7 @@ def language_model(docs: DataFrame, n_words: int = 768, share: int = 12, rounds:
     own = replies.filter("kind = 0").select("block", "word", "c")
     coding = _coding(head, head_counts, words, mass, all_tokens, all_words)
     coded = written(packed.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(coding, from_arrow_schema(CODED)), "coded")
-    params = train(coded, gru.start(head_counts.astype(float), mass.astype(float)), len(head), share, rounds)
+    params = train(coded, gru.start(head_counts.astype(float), mass.astype(float)), len(head), all_tokens, rounds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

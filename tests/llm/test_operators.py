@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 import public_tokenizers
-from folia.llm import decontamination, linededup, lm, neardup, packing, pii, quality, secretscan, suffixes, toxicity
+from folia.llm import decontamination, gru, linededup, lm, neardup, packing, pii, quality, secretscan, suffixes, toxicity
 from folia.llm.bytesops import texts
 from folia.llm.components import components, joined
 from tokenizers import Tokenizer
@@ -377,6 +377,21 @@ def test_language_model(sent, odd, empty):
     assert lm.language_model(empty).count() == 0
 
 
+def test_every_training_document_teaches_the_network(sent):
+    import zstandard
+
+    p = gru.start(np.full(70, 10.0), np.array([40.0, 60.0]))
+    ids = zstandard.ZstdCompressor().compress(np.tile(np.array([3, 69, 70], np.uint16), 20).tobytes())
+    for i in range(1, 5):
+        coded = sent.createDataFrame([(i, False, ids), (i + 100, True, ids)], "doc_id long, held_out boolean, ids binary")
+        taught = lm.train(coded, p, 70, 12, 2)
+        assert not np.array_equal(taught["class_bias"], p["class_bias"])
+        alone = gru.train(p, [np.tile([3, 69, 70], 20)], 70)
+        assert all(taught[k] == pytest.approx(alone[k], abs=1e-6) and taught[k].dtype == p[k].dtype for k in p)
+    none = lm.train(coded.filter("held_out"), p, 70, 12, 2)
+    assert all(np.array_equal(none[k], p[k]) for k in p)
+
+
 # -- toxicity ------------------------------------------------------------------------
 
 
