@@ -98,19 +98,23 @@ def signatures(cells: np.ndarray, offsets: np.ndarray, k: int) -> np.ndarray:
     return best
 
 
-def sign(t: Texts, bands: int, rows: int, width: int = 5) -> list[list[int]]:
-    """The band fingerprints of each text; none for a text without words."""
+def coordinates(t: Texts, k: int, width: int = 5) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Signatures of GROUP texts at a time, and which of them have words."""
     found, offsets = shingles(t, width)
     cells = units(found, offsets)
-    out: list[list[int]] = []
     for a in range(0, t.size, GROUP):
-        b = min(a + GROUP, t.size)
-        own = offsets[a : b + 1]
-        best = signatures(cells[own[0] : own[-1]], own - own[0], bands * rows).reshape(b - a, bands, rows)
-        key = np.zeros((b - a, bands), U64)
+        own = offsets[a : min(a + GROUP, t.size) + 1]
+        yield signatures(cells[own[0] : own[-1]], own - own[0], k), np.diff(own) > 0
+
+
+def sign(t: Texts, bands: int, rows: int, width: int = 5) -> list[list[int]]:
+    """The band fingerprints of each text; none for a text without words."""
+    out: list[list[int]] = []
+    for signature, full in coordinates(t, bands * rows, width):
+        best = signature.reshape(-1, bands, rows)
+        key = np.zeros(best.shape[:2], U64)
         for r in range(rows):
             key = mix(key * U64(0x9E3779B97F4A7C15) + best[:, :, r])
-        full = np.diff(own) > 0
         out += [x if has else [] for x, has in zip(key.view(np.int64).tolist(), full.tolist(), strict=True)]
     return out
 

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from folia.llm.bytesops import Texts, chunks, pack, sums
 from folia.llm.common import id_text, labelled_sample, map_arrow, remainder
+from folia.llm.neardup import coordinates
 from folia.llm.wordcache import WordCache
 
 SCHEMA = pa.schema(
@@ -41,6 +42,7 @@ SCHEMA = pa.schema(
 CARRIER = (b"the sentence that goes before the word reads: ", b" ; and so ends whatever was said of it there.")
 # Hundredths of a word saved.
 LEVELS = (30, 40, 50, 60)
+COORDINATES = 192  # of a signature that tells copies of a text
 PUNCTUATION = b".,;:!?*#$%&|<>()[]{}\"'"
 
 
@@ -130,22 +132,36 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
         return joined[-size:]
 
 
-def _learn(texts: list[tuple[bool, np.ndarray]], words: list[bytes], lift: float, size: int) -> Classifier | None:
-    """The dictionaries of labelled texts, given as places in a list of distinct words;
-    None if nothing sets the classes apart."""
+def _copies(signatures: np.ndarray, least: float = 0.8) -> np.ndarray:
+    """For each text the first one that it is a copy of, exact or near, by the share of
+    coordinates that agree; its own place if there is none."""
+    heads, size = np.empty_like(signatures), 0
+    places, out = np.empty(len(signatures), np.int64), np.empty(len(signatures), np.int64)
+    for i, own in enumerate(signatures):
+        agree = (heads[:size] == own).sum(1)
+        best = int(agree.argmax()) if size else 0
+        if size and agree[best] >= least * signatures.shape[1]:
+            out[i] = places[best]
+        else:
+            heads[size], places[size], out[i] = own, i, i
+            size += 1
+    return out
+
+
+def _learn(texts: list[tuple[bool, np.ndarray, int]], words: list[bytes], lift: float, size: int) -> Classifier | None:
+    """The dictionaries of labelled texts, given as places in a list of distinct words and
+    the group of copies of a text, which counts once; None if nothing sets the classes apart."""
     seen, groups = (Counter(), Counter()), (set(), set())
-    for y, own in texts:
+    for y, own, group in texts:
         own = np.unique(own).tolist()
-        # Copies of one text, exact or near, share their longest word and count once.
-        group = max((words[i] for i in own), key=lambda w: (len(w), w), default=b"")
         if group not in groups[y]:
             groups[y].add(group)
             seen[y].update({g for i in own for g in _beginnings(words[i])})
     n = [max(len(x), 1) for x in groups]
     marks = {g for g, k in seen[1].items() if k >= lift * (e := n[1] * (seen[0][g] + 0.5) / n[0]) and k >= 4 + e + 4 * e**0.5}
     marked = np.array([any(g in marks for g in _beginnings(w)) for w in words], bool)
-    toxic = np.concatenate([own[marked[own]] for y, own in texts if y])
-    ordinary = np.concatenate([own[~marked[own]] for y, own in texts if not y])
+    toxic = np.concatenate([own[marked[own]] for y, own, _ in texts if y])
+    ordinary = np.concatenate([own[~marked[own]] for y, own, _ in texts if not y])
     if not len(toxic):
         return None
     ordinary = ordinary[:: max(1, len(ordinary) // 60_000)]
@@ -166,6 +182,7 @@ def fit(values: list[tuple[str | None, int]], lift: float = 10.0, size: int = 20
     column = pa.array([x for x, _ in values], pa.string())
     places: dict[bytes, int] = {}
     own: list[np.ndarray] = []
+    signatures: list[np.ndarray] = []
     for t in chunks(column):
         low = t.lowered()
         starts, ends, offsets = low.word_spans
@@ -173,8 +190,13 @@ def fit(values: list[tuple[str | None, int]], lift: float = 10.0, size: int = 20
         _, first, which = np.unique(low.hashes(starts, ends), return_index=True, return_inverse=True)
         spans = zip(starts[first].tolist(), ends[first].tolist(), strict=True)
         which = np.array([places.setdefault(data[s:e].strip(PUNCTUATION), len(places)) for s, e in spans], np.int32)[which]
+        signatures += [x.astype(np.uint32) for x, _ in coordinates(low, COORDINATES)]
         own += [which[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-    words, texts = list(places), [(bool(y), x) for y, x in zip(label, own, strict=True)]
+    sign, group = np.concatenate(signatures), np.empty(len(label), np.int64)
+    for y in (False, True):
+        here = np.flatnonzero(label == y)
+        group[here] = here[_copies(sign[here])]
+    words, texts = list(places), list(zip(label.tolist(), own, group.tolist(), strict=True))
     found = _learn(texts, words, lift, size)
     if found is None:
         return Classifier()

@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from folia.llm import crf, decontamination, gru, linededup, neardup, packing, pii, suffixes
+from folia.llm import crf, decontamination, gru, linededup, neardup, packing, pii, suffixes, toxicity
 from folia.llm.bytesops import chunks, texts, window_hashes
 
 from .conftest import WORD, prose
@@ -199,3 +199,24 @@ def test_reliabilities_separate_good_labelers_from_noise():
 def test_luhn():
     assert pii.luhn("4539578763621486") and not pii.luhn("4539578763621487")
     assert re.fullmatch("[0-9]+", "4539578763621486")
+
+
+def test_texts_that_share_their_longest_word_are_not_copies():
+    footer = "https://example.org/terms-of-use-and-more-that-is-longer-than-all-words"
+    bad = ["abominable", "wretched", "dreadful"]
+
+    def text(i, toxic):
+        own = prose(i, 60).split(" ")
+        if toxic:
+            for k in range(3):
+                own[7 + 13 * k] = bad[(i + k) % 3]
+        return f"{' '.join(own)} {footer}"
+
+    model = toxicity.fit([(text(i, i % 4 == 0), int(i % 4 == 0)) for i in range(400)])
+    assert model.weights
+    cache = model.savings()
+    score = model.score(*model.measures(texts([text(i, i % 4 == 0) for i in range(400, 480)]), cache))
+    assert np.mean((score >= 0.5) == (np.arange(400, 480) % 4 == 0)) > 0.95
+    # Copies, exact or near, still count once.
+    copies = [(f"{text(0, True)} {'' if i % 2 else f'copy{i}'}", 1) for i in range(100)]
+    assert not toxicity.fit(copies + [(text(i, False), 0) for i in range(1, 300)]).weights
