@@ -136,18 +136,21 @@ def running_start(
     )
 
 
-def place_by_range(df: DataFrame, order: str, name: str) -> DataFrame:
-    """Adds the 0-based place of each row by the unique column `order`.
+def place_by_range(df: DataFrame, order: str, name: str, weight: str | None = None) -> DataFrame:
+    """Adds the 0-based place of each row by the unique column `order`, or with `weight` the
+    sum of that column over all rows before.
 
     Rows are dealt out by ranges of the column, however its values are spread, and counted
     per range; the counts of the ranges before come in as an offset. The ranges are
     checkpointed, as both uses need the same ones.
     """
+    each = F.col(weight) if weight else F.lit(1).cast("long")
+    before = (Window.unboundedPreceding, -1)
     ranged = durable(df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()))
-    totals = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    ranges_before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("_range").agg(F.sum(each).alias("_n"))
+    ranges_before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(*before)
     offsets = totals.select("_range", F.coalesce(F.sum("_n").over(ranges_before), F.lit(0)).alias("_offset"))  # a row per range
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1
+    inside = F.coalesce(F.sum(each).over(Window.partitionBy("_range").orderBy(order).rowsBetween(*before)), F.lit(0))
     placed = ranged.withColumn("_inside", inside).join(offsets, "_range")
     return placed.withColumn(name, (F.col("_offset") + F.col("_inside")).cast("long")).drop("_range", "_offset", "_inside")
 

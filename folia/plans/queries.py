@@ -753,7 +753,8 @@ def _forest_of_one(label):
 def _level_predictions(spark, sf_dir, classifier):
     train, test = _priced_orders(spark, sf_dir)
     prepared = models.fit_features(train, [], SIGNS, "level")
-    predicted = classifier("level_idx").fit(prepared.transform(train)).transform(prepared.transform(test))
+    fitted = models.detached(spark, classifier("level_idx").fit(prepared.transform(train)))
+    predicted = fitted.transform(prepared.transform(test))
     names = F.array(*[F.lit(x) for x in prepared.stages[-1].labels])
     return predicted.select("o_orderkey", F.get(names, F.col("prediction").cast("int")).alias("predicted"))
 

@@ -5,6 +5,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from folia.operators import models as M
@@ -114,13 +115,39 @@ def test_accuracy_as_value_and_as_table(spark):
     assert M.accuracy_by(df, "label").first()[0] == 0.75
 
 
-def test_trees_take_many_categories(spark):
-    rows = [(f"c{i % 40}", float(i % 3), "yes" if i % 40 < 20 else "no") for i in range(800)]
-    df = spark.createDataFrame(rows, "c string, x double, y string")
-    prepared = M.fit_features(df, ["c"], ["x"], "y")
-    fitted = M.decision_tree("y_idx", bins=M.most_bins(prepared)).fit(prepared.transform(df))
-    assert M.accuracy(fitted.transform(prepared.transform(df)), "y_idx") == 1.0
-    assert M.compare_models(df, df, ["c"], ["x"], "y").count() == 3
+def test_many_categories_are_grouped_by_the_label(spark):
+    data = [(f"c{i % 40}", float(i % 3), "yes" if i % 40 < 20 else "no") for i in range(800)]
+    df = spark.createDataFrame([*data, (None, 0.0, "no")], "c string, x double, y string").repartition(3)
+    assert M.wide_columns(df, ["c", "y"]) == ["c"]
+    table = M.category_groups(df, "c", (F.col("y") == "yes").cast("int"))
+    groups = {r["value"]: r["grp"] for r in table.collect()}
+    assert len(groups) == 40 and set(groups.values()) <= set(map(float, range(31)))
+    assert max(groups[f"c{i}"] for i in range(20, 40)) < min(groups[f"c{i}"] for i in range(20))
+    grouped = M.group_columns(spark.createDataFrame([("c3",), ("new",), (None,)], "c string"), {"c": table})
+    assert {(r["c"], r["c_group"]) for r in grouped.collect()} == {("c3", groups["c3"]), ("new", 31.0), (None, 31.0)}
+    prepared = M.group_columns(df, {"c": table}).na.fill({"c": "-"})
+    features = M.fit_features(prepared, [], ["x", "c_group"], "y")
+    fitted = M.decision_tree("y_idx").fit(features.transform(prepared))
+    assert M.accuracy(fitted.transform(features.transform(prepared)), "y_idx") == 1.0
+    scores = M.compare_models(df, df, ["c"], ["x"], "y").orderBy("position").collect()
+    assert [r["accuracy"] for r in scores][1:] == [1.0, 1.0]
+
+
+def test_models_score_after_an_observed_query(spark, loans):
+    """A training summary holds the session, which can't be sent to a task any more."""
+    seen = Observation()
+    loans.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 400
+    train, test = M.hash_split(loans, "id")
+    assert M.compare_models(train, test, ["gender"], ["credit"], "status").filter("accuracy > 0.5").count() == 3
+    assert M.compare_models(train, test.limit(0), ["gender"], ["credit"], "status").filter("accuracy IS NULL").count() == 3
+
+
+def test_index_tables_of_several_columns(spark):
+    df = spark.createDataFrame([("b", 2), ("a", 2), ("a", 1), (None, 3), ("c", None)], "v string, w int").repartition(3)
+    (indexer,) = M.index_stages(["v", "w"])
+    want = indexer.fit(df).transform(df)
+    assert rows(M.index_columns(df, ["v", "w"]).select("v", "w", "v_idx", "w_idx")) == rows(want.select("v", "w", "v_idx", "w_idx"))
 
 
 def test_index_table_is_the_indexer(spark):
