@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from folia.session import new_path
+from folia.session import new_path, written  # noqa: F401
 
 _SHIPPED: set[str] = set()
 BatchFunction = Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]]
@@ -33,17 +32,6 @@ def map_arrow(df: DataFrame, function: BatchFunction, schema: pa.Schema) -> Data
     return df.mapInArrow(function, from_arrow_schema(schema))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` as a table in the shared folder, so that a lost executor costs a re-read
-    and what was shuffled for it can be freed."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    del df
-    gc.collect()
-    return spark.read.parquet(path)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -18,7 +18,7 @@ pytestmark = pytest.mark.skipif(not DATA.exists(), reason="test tables are not h
 
 def test_all_are_registered():
     names = {n.split("_")[0] for n in contract.queries() if n.startswith("op")}
-    assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in contract.queries()
+    assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in contract.queries()
 
 
 def test_line_dedup_equals_its_sql(sent):
