@@ -6,8 +6,10 @@ from folia.functions.expressions import (
     has_field,
     hash_bucket,
     json_fields,
+    parsed,
     row_to_json,
     truthy_field,
+    truthy_value,
 )
 from folia.functions.sanitize import document_schema, sanitize
 
@@ -20,7 +22,9 @@ __all__ = [
     "has_field",
     "hash_bucket",
     "json_fields",
+    "parsed",
     "row_to_json",
     "sanitize",
     "truthy_field",
+    "truthy_value",
 ]

@@ -86,8 +86,18 @@ def has_field(body: Column | str, name: str) -> Column:
     return F.coalesce(F.array_contains(F.json_object_keys(_col(body)), name), F.lit(False))
 
 
-def truthy_field(body: Column | str, name: str) -> Column:
-    """Whether a JSON object has a field that is neither null, false, zero nor empty; never NULL."""
-    value = F.to_json(F.try_variant_get(F.try_parse_json(_col(body)), f"$.{name}", "variant"))
+def parsed(body: Column | str) -> Column:
+    """The body as a variant, NULL if it is no JSON; select it once for several `truthy_value`."""
+    return F.try_parse_json(_col(body))
+
+
+def truthy_value(variant: Column | str, name: str) -> Column:
+    """Whether a parsed JSON object has a field that is neither null, false, zero nor empty; never NULL."""
+    value = F.to_json(F.try_variant_get(_col(variant), f"$.{name}", "variant"))
     nothing = value.rlike(r'^(null|false|""|\[\]|\{\}|-?0+(\.0+)?([eE][+-]?[0-9]+)?)$')
     return F.coalesce(~nothing, F.lit(False))
+
+
+def truthy_field(body: Column | str, name: str) -> Column:
+    """`truthy_value` of a field in a body that is text."""
+    return truthy_value(parsed(body), name)

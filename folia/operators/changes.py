@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folia.functions import has_field, json_fields, truthy_field
+from folia.functions import has_field, json_fields, parsed, truthy_value
 from folia.operators.catalog import BOOK_COLUMNS
 from folia.operators.spread import counted_hot_keys, lookup_join, place_by_range
-from folia.session import durable
+from folia.session import written
 
 # Operations, outcomes, and the fields an update may set.
 INSERT, UPDATE, DELETE = "insert", "update", "delete"
@@ -47,12 +47,12 @@ def read_inserts(log: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
     does not fit the type of its column is not valid.
     """
     names = REQUIRED_FIELDS + OPTIONAL_FIELDS
-    raw = log.filter(F.col("op") == INSERT).select("seq", "body", json_fields("body", names))
-    typed = raw.select("seq", "body", *[F.col(n).try_cast(types[n]).alias(n) for n in names])
+    raw = log.filter(F.col("op") == INSERT).select("seq", parsed("body").alias("_parsed"), json_fields("body", names))
+    typed = raw.select("seq", "_parsed", *[F.col(n).try_cast(types[n]).alias(n) for n in names])
     valid = F.lit(True)
     for name in REQUIRED_FIELDS:
-        valid = valid & F.col(name).isNotNull() & truthy_field("body", name)
-    return typed.withColumn("valid", valid).drop("body")
+        valid = valid & F.col(name).isNotNull() & truthy_value("_parsed", name)
+    return typed.withColumn("valid", valid).drop("_parsed")
 
 
 def number_inserts(valid: DataFrame, high_water: int) -> DataFrame:
@@ -103,93 +103,74 @@ def apply_changes(
     high_water: int,
     *,
     hot_rows: int | None = None,
-    keep: bool = True,
 ) -> Changed:
     """Applies the log and returns new tables and outcomes; inputs stay as they are.
 
     An update sets `quantity` on all inventory rows of its book and counts as
-    applied when there is none. A delete removes the book only. The numbered
-    inserts and the decided changes are checkpointed, as all three results
-    need them; without `keep` they are worked out anew for each result.
+    applied when there is none. A delete removes the book only.
+
+    A book's life is folded to three numbers: the change that made it (none for books there from
+    the start), the first later delete, and the last update before that. Each is an aggregate
+    that is combined before the shuffle; no change is looked at next to another. Only the
+    inserts are written, as ids are given in the order of the whole log; all three results are
+    lazy.
     """
     types = {f.name: f.dataType for f in books.schema}
-    quantity_type = inventory.schema["quantity"].dataType
     id_type = types["book_id"]
 
-    inserts = read_inserts(log, types)
+    # Bodies are parsed once; numbering reads its rows twice.
+    inserts = written(read_inserts(log, types), "inserts")
     inserted = number_inserts(inserts.filter("valid").drop("valid"), high_water)
-    inserted = inserted.withColumn("book_id", F.col("book_id").cast(id_type))
-    if keep:
-        inserted = durable(inserted)
+    inserted = written(inserted.withColumn("book_id", F.col("book_id").cast(id_type)), "inserted")
+    born = inserted.select(F.col("book_id").alias("key"), F.col("seq").alias("_born"))
 
-    # When each book came into being; books there from the start have no born.
-    born = books.select(F.col("book_id").alias("key"), F.lit(None).cast("long").alias("_born")).unionByName(
-        inserted.select(F.col("book_id").alias("key"), F.col("seq").cast("long").alias("_born"))
-    )
-    born = born.withColumn("_known", F.lit(True))
     # A key that cannot be an id is the key of no book.
     log = log.withColumn("key", F.col("key").try_cast(id_type))
     hot = counted_hot_keys(log.filter(F.col("op").isin(UPDATE, DELETE)), ["key"], hot_rows)
-    keyed = read_updates(log, quantity_type)
-    seen = lookup_join(keyed, born, ["key"], "left", hot)
-    was_there = F.col("_known") & (F.col("_born").isNull() | (F.col("_born") < F.col("seq")))
-    seen = seen.withColumn("_there", F.coalesce(was_there, F.lit(False))).drop("_known", "_born")
-    if keep:
-        # Read by the grouping below and by the join with it.
-        seen = durable(seen)
-
-    # The first delete that finds its book ends it.
-    died = (
-        seen.filter((F.col("op") == DELETE) & F.col("_there")).groupBy("key").agg(F.min("seq").alias("_died"))
-    )
-    decided = lookup_join(seen, died, ["key"], "left", hot)
-    found = F.col("_there") & (F.col("_died").isNull() | (F.col("seq") <= F.col("_died")))
-    outcome = (
-        F.when(~found, NOT_FOUND)
-        .when((F.col("op") == UPDATE) & ~F.col("_valid"), INVALID)
-        .otherwise(APPLIED)
-    )
-    decided = decided.select("seq", "op", "key", "_value", outcome.alias("outcome"))
-    if keep:
-        decided = durable(decided)
+    there_yet = F.col("_born").isNull() | (F.col("_born") < F.col("seq"))
+    # The first delete that can find its book ends it; whether there was one is asked later.
+    deletes = lookup_join(log.filter(F.col("op") == DELETE).select("seq", "key"), born, ["key"], "left", hot)
+    died = deletes.filter(there_yet & F.col("key").isNotNull()).groupBy("key").agg(F.min("seq").alias("_died"))
 
-    applied = decided.filter(F.col("outcome") == APPLIED)
-    gone = applied.filter(F.col("op") == DELETE).select(F.col("key").alias("book_id"))
     new_books = books.select(*BOOK_COLUMNS).unionByName(inserted.select(*BOOK_COLUMNS))
-    new_books = delete_keys(new_books, "book_id", gone)
+    new_books = delete_keys(new_books, "book_id", died.select(F.col("key").alias("book_id")))
+
+    alive = there_yet & (F.col("_died").isNull() | (F.col("seq") <= F.col("_died")))
+    changes = read_updates(log, inventory.schema["quantity"].dataType)
+    lived = lookup_join(lookup_join(changes, born, ["key"], "left", hot), died, ["key"], "left", hot)
+    known = books.select(F.col("book_id").alias("key"), F.lit(True).alias("_known"))
 
     latest = (
-        applied.filter(F.col("op") == UPDATE)
-        .groupBy(F.col("key").alias("book_id"))
-        .agg(F.max_by("_value", "seq").alias("_value"))
-        .withColumn("_hit", F.lit(True))
+        lived.filter((F.col("op") == UPDATE) & F.col("_valid") & alive & F.col("key").isNotNull())
+        .groupBy("key")
+        .agg(F.max_by("_value", "seq").alias("_value"), F.max("_born").alias("_born"))
     )
+    latest = latest.join(known, "key", "left").filter("_known OR _born IS NOT NULL")
+    latest = latest.select(F.col("key").alias("book_id"), "_value", F.lit(True).alias("_hit"))
     # Stock rows are on the left of a left join, where Spark splits a hot book itself.
     updated = lookup_join(inventory, latest, ["book_id"], "left")
     quantity = F.when(F.col("_hit"), F.col("_value")).otherwise(F.col("quantity")).alias("quantity")
     new_inventory = updated.select(*[quantity if c == "quantity" else c for c in inventory.columns])
 
+    found = (F.col("_known") | F.col("_born").isNotNull()) & alive
+    outcome = (
+        F.when(~F.coalesce(found, F.lit(False)), NOT_FOUND)
+        .when((F.col("op") == UPDATE) & ~F.col("_valid"), INVALID)
+        .otherwise(APPLIED)
+    )
     no_key = F.lit(None).cast(id_type)
-    rejected = inserts.filter(~F.col("valid")).select(
-        "seq", F.lit(INSERT).alias("op"), no_key.alias("key"), F.lit(INVALID).alias("outcome"), no_key.alias("new_id")
+    decided = lookup_join(lived, known, ["key"], "left", hot).select(
+        "seq", "op", "key", outcome.alias("outcome"), no_key.alias("new_id")
     )
     accepted = inserted.select(
-        "seq",
-        F.lit(INSERT).alias("op"),
-        no_key.alias("key"),
-        F.lit(INSERTED).alias("outcome"),
-        F.col("book_id").alias("new_id"),
+        "seq", F.lit(INSERT).alias("op"), no_key.alias("key"), F.lit(INSERTED).alias("outcome"), F.col("book_id").alias("new_id")
     )
-    known_ops = F.coalesce(F.col("op").isin(INSERT, UPDATE, DELETE), F.lit(False))
-    unknown = log.filter(~known_ops).select(
-        "seq", "op", "key", F.lit(INVALID).alias("outcome"), no_key.alias("new_id")
-    )
-    outcomes = (
-        decided.select("seq", "op", "key", "outcome", no_key.alias("new_id"))
-        .unionByName(accepted)
-        .unionByName(rejected)
-        .unionByName(unknown)
+    rejected = inserts.filter(~F.col("valid")).select(
+        "seq", F.lit(INSERT).alias("op"), no_key.alias("key"), F.lit(INVALID).alias("outcome"), no_key.alias("new_id")
     )
+    known_ops = F.coalesce(F.col("op").isin(INSERT, UPDATE, DELETE), F.lit(False))
+    unknown = log.filter(~known_ops).select("seq", "op", "key", F.lit(INVALID).alias("outcome"), no_key.alias("new_id"))
+    outcomes = decided.unionByName(accepted).unionByName(rejected).unionByName(unknown)
     return Changed(new_books, new_inventory, outcomes)
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folia.functions import document_id
-from folia.operators.spread import counted_hot_keys, key_counts, lookup_join, number_parts
+from folia.operators.spread import counted_hot_keys, key_counts, lookup_join, number_parts, oversized_keys
 
 
 @dataclass(frozen=True)
@@ -28,8 +28,9 @@ class Pack:
     rows: DataFrame  # keys, part, the array
     keys: tuple[str, ...]
     name: str
-    totals: DataFrame | None  # keys and the number of children over all parts
-    parts: DataFrame  # keys that need several parts, and how many (_parts)
+    total: str | None  # the column for the number of children over all parts
+    counts: DataFrame  # keys and the number of children (_rows)
+    parts: DataFrame | None  # keys that need several parts, and how many (_parts); None if there are none
 
 
 def pack(
@@ -49,7 +50,8 @@ def pack(
     `fields` defaults to the whole child row, keys included. With `scalar` the
     single field is kept bare instead of as an object; NULL items stay. With
     `distinct` equal items are kept once. `total` names a column for the number
-    of children over all parts. Lazy.
+    of children over all parts. Children are counted per key when this is called; unless a
+    key has too many, the rest is one shuffle of one scan.
     """
     keys = list(keys)
     fields = list(fields or children.columns)
@@ -61,7 +63,6 @@ def pack(
     slim = slim.na.drop(subset=inner)
     slim = slim.distinct() if distinct else slim
     back = dict(zip(inner, keys))
-    totals = key_counts(slim, inner, total).withColumnsRenamed(back) if total else None
     numbered, parts = number_parts(slim, inner, part_size, part_bytes)
     # Objects, not bare values, are collected: collecting drops NULL values.
     items = F.sort_array(F.collect_list("_c"))
@@ -69,9 +70,14 @@ def pack(
         items = F.transform(items, lambda x: x[fields[0]])
     # Arrays only grow when combined before a shuffle, so rows are shuffled
     # bare; grouping and the join to the parents then stay in place.
-    group = [*inner, "part"]
+    group = inner if parts is None else [*inner, "part"]
     rows = numbered.repartition(*group).groupBy(*group).agg(items.alias(name))
-    return Pack(rows.withColumnsRenamed(back), tuple(keys), name, totals, parts.withColumnsRenamed(back))
+    if parts is None:
+        rows = rows.withColumn("part", F.lit(0).cast("long"))
+    else:
+        parts = parts.withColumnsRenamed(back)
+    counts = key_counts(slim, inner, "_rows").withColumnsRenamed(back)
+    return Pack(rows.withColumnsRenamed(back), tuple(keys), name, total, counts, parts)
 
 
 def attach(parents: DataFrame, packs: Sequence[Pack]) -> DataFrame:
@@ -82,33 +88,69 @@ def attach(parents: DataFrame, packs: Sequence[Pack]) -> DataFrame:
     keys = list(packs[0].keys)
     if any(list(p.keys) != keys for p in packs):
         raise ValueError("packs must share the parent key")
-    most = reduce(DataFrame.unionByName, [p.parts for p in packs]).groupBy(*keys).agg(F.max("_parts").alias("_parts"))
-    further = most.select(*keys, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_parts") - 1)).alias("part"))
-    docs = parents.withColumn("part", F.lit(0).cast("long"))
-    docs = docs.unionByName(parents.join(further, keys).select(*parents.columns, "part"))
+    several = [p.parts.select(*keys, "_parts") for p in packs if p.parts is not None]
+    docs, on = (in_parts(parents, keys, several), [*keys, "part"]) if several else (parents, keys)
     names = []
     for p in packs:
-        item_type = p.rows.schema[p.name].dataType
-        docs = docs.join(p.rows, [*keys, "part"], "left").withColumn(p.name, F.coalesce(p.name, F.array().cast(item_type)))
+        rows = p.rows if several else p.rows.drop("part")
+        item_type = rows.schema[p.name].dataType
+        docs = docs.join(rows, on, "left").withColumn(p.name, F.coalesce(p.name, F.array().cast(item_type)))
         names.append(p.name)
-        if p.totals is not None:
-            total = p.totals.columns[-1]
-            docs = docs.join(p.totals, keys, "left").withColumn(total, F.coalesce(total, F.lit(0).cast("long")))
-            names.append(total)
+        if p.total:
+            # With one part each, the array is all there is.
+            docs = docs.join(p.counts, keys, "left") if several else docs.withColumn("_rows", F.size(p.name))
+            docs = docs.withColumn(p.total, F.coalesce("_rows", F.lit(0)).cast("long")).drop("_rows")
+            names.append(p.total)
+    if not several:
+        docs = docs.withColumn("part", F.lit(0).cast("long"))
     return docs.select(*parents.columns, "part", *names)
 
 
-def embed_sets(parents: DataFrame, children: DataFrame, keys: Sequence[str], arrays: dict[str, Column]) -> DataFrame:
+def in_parts(parents: DataFrame, keys: Sequence[str], several: Sequence[DataFrame]) -> DataFrame:
+    """The parents once per `part`, as many as the most that any of `several` (keys, _parts) asks for."""
+    most = reduce(DataFrame.unionByName, several).groupBy(*keys).agg(F.max("_parts").alias("_parts"))
+    further = most.select(*keys, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_parts") - 1)).alias("part"))
+    docs = parents.withColumn("part", F.lit(0).cast("long"))
+    return docs.unionByName(parents.join(further, list(keys)).select(*parents.columns, "part"))
+
+
+def embed_sets(parents: DataFrame, children: DataFrame, keys: Sequence[str], arrays: dict[str, Column], *, part_size: int) -> DataFrame:
     """Several arrays of distinct items from one table of children, in one grouping.
 
-    Each array is given as the item of a child row, NULL where the row has none for it.
-    For children that are few per parent by their nature; `pack_distinct` bounds them.
+    Each array is given as the item of a child row, NULL where the row has none for it. No
+    array has more than `part_size` items. A parent with no more child rows than that, which
+    are counted when this is called, has its sets combined before the shuffle. The items
+    of all others are made distinct as rows, numbered into parts array by array, and
+    the parts with one number gathered in one grouping.
     """
     keys = list(keys)
-    sets = children.groupBy(*keys).agg(*[F.sort_array(F.collect_set(item)).alias(name) for name, item in arrays.items()])
-    docs = parents.join(sets, keys, "left")
-    empty = {name: F.coalesce(name, F.array().cast(sets.schema[name].dataType)) for name in arrays}
-    return docs.select(*parents.columns, *[c.alias(n) for n, c in empty.items()])
+    names = list(arrays)
+    over = oversized_keys(children, keys, None, part_size)
+    few = children if over is None else children.join(over.select(*keys), keys, "left_anti")
+    sets = few.na.drop(subset=keys).groupBy(*keys).agg(*[F.sort_array(F.collect_set(arrays[n])).alias(n) for n in names])
+    types = {n: sets.schema[n].dataType for n in names}
+    docs, on = parents, keys
+    if over is not None:
+        many = children.join(over.select(*keys), keys)
+        # One row per item: which array it is for, and the item in the field of that array.
+        one = [F.struct(F.lit(i).alias("_which"), *[(item if i == j else F.lit(None).cast(types[n].elementType)).alias(n) for j, (n, item) in enumerate(arrays.items())]) for i in range(len(names))]
+        items = many.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.explode(F.array(*one)).alias("_i"))
+        present = reduce(Column.__or__, [F.col("_i")[n].isNotNull() for n in names])
+        inner = [f"_k{i}" for i in range(len(keys))]
+        distinct = items.filter(present).select(*inner, F.col("_i._which").alias("_which"), F.col("_i").alias("_item")).distinct()
+        numbered, parts = number_parts(distinct, [*inner, "_which"], part_size)
+        own = lambda i, n: F.when(F.col("_which") == i, F.col("_item")[n])
+        gathered = numbered.repartition(*inner, "part").groupBy(*inner, "part").agg(*[F.sort_array(F.collect_list(own(i, n))).alias(n) for i, n in enumerate(names)])
+        back = dict(zip(inner, keys))
+        sets = sets.withColumn("part", F.lit(0).cast("long")).unionByName(gathered.withColumnsRenamed(back))
+        several = [] if parts is None else [parts.withColumnsRenamed(back).select(*keys, "_parts")]
+        docs, on = (in_parts(parents, keys, several), [*keys, "part"]) if several else (parents, keys)
+        sets = sets if several else sets.drop("part")
+    docs = docs.join(sets, on, "left")
+    if "part" not in docs.columns:
+        docs = docs.withColumn("part", F.lit(0).cast("long"))
+    empty = {n: F.coalesce(n, F.array().cast(types[n])) for n in names}
+    return docs.select(*parents.columns, "part", *[c.alias(n) for n, c in empty.items()])
 
 
 def embed_many(

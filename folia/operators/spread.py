@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folia.session import durable
+from folia.session import durable, written
 
 # A key with more rows than this is kept out of single-task joins.
 HOT_ROWS = 1_000_000
@@ -142,11 +142,11 @@ def place_by_range(df: DataFrame, order: str, name: str, weight: str | None = No
 
     Rows are dealt out by ranges of the column, however its values are spread, and counted
     per range; the counts of the ranges before come in as an offset. The ranges are
-    checkpointed, as both uses need the same ones.
+    written, as both uses need the same ones.
     """
     each = F.col(weight) if weight else F.lit(1).cast("long")
     before = (Window.unboundedPreceding, -1)
-    ranged = durable(df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()))
+    ranged = written(df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()), "ranged")
     totals = ranged.groupBy("_range").agg(F.sum(each).alias("_n"))
     ranges_before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(*before)
     offsets = totals.select("_range", F.coalesce(F.sum("_n").over(ranges_before), F.lit(0)).alias("_offset"))  # a row per range
@@ -155,36 +155,52 @@ def place_by_range(df: DataFrame, order: str, name: str, weight: str | None = No
     return placed.withColumn(name, (F.col("_offset") + F.col("_inside")).cast("long")).drop("_range", "_offset", "_inside")
 
 
+def oversized_keys(df: DataFrame, keys: Sequence[str], weight: Column | None, capacity: int) -> DataFrame | None:
+    """Keys whose rows weigh more than `capacity` together, or None when there is none; an action.
+
+    With their number of rows (_rows) and of parts (_parts). Only the keys are read, and what the
+    weight needs; rows are combined before the shuffle. The result is written, so its size is
+    known to whoever joins it; there are at most total weight / capacity such keys.
+    """
+    each = F.lit(1) if weight is None else weight
+    counts = df.na.drop(subset=list(keys)).groupBy(*keys).agg(F.sum(each).alias("_n"), F.count(F.lit(1)).alias("_rows"))
+    if (counts.agg(F.max("_n")).first()[0] or 0) <= capacity:
+        return None
+    large = counts.filter(F.col("_n") > capacity)
+    return written(large.select(*keys, "_rows", F.expr(f"(_n + {capacity} - 1) div {capacity}").alias("_parts")), "oversized")
+
+
 def number_parts(
     children: DataFrame, keys: Sequence[str], part_size: int, part_bytes: int | None = None
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame | None]:
     """Splits the children of each key into parts of at most `part_size` rows, and with
     `part_bytes` of about so many bytes (a part's last row may pass it).
 
-    Returns the children with a `part` column, and (keys, _parts) of the keys that need
-    several. Rows take consecutive places by (hash of the row, row), and the running
-    weight gives the part, so a part depends on the rows of its key alone. Equal rows are
-    counted into one first, so a heap of copies never meets in one task. Lazy.
+    Returns the children with a `part` column, and the keys that need several parts (with
+    _rows and _parts), or None if all children are in part 0. Keys are counted when this is
+    called. The rows of an oversized key take consecutive places by (hash of the row, row), and
+    the running weight gives the part, so a part depends on the rows of its key alone. Equal
+    rows are counted into one first, so a heap of copies never meets in one task. Rows
+    of all other keys are only passed on.
     """
     keys = list(keys)
     values = [c for c in children.columns if c not in keys]
-    if part_bytes is None:
-        capacity, weight = part_size, F.lit(1).cast("long")
-    else:
+    weight, capacity = None, part_size
+    if part_bytes is not None:
         size = F.coalesce(F.octet_length(F.to_json(F.struct(*values))), F.lit(0)) if values else F.lit(0)
-        capacity, weight = part_size * part_bytes, F.greatest(F.lit(part_bytes), size * part_size).cast("long")
-    weighed = children.withColumn("_w", weight)
-    totals = weighed.na.drop(subset=keys).groupBy(*keys).agg(F.sum("_w").alias("_n")).filter(F.col("_n") > capacity)
-    parts = totals.withColumn("_parts", F.expr(f"(_n + {capacity} - 1) div {capacity}"))
-    small = weighed.join(totals.select(*keys), keys, "left_anti").select(*children.columns, F.lit(0).cast("long").alias("part"))
-    large = weighed.join(parts, keys)
+        weight, capacity = F.greatest(F.lit(part_bytes), size * part_size).cast("long"), part_size * part_bytes
+    parts = oversized_keys(children, keys, weight, capacity)
+    first = F.lit(0).cast("long").alias("part")
+    if parts is None:
+        return children.select(*children.columns, first), None
+    small = children.join(parts.select(*keys), keys, "left_anti").select(*children.columns, first)
+    each = (F.lit(1).cast("long") if weight is None else weight).alias("_each")
+    large = children.select(*children.columns, each).join(parts.select(*keys, "_parts"), keys)
     counted = large.groupBy(*keys, *values).agg(
-        F.count(F.lit(1)).alias("_copies"), F.max("_parts").alias("_parts"), F.max("_w").alias("_w")
+        F.count(F.lit(1)).alias("_copies"), F.max("_parts").alias("_parts"), F.max("_each").alias("_each")
     )
     bucketed = counted.withColumn("_bucket", F.pmod(F.xxhash64(*values), F.col("_parts")) if values else F.lit(0))
-    placed = running_start(
-        bucketed.withColumnRenamed("_w", "_each"), keys, "_bucket", values or [F.lit(0)], F.col("_copies") * F.col("_each"), "_start"
-    )
+    placed = running_start(bucketed, keys, "_bucket", values or [F.lit(0)], F.col("_copies") * F.col("_each"), "_start")
     copies = placed.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
     numbered = copies.withColumn("part", F.expr(f"(_start + _copy * _each) div {capacity}"))
-    return small.unionByName(numbered.select(*children.columns, "part")), parts.select(*keys, "_parts")
+    return small.unionByName(numbered.select(*children.columns, "part")), parts

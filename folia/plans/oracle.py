@@ -122,6 +122,14 @@ def _density(weighted: str) -> str:
       FROM grid, weighted GROUP BY x"""
 
 
+def _edges(error: float) -> str:
+    """Each order's price split between the two bin edges around it."""
+    binned = f"SELECT lo, h * sqrt(8 * {error}) AS d, (o_totalprice - lo) / (h * sqrt(8 * {error})) AS b FROM orders, b"
+    return f"""SELECT lo + k * d AS v, sum(w) AS w FROM (
+        SELECT lo, d, floor(b) AS k, 1 - (b - floor(b)) AS w FROM ({binned})
+        UNION ALL SELECT lo, d, floor(b) + 1, b - floor(b) FROM ({binned})) GROUP BY lo, d, k"""
+
+
 def _columns(rows: list[tuple[str, str]], template: str) -> str:
     picks = " UNION ALL ".join(template.format(c=c, t=t) for c, t in rows)
     return f"WITH {_LABELLED} SELECT * FROM ({picks})"
@@ -335,11 +343,7 @@ ORACLE: dict[str, str] = {
         SELECT max(q3 + 1.5 * (q3 - q1)) AS fence, count(*) FILTER (WHERE n_chars >= q3 + 1.5 * (q3 - q1)) AS outliers
         FROM documents, q""",
     "price_density": _density("SELECT o_totalprice AS v, 1 AS w FROM orders"),
-    "price_density_binned": _density(
-        """SELECT lo + (i + 0.5) * (hi - lo) / 512 AS v, count(*) AS w
-           FROM (SELECT lo, hi, least(floor((o_totalprice - lo) / ((hi - lo) / 512)), 511) AS i FROM orders, b)
-           GROUP BY lo, hi, i"""
-    ),
+    "price_density_binned": _density(_edges(1e-3)),
     "distinct_sizes": "SELECT DISTINCT NULLIF(p_size, 7) AS p_size FROM part",
     "binned_balances": """SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'Very High'
         WHEN c_acctbal <= 0 THEN 'Low' WHEN c_acctbal <= 2500 THEN 'Medium'

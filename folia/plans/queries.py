@@ -234,7 +234,7 @@ def order_visit_documents(spark, sf_dir):
         "sellers": F.when(F.col("is_supplier"), F.struct("s_name", "s_nationkey")),
         "line_suppliers": F.struct("suppkey"),
     }
-    docs = documents.embed_sets(orders, children, ["orderkey"], arrays)
+    docs = documents.embed_sets(orders, children, ["orderkey"], arrays, part_size=PART_SIZE)
     first = F.when(F.size("line_suppliers") > 0, F.array_min("line_suppliers")["suppkey"])
     docs = docs.withColumn("supplier", first).withColumn("regions_ref", F.when(F.size("line_suppliers") > 0, documents.all_rows_id("regions")))
     docs = documents.link(docs, customers, "customers", "o_custkey", "c_custkey", "customer_ref")
@@ -487,8 +487,8 @@ def exact_medians(spark, sf_dir):
     """The exact counterpart of the approximate median: the lower middle value."""
     lines = _quantities(spark, sf_dir)
     rows = lines.agg(F.count("quantity").alias("n"))
-    medians = {c: profile.exact_quantiles(lines, c, [0.5], interpolate=False)[0] for c in ("quantity", "price")}
-    return rows.select("n", *[F.lit(v).alias(f"median_{c}") for c, v in medians.items()])
+    medians = profile.exact_quantiles_of(lines, {"quantity": [0.5], "price": [0.5]}, interpolate=False)
+    return rows.select("n", *[F.lit(v[0]).alias(f"median_{c}") for c, v in medians.items()])
 
 
 @query
@@ -582,7 +582,7 @@ def price_density(spark, sf_dir):
 
 @query
 def price_density_binned(spark, sf_dir):
-    rows = profile.density(table(spark, sf_dir, "orders"), "o_totalprice", points=20, bins=512)
+    rows = profile.density(table(spark, sf_dir, "orders"), "o_totalprice", points=20, error=1e-3)
     return rows.select(F.round("x", 3).alias("x"), F.round(F.col("density") * 1e6, 6).alias("density"))
 
 

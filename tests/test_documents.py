@@ -121,9 +121,38 @@ def test_all_when_present_refers_to_every_row_or_none(visits):
 def test_sets_of_one_grouping(visits):
     parents, bridge, dim = visits
     children = bridge.join(dim.withColumn("there", F.lit(True)), "symptom_id", "left")
-    docs = D.embed_sets(parents, children, ["visit_id"], {"notes": F.when(F.col("there"), F.struct("note")), "ids": F.struct("symptom_id")})
+    arrays = {"notes": F.when(F.col("there"), F.struct("note")), "ids": F.struct("symptom_id")}
+    docs = D.embed_sets(parents, children, ["visit_id"], arrays, part_size=10)
     got = {r["visit_id"]: ([x["note"] for x in r["notes"]], [x["symptom_id"] for x in r["ids"]]) for r in docs.collect()}
     assert got == {1: ([None, "cough"], [1, 2, 3]), 2: ([], [9]), 3: ([], []), 4: ([None], [2])}
+    # Four rows, but three distinct items at most: no second part.
+    assert D.embed_sets(parents, children, ["visit_id"], arrays, part_size=3).filter("part > 0").count() == 0
+
+
+def test_sets_of_one_grouping_in_parts(spark):
+    """A key of very many children stays within the bound, array by array; nothing is lost."""
+    parents = spark.createDataFrame([(1,), (2,), (3,), (None,)], "k int")
+    data = [(1, i % 700, i % 3) for i in range(5000)] + [(2, 7, 7), (2, 7, 7), (None, 1, 1), (1, None, None)]
+    children = spark.createDataFrame(data, "k int, a int, b int").repartition(5)
+    arrays = {"a": F.when(F.col("a").isNotNull(), F.struct("a")), "b": F.col("b")}
+    docs = D.embed_sets(parents, children, ["k"], arrays, part_size=100)
+    got = docs.collect()
+    assert sorted((r["k"] or 0, r["part"], len(r["a"]), len(r["b"])) for r in got) == [
+        (0, 0, 0, 0), *[(1, p, 100, 0 if p else 3) for p in range(7)], (2, 0, 1, 1), (3, 0, 0, 0)
+    ]
+    assert sorted(x["a"] for r in got if r["k"] == 1 for x in r["a"]) == list(range(700))
+    assert [r["b"] for r in got if r["k"] == 1 and r["part"] == 0] == [[0, 1, 2]]
+    whole = D.embed_sets(parents, children, ["k"], arrays, part_size=10_000)
+    assert sorted((r["k"] or 0, r["part"], len(r["a"]), len(r["b"])) for r in whole.collect()) == [(0, 0, 0, 0), (1, 0, 700, 3), (2, 0, 1, 1), (3, 0, 0, 0)]
+
+
+def test_children_are_scanned_once_when_no_key_is_large(spark, scratch):
+    path = f"{scratch}/children"
+    spark.range(200).selectExpr("id % 50 AS k", "id AS v").write.parquet(path)
+    docs = D.embed_many(spark.range(60).withColumnRenamed("id", "k"), spark.read.parquet(path), ["k"], "items", part_size=10, total="n")
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert docs.filter("n = 4").count() == 50
 
 
 def test_wide_children_are_split_by_bytes(spark, customers):

@@ -133,10 +133,32 @@ def test_density_is_the_kernel_sum(spark):
     want = [sum(np.exp(-0.5 * ((x - np.array(values)) / h) ** 2)) / (len(values) * h * np.sqrt(2 * np.pi)) for x in grid]
     assert [r["x"] for r in got] == pytest.approx(list(grid))
     assert [r["density"] for r in got] == pytest.approx(want)
-    binned = P.density(df, "v", points=30, bins=4000).orderBy("x").collect()
-    assert [r["density"] for r in binned] == pytest.approx(want, rel=1e-2)
     assert P.density(df.filter("v = 2"), "v").count() == 0
 
 
+@pytest.mark.parametrize("error", [1e-2, 1e-4])
+def test_density_is_within_its_error(spark, error):
+    rnd = random.Random(3)
+    values = [rnd.gauss(0, 1) if rnd.random() < 0.9 else rnd.gauss(40, 5) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    h = np.std(values, ddof=1) * len(values) ** -0.2
+    got = P.density(df, "v", points=50, error=error).collect()
+    want = [np.exp(-0.5 * ((r["x"] - np.array(values)) / h) ** 2).sum() / (len(values) * h * np.sqrt(2 * np.pi)) for r in got]
+    off = max(abs(r["density"] - w) for r, w in zip(got, want))
+    assert 0 < off <= error / (h * np.sqrt(2 * np.pi))
+
+
+def test_quantiles_of_several_columns(spark):
+    rnd = random.Random(6)
+    data = [(rnd.randrange(50), rnd.gauss(0, 1), rnd.randrange(10**6) if rnd.random() < 0.5 else None, None) for _ in range(3000)]
+    df = spark.createDataFrame(data, "a int, b double, c int, d int").repartition(3)
+    probabilities = {"a": [0.5, 0.9], "b": [0.01], "c": [0.25, 0.5], "d": [0.5]}
+    got = P.exact_quantiles_of(df, probabilities, interpolate=False)
+    for k, c in enumerate("abc"):
+        values = sorted(r[k] for r in data if r[k] is not None)
+        assert got[c] == [values[math.ceil(p * len(values)) - 1] for p in probabilities[c]]
+    assert got["d"] == [None]
+
+
 def test_select_features(loans):
     assert R.select_features(loans, ["gender"], ["amount"], "dependents", ["id"]).columns == ["id", "gender", "amount", "dependents"]
