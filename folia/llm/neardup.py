@@ -9,16 +9,26 @@ the earliest dart of each of `bands * rows` coordinates is the signature. The co
 is about k log k darts a text, whatever its length, beside one hash per shingle.
 
 Signatures are cut into bands. Texts that agree in a band meet in a bucket; with 32
-bands of 6 rows, two texts of similarity 0.8 meet with probability 0.9999. Pairs are
-checked by exact weighted Jaccard similarity of the shingles. Exact copies are one
-text. Each member is checked against the smallest id of its bucket, then, while that
-joins many, against another member chosen by a different order in every band and look.
-That only saves work: in the end all pairs of a bucket whose members are still in
-different components are checked. Components of the links found are the classes.
+bands of 6 rows, two texts of similarity 0.8 meet with probability 0.9999. Exact copies are one
+text, told by a digest of the whole text. Pairs are checked by exact weighted Jaccard
+similarity of the shingles, in two steps.
+
+First every member of a bucket is checked against one head of it, chosen by one of a few
+orders, which differ from band to band: a few checks a text, whatever the sizes of the buckets.
+The links found make components. Then texts of buckets with several components meet by an exact
+prefix filter: sort the elements of a text (shingle and copy number) by rising frequency among
+these texts. Two texts of a and b elements that are `least` alike share at least
+least / (1 + least) * (a + b) of them, so the rarest element they share stands so early in both
+that enough others can follow. Only texts that share such an element and are in different
+components are compared. Texts that differ in a fifth of their shingles from all others have no such
+element, however many share the rest; pairs within a group of texts that are alike but not
+alike enough never arise from the passage that they share. What can still grow with the square
+of a group are texts that are made of frequent shingles only, put together in many ways.
 
 Defined results: a text without words has no shingles and is alike only to equal
-texts (null counts as empty). Rows that share an id are one document, with the class
-of the smallest; a null id has no class and stays out of all others' classes.
+texts (null counts as empty). Rows that share id and text are one document; texts that
+share an id but differ are documents of their own, each with its own class. A null
+id has no class and stays out of all others' classes.
 """
 
 from __future__ import annotations
@@ -31,19 +41,21 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from folia.llm.bytesops import U64, Texts, chunks, mix, pack, ranges, texts, window_hashes
-from folia.llm.common import id_text, map_arrow, written
+from folia.llm.common import id_text, located, map_arrow, written
 from folia.llm.components import components, joined
 
 LONG = pa.int64()
 EMPTY = U64(0xFFFFFFFFFFFFFFFF)
-SIGNATURES = pa.schema([("doc_id", LONG), ("digest", pa.binary()), ("n", LONG), ("bands", pa.list_(LONG))])
-PACKED = pa.schema([("doc_id", LONG), ("packed", pa.binary())])
+SIGNED = [("digest", pa.binary()), ("words", LONG), ("bands", pa.list_(LONG))]
+PACKED = pa.schema([("doc_id", LONG), ("digest", pa.binary()), ("packed", pa.binary())])
+ELEMENTS = pa.schema([("u", LONG), ("root", LONG), ("size", LONG), ("element", LONG)])
 CHECKED = pa.schema([("u", LONG), ("v", LONG), ("similarity", pa.float64())])
 GROUP = 256  # texts whose darts are in memory at a time
-BLOCK = 256  # members of a bucket that meet as many others in a task
-FEW = 4  # pairs per member that are checked without a further look
+BLOCK = 256  # texts of an element that meet as many others in a task
+ORDERS = 8  # orders by which heads of buckets are chosen
 
 
 def shingles(t: Texts, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -149,115 +161,138 @@ def _check(pairs: DataFrame, packed: DataFrame, least: float) -> DataFrame:
             score = [similarity(of(x, batch.column("packed_u")[i]), of(y, batch.column("packed_v")[i])) for i, (x, y) in enumerate(zip(u, v, strict=True))]
             yield pack({"u": u, "v": v, "similarity": score}, CHECKED)
 
-    first = packed.select(F.col("doc_id").alias("u"), F.col("packed").alias("packed_u"))
-    second = packed.select(F.col("doc_id").alias("v"), F.col("packed").alias("packed_v"))
+    first = packed.select("u", F.col("packed").alias("packed_u"))
+    second = packed.select(F.col("u").alias("v"), F.col("packed").alias("packed_v"))
     both = pairs.join(first, "u").join(second, "v")
     return map_arrow(both, run, CHECKED).filter(F.col("similarity") >= least).select("u", "v")
 
 
-def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
-    return members.join(roots, "u", "left").withColumn("root", F.coalesce("root", "u"))
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per element of each text."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        for k, raw in enumerate(batch.column("packed")):
+            own = np.sort(units(*shingles(texts([unpack(raw.as_py()).decode()])))).view(np.int64)
+            same = lambda name: np.full(len(own), batch.column(name)[k].as_py(), np.int64)  # noqa: B023, E731
+            yield pack({"u": same("u"), "root": same("root"), "size": np.full(len(own), len(own)), "element": own}, ELEMENTS)
 
 
-def _mixed(labelled: DataFrame) -> DataFrame:
-    """Buckets of several components: their members (n), those outside the largest
-    component (n_rest) and that component (main)."""
-    by_root = labelled.groupBy("band", "bucket", "root").agg(F.count(F.lit(1)).alias("k"))
-    top = F.max(F.struct("k", "root"))
-    whole = by_root.groupBy("band", "bucket").agg(F.sum("k").alias("n"), top.alias("top"))
-    return whole.select("band", "bucket", "n", (F.col("n") - F.col("top.k")).alias("n_rest"), F.col("top.root").alias("main")).filter("n_rest > 0")
+def _prefixes(opened: DataFrame, packed: DataFrame, least: float) -> DataFrame:
+    """The elements (element, u, root, size, place) of each text by which it can meet another
+    that is `least` alike: those before `least` of the text, the rarest first.
 
+    Elements that only one text has lead nowhere, but hold their places.
+    """
+    elements = written(map_arrow(packed.join(opened, "u").select("u", "root", "packed"), _elements, ELEMENTS), "elements")
+    often = written(elements.groupBy("element").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "frequencies")
+    counted = elements.join(often, "element", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    place = F.row_number().over(Window.partitionBy("u").orderBy("n", "element")) - 1
+    placed = counted.withColumn("place", place)
+    return placed.filter((F.col("n") > 1) & (F.col("place") <= F.col("size") * (1 - least) + 1e-6)).drop("n")
+
+
+def _several(prefixes: DataFrame) -> DataFrame:
+    """Elements of several components: how many texts they have (n), how many of them are outside
+    the element's largest component (n_rest), and that component (main)."""
+    by_root = prefixes.groupBy("element", "root").agg(F.count(F.lit(1)).alias("k"))
+    whole = by_root.groupBy("element").agg(F.sum("k").alias("n"), F.max(F.struct("k", "root")).alias("top"))
+    return whole.select("element", "n", (F.col("n") - F.col("top.k")).alias("n_rest"), F.col("top.root").alias("main")).filter("n_rest > 0")
 
-def _open_pairs(labelled: DataFrame, mixed: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
-    """All pairs (u, v) that share a bucket and are in different components, but for those
-    whose numbers of shingles alone keep them below `least`.
 
-    One of each pair is outside the bucket's largest component. Those members in blocks
-    meet all members in blocks, so a task holds two blocks of a bucket, however large it is.
+def _open_pairs(prefixes: DataFrame, several: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
+    """All pairs (u, v) of different components that share an element with enough behind it.
+
+    One of each pair is outside the element's largest component. Those texts in blocks
+    meet all texts in blocks, so a task holds two blocks of an element, however many have it.
     """
-    sized = labelled.join(mixed, ["band", "bucket"])
+    sized = prefixes.join(several, "element")
     rest_blocks, blocks = (F.ceil(F.col(n) / block).cast("int") for n in ("n_rest", "n"))
     own = lambda n: F.pmod(F.xxhash64("u", F.lit(block)), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    rest = sized.filter("root <> main").select("band", "bucket", own(rest_blocks).alias("i"), every(blocks).alias("j"), "u", "root", "words")
-    whole = sized.select("band", "bucket", every(rest_blocks).alias("i"), own(blocks).alias("j"), F.col("u").alias("v"), F.col("root").alias("other"), F.col("words").alias("other_words"))
-    pairs = rest.join(whole, ["band", "bucket", "i", "j"]).filter("root <> other")
-    # Shared shingles are those of the shorter text at most, their union those of the longer.
-    few, many = (f(*(F.greatest(F.col(n) - 4, F.lit(1)) for n in ("words", "other_words"))) for f in (F.least, F.greatest))
-    pairs = pairs.filter(few >= many * (least - 1e-9))
+    left = (F.col("size") - F.col("place")).alias("left")
+    rest = sized.filter("root <> main").select("element", own(rest_blocks).alias("i"), every(blocks).alias("j"), "u", "root", "size", left)
+    renamed = [F.col("u").alias("v"), F.col("root").alias("other"), F.col("size").alias("v_size"), left.alias("v_left")]
+    whole = sized.select("element", every(rest_blocks).alias("i"), own(blocks).alias("j"), *renamed)
+    # So many elements two texts share at least; the shared one and those behind it must be enough.
+    shared = (F.col("size") + F.col("v_size")) * (least / (1 + least)) - 1e-6
+    fit = (F.col("root") != F.col("other")) & (F.col("left") >= shared) & (F.col("v_left") >= shared)
+    pairs = rest.join(whole, ["element", "i", "j"]).filter(fit)
     return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, rows: int = 6) -> DataFrame:
-    """One row per document: doc_id, text_id (the smallest id of that very text) and
-    class_id (the smallest id of its class)."""
-    ids = id_text(docs).filter("doc_id IS NOT NULL")
+def _digest(text: str) -> F.Column:
+    return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)).alias("digest")
+
+
+def _grouped(rows: DataFrame, least: float, bands: int, per_band: int) -> tuple[DataFrame, DataFrame]:
+    """The rows without their text but with its digest, and the distinct texts: digest, u, first_id
+    (the smallest id of that text) and group (the component, a number without meaning).
+
+    `rows` has doc_id, text and further columns that are kept.
+    """
+    carried = [c for c in rows.columns if c != "text"]
+    signed_schema = pa.schema([*[(c, LONG) for c in carried], *SIGNED])
+    digested = rows.select(*carried, "text", _digest("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for t in chunks(batch.column("text")):
                 own = batch.slice(t.first, t.last - t.first)
-                yield pack({"doc_id": own.column("doc_id"), "digest": own.column("digest"), "n": np.diff(t.word_spans[2]), "bands": sign(t, bands, rows)}, SIGNATURES)
+                kept = {c: own.column(c) for c in (*carried, "digest")}
+                yield pack({**kept, "words": np.diff(t.word_spans[2]), "bands": sign(t, bands, per_band)}, signed_schema)
 
-    digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
-    signed = written(map_arrow(ids.withColumn("digest", digest), run, SIGNATURES), "signatures")
-    same = signed.groupBy("digest").agg(F.min("doc_id").alias("text_id"))
-    copies = written(signed.select("doc_id", "digest").join(same, "digest").groupBy("doc_id").agg(F.min("text_id").alias("text_id")), "copies")
+    signed = written(map_arrow(digested, run, signed_schema), "signatures")
+    one = signed.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"))
+    # Written, so that a text keeps its number.
+    distinct = written(one.withColumn("u", F.monotonically_increasing_id()), "texts")
 
-    # One row per distinct text and band.
-    distinct = signed.join(copies.filter("doc_id = text_id").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    banded = distinct.select(F.col("doc_id").alias("u"), F.col("n").alias("words"), F.posexplode("bands").alias("band", "bucket"))
-    sizes = banded.groupBy("band", "bucket").agg(F.min("u").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = written(banded.join(sizes.select("band", "bucket", "v"), ["band", "bucket"]), "members")
+    banded = distinct.select("u", F.posexplode("bands").alias("band", "bucket"))
+    banded = banded.select("u", F.xxhash64("band", "bucket").alias("key"), F.xxhash64("u", F.col("band") % ORDERS).alias("turn"))
+    heads = banded.groupBy("key").agg(F.min_by("u", "turn").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = written(banded.select("u", "key").join(heads.select("key", "v"), "key"), "members")
 
     def packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            yield pack({"doc_id": batch.column("doc_id"), "packed": [squeeze((x or "").encode()) for x in batch.column("text").to_pylist()]}, PACKED)
-
-    involved = members.select(F.col("u").alias("doc_id")).distinct()
-    packed = written(map_arrow(ids, packing, PACKED).join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "packed")
-
-    tried = written(members.filter("u <> v").select("u", "v").distinct(), "pairs")
-    roots = components(_check(tried, packed, least))
-    turn, before = 0, None
-    while True:
-        labelled = written(_labelled(members.select("band", "bucket", "u", "words"), roots), "labelled")
-        mixed = written(_mixed(labelled), "mixed")
-        visits = mixed.agg(F.sum(F.col("n") * F.col("n_rest")), F.sum("n")).first()
-        # A look is worth its shuffles while the last one has halved the pairs at least.
-        if not visits[0] or visits[0] <= FEW * visits[1] or (before and 2 * visits[0] > before):
-            break
-        before = visits[0]
-        # One member of each bucket of several components, by another order in every
-        # band and look: those of other components are checked with it.
-        order = F.xxhash64("u", "band", F.lit(turn))
-        in_mixed = labelled.join(mixed.select("band", "bucket"), ["band", "bucket"])
-        heads = in_mixed.groupBy("band", "bucket").agg(F.min_by(F.struct("u", "root"), order).alias("h"))
-        heads = heads.select("band", "bucket", F.col("h.u").alias("v"), F.col("h.root").alias("head_root"))
-        members_too = in_mixed.join(heads, ["band", "bucket"]).filter("root <> head_root").select("u", "v")
-        pairs = members_too.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        pairs = written(pairs.join(tried, ["u", "v"], "left_anti"), "pairs")
-        found = written(_check(pairs, packed, least), "links")
-        tried = tried.unionByName(pairs)
-        turn += 1
-        if found.isEmpty():
-            break
-        roots = joined(roots, found)
-    # A look without a link has left all components as they were labelled.
-    if visits[0]:
-        pairs = written(_open_pairs(labelled, mixed, least).join(tried, ["u", "v"], "left_anti"), "pairs")
+            yield pack({"doc_id": batch.column("doc_id"), "digest": batch.column("digest"), "packed": [squeeze((x or "").encode()) for x in batch.column("text").to_pylist()]}, PACKED)
+
+    involved = members.select("u").distinct()
+    wanted = distinct.join(involved, "u", "left_semi").select(F.col("first_id").alias("doc_id"), "digest", "u")
+    some = map_arrow(digested.select("doc_id", "digest", "text"), packing, PACKED).join(wanted, ["doc_id", "digest"])
+    packed = written(some.dropDuplicates(["doc_id", "digest"]).select("u", "packed"), "packed")
+
+    pairs = members.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    roots = components(_check(pairs, packed, least))
+    labelled = members.select("u", "key").join(roots, "u", "left").withColumn("root", F.coalesce("root", "u"))
+    mixed = labelled.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
+    opened = written(labelled.join(mixed.select("key"), "key", "left_semi").select("u", "root").distinct(), "open")
+    if not opened.isEmpty():
+        prefixes = written(_prefixes(opened, packed, least), "prefixes")
+        pairs = written(_open_pairs(prefixes, _several(prefixes), least), "pairs")
         found = written(_check(pairs, packed, least), "links")
         if not found.isEmpty():
             roots = joined(roots, found)
-    classes = copies.join(roots.select(F.col("u").alias("text_id"), "root"), "text_id", "left")
-    known = classes.select("doc_id", "text_id", F.coalesce("root", "text_id").alias("class_id"))
+    grouped = distinct.select("digest", "u", "first_id").join(roots, "u", "left")
+    return signed.select(*carried, "digest"), written(grouped.withColumn("group", F.coalesce("root", "u")).drop("root"), "groups")
+
+
+def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, rows: int = 6) -> DataFrame:
+    """One row per document: doc_id, text_id (the smallest id of that very text) and
+    class_id (the smallest id of its class)."""
+    signed, groups = _grouped(id_text(docs).filter("doc_id IS NOT NULL"), least, bands, rows)
+    first = groups.groupBy("group").agg(F.min("first_id").alias("class_id"))
+    classes = written(groups.join(first, "group").select("digest", F.col("first_id").alias("text_id"), "class_id"), "classes")
+    known = signed.distinct().join(classes, "digest").select("doc_id", "text_id", "class_id")
     return known.unionByName(id_text(docs).filter("doc_id IS NULL").select("doc_id"), allowMissingColumns=True)
 
 
-def one_of_each(docs: DataFrame, least: float = 0.8) -> DataFrame:
-    """`docs` with one document of each class, that of the smallest id; rows that share
-    that id become one. Rows without an id stay."""
-    kept = near_duplicates(docs, least).filter("doc_id = class_id").select(F.col("doc_id").alias("_kept_id"))
-    stay = docs.filter("doc_id IS NOT NULL").join(kept, F.col("doc_id").cast("long") == F.col("_kept_id"), "left_semi")
-    return stay.dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id IS NULL"))
+def one_of_each(docs: DataFrame, least: float = 0.8, bands: int = 32, rows: int = 6) -> DataFrame:
+    """`docs` with one row of each class: that of the smallest id, and of rows that repeat it the
+    first in the files. Rows without an id stay."""
+    whole = located(docs, F.struct("*").alias("doc"))
+    named = whole.select(F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").cast("string").alias("text"), "file", "row")
+    signed, groups = _grouped(named.filter("doc_id IS NOT NULL"), least, bands, rows)
+    placed = written(signed.join(groups.select("digest", "group"), "digest").select("group", "doc_id", "file", "row"), "placed")
+    best = placed.groupBy("group").agg(F.min(F.struct("doc_id", "file", "row")).alias("best")).select("best.file", "best.row")
+    dropped = written(placed.select("file", "row").join(best, ["file", "row"], "left_anti"), "dropped")
+    return whole.join(dropped, ["file", "row"], "left_anti").select("doc.*")

@@ -249,12 +249,49 @@ def test_near_duplicates_hidden_in_a_crowd(sent):
     assert got == want
 
 
-def test_open_pairs_are_all_pairs_of_different_components(sent):
-    rows = [(0, 1, u, 100, u if u % 3 else 0) for u in range(70)] + [(1, 1, u, 100, u if u % 3 else 0) for u in range(50, 90)] + [(1, 2, 500, 100, 0), (1, 2, 501, 78, 501)]
-    labelled = sent.createDataFrame(rows, "band int, bucket long, u long, words long, root long")
-    got = [(r.u, r.v) for r in neardup._open_pairs(labelled, neardup._mixed(labelled), 0.8, block=8).collect()]
-    want = {(a[2], b[2]) for a in rows for b in rows if a[:2] == b[:2] and a[2] > b[2] and a[4] != b[4] and a[2] != 501}
-    assert len(got) == len(set(got)) and set(got) == want
+def test_rows_that_share_an_id_but_not_a_text(sent):
+    x, y = prose(1, 60), prose(2, 60)
+    docs = sent.createDataFrame([(1, x, "a"), (5, x, "b"), (5, y, "c"), (7, y, "d"), (7, y, "d"), (None, x, "e")], "doc_id long, text string, digest string")
+    got = sorted((r.doc_id, r.text_id, r.class_id) for r in neardup.near_duplicates(docs).filter("doc_id IS NOT NULL").collect())
+    assert got == [(1, 1, 1), (5, 1, 1), (5, 5, 5), (7, 5, 5)]
+    assert sorted((r.doc_id or 0, r.digest) for r in neardup.one_of_each(docs).collect()) == [(0, "e"), (1, "a"), (5, "c")]
+
+
+def test_open_pairs_lose_no_pair_that_is_alike(sent):
+    """By brute force over texts of common and rare shingles: every pair of different
+    components that is alike enough is among the pairs, and few others are."""
+    rng = random.Random(3)
+    bases = [rng.sample(range(90), 34) for _ in range(12)]
+    bags = {u: set(rng.sample(bases[u % 12], rng.randrange(28, 35))) | {100 + rng.randrange(200) for _ in range(rng.randrange(7))} for u in range(120)}
+    root = {u: u if u % 3 else 0 for u in bags}
+    count = Counter(e for b in bags.values() for e in b)
+    rows = []
+    for u, b in bags.items():
+        for place, e in enumerate(sorted(b, key=lambda e: (count[e], e))):
+            if count[e] > 1 and place <= len(b) * 0.2 + 1e-6:
+                rows.append((e, u, root[u], len(b), place))
+    prefixes = sent.createDataFrame(rows, "element long, u long, root long, size long, place int").repartition(3)
+    got = [(r.u, r.v) for r in neardup._open_pairs(prefixes, neardup._several(prefixes), 0.8, block=8).collect()]
+    alike = {(u, v) for u in bags for v in bags if u > v and root[u] != root[v] and len(bags[u] & bags[v]) >= 0.8 * len(bags[u] | bags[v])}
+    assert alike and alike <= set(got) and len(got) == len(set(got)) < 120 * 119 / 2 / 3
+    assert all(root[u] != root[v] for u, v in got)
+
+
+def test_a_crowd_around_a_text_makes_no_pairs_of_its_outliers(sent, monkeypatch):
+    """Many texts have one passage and 15 % of their own: alike by 0.74, they are never compared."""
+    base = [f"w{k}" for k in range(200)]
+    docs = []
+    for i in range(300):
+        words = list(base)
+        for k in random.Random(i).sample(range(0, 200, 5), 12 if i % 3 else 1):
+            words[k] = f"x{i}y{k}"
+        docs.append((i, " ".join(words)))
+    seen = []
+    check = neardup._check
+    monkeypatch.setattr(neardup, "_check", lambda pairs, packed, least: (seen.append(pairs.count()), check(pairs, packed, least))[1])
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(sent.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    assert got == plain_classes(docs)
+    assert seen[0] <= neardup.ORDERS * 300 and seen[1] <= 300
 
 
 def test_components(sent):
