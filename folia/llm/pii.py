@@ -12,7 +12,8 @@ candidates (`sample`, by hash; a parameter) with the estimated probabilities as
 
 Base spans always stay; added ones are of kind other and touch no base span. Defined
 results: null and empty texts have no spans. Each input row gives one row, with repeated and
-null ids as they are. Without candidates nothing is added.
+null ids as they are. Without candidates nothing is added. Every pattern is read in time
+linear in the line, however long its runs of letters or digits are.
 """
 
 from __future__ import annotations
@@ -28,17 +29,22 @@ from pyspark.sql import functions as F
 
 from folia.llm.bytesops import Texts, chunks, pack
 from folia.llm.common import id_text, map_arrow
-from folia.llm.spans import Span, digest, found, joined, lines_with
+from folia.llm.spans import Span, digest, joined, lines_with
 
-# Fixed patterns of the contract.
+# Fixed patterns of the contract. What stands before the @ of an address is found from there
+# (`mails`): a pattern that begins with it would read a long run of letters once for each of them.
+# So that runs of digits are read once, an address of numbers begins at the start of one.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+AT, DOMAIN = re.compile("@"), re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
+CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 KINDS = ("email", "ip", "card", "phone")
-# Looser forms.
-MAIL_LIKE = re.compile(r"[A-Za-z0-9._%+-]+(?:@|\x20?[(\[]at[)\]]\x20?)[A-Za-z0-9-]+(?:(?:\.|\x20?[(\[]dot[)\]]\x20?)[A-Za-z0-9-]+)*")
-NUMBER_LIKE = re.compile(r"\+?[0-9](?:[\x20().\-/]{0,2}[0-9]){6,24}(?![0-9])")
+# Looser forms; runs of more digits than a number may have are passed over at once.
+LOOSE_AT = re.compile(r"@|[(\[]at[)\]]")
+LOOSE_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:(?:\.|\x20?[(\[]dot[)\]]\x20?)[A-Za-z0-9-]++)*+")
+NUMBER_LIKE = re.compile(r"(?!\+?[0-9]{26})\+?[0-9](?:[\x20().\-/]{0,2}[0-9]){6,24}(?![0-9])")
 DATE = re.compile(r"(?:19|20)?[0-9]{2}[./-][0-9]{1,2}[./-](?:19|20)?[0-9]{2}")
 DECIMAL = re.compile(r"[0-9]+\.[0-9]+")
 # Gazetteers and context words.
@@ -63,6 +69,32 @@ def _digits(text: str) -> str:
     return re.sub("[^0-9]", "", text)
 
 
+def mails(line: str, at: re.Pattern = AT, domain: re.Pattern = DOMAIN) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping spans of LOCAL characters, `at` and `domain`, in time linear
+    in the line: each stretch between two marks is read once from its end. Marks of more
+    than one character may have a space before and after."""
+    least = 0  # nothing before it belongs to a further address
+    for m in at.finditer(line):
+        p, q = m.span()
+        if q - p > 1:
+            p -= p > least and line[p - 1] == " "
+            q += line[q : q + 1] == " "
+        if p > least:
+            start = least + len(line[least:p].rstrip(LOCAL))
+            rest = domain.match(line, q) if start < p else None
+            if rest:
+                yield start, rest.end()
+                least = rest.end()
+                continue
+        least = max(least, m.end())
+
+
+def _small(part: str) -> bool:
+    """Whether the digits are a number up to 255, however many zeros it begins with."""
+    digits = part.lstrip("0")
+    return len(digits) <= 3 and int(digits or 0) <= 255
+
+
 def _byte_marks(t: Texts) -> dict[str, np.ndarray]:
     data = t.data
     digit = (data >= 48) & (data <= 57)
@@ -73,13 +105,19 @@ def _byte_marks(t: Texts) -> dict[str, np.ndarray]:
 
 def base_spans(t: Texts) -> list[list[Span]]:
     marks = _byte_marks(t)
+    by = lambda pattern: lambda line: (m.span() for m in pattern.finditer(line))
     kinds = [
-        ("email", EMAIL, marks["at"], lambda m: True),
-        ("ip", IP, marks["dot"], lambda m: all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))),
-        ("card", CARD, marks["digit"], lambda m: 16 <= len(d := _digits(m[0])) <= 19 and luhn(d)),
-        ("phone", PHONE, marks["plus"], lambda m: 8 <= len(_digits(m[0])) <= 15),
+        ("email", mails, marks["at"], lambda v: True),
+        ("ip", by(IP), marks["dot"], lambda v: all(map(_small, v.split(".")))),
+        ("card", by(CARD), marks["digit"], lambda v: 16 <= len(d := _digits(v)) <= 19 and luhn(d)),
+        ("phone", by(PHONE), marks["plus"], lambda v: 8 <= len(_digits(v)) <= 15),
     ]
-    return found(t, kinds)
+    out: list[list[Span]] = [[] for _ in range(t.size)]
+    for place, (kind, spans, hit, test) in enumerate(kinds):
+        for text, first, line in lines_with(t, hit):
+            base = int(t.code_points[first] - t.code_points[t.offsets[text]])
+            out[text] += [(place, kind, base + a, base + b) for a, b in spans(line) if test(line[a:b])]
+    return out
 
 
 @dataclass
@@ -96,12 +134,14 @@ class Candidate:
 def candidates(t: Texts) -> list[Candidate]:
     """Spans of the looser forms, in code points of their text."""
     marks, out = _byte_marks(t), []
-    for kind, pattern, hit in (("m", MAIL_LIKE, marks["loose"]), ("n", NUMBER_LIKE, marks["digit"])):
+    loose = lambda line: mails(line, LOOSE_AT, LOOSE_DOMAIN)
+    numbers = lambda line: (m.span() for m in NUMBER_LIKE.finditer(line))
+    for kind, spans, hit in (("m", loose, marks["loose"]), ("n", numbers, marks["digit"])):
         for text, first, line in lines_with(t, hit):
             base = int(t.code_points[first] - t.code_points[t.offsets[text]])
-            for m in pattern.finditer(line):
-                words = [w.strip(".,:;()\"'=").lower() for w in line[max(0, m.start() - 48) : m.start()].split()[-3:]]
-                out.append(Candidate(kind, text, base + m.start(), base + m.end(), m[0], words, line[m.end() : m.end() + 1]))
+            for a, b in spans(line):
+                words = [w.strip(".,:;()\"'=").lower() for w in line[max(0, a - 48) : a].split()[-3:]]
+                out.append(Candidate(kind, text, base + a, base + b, line[a:b], words, line[b : b + 1]))
     return out
 
 

@@ -168,6 +168,48 @@ def test_recurrent_network_starts_at_frequencies_and_learns():
     assert gru.score(p, ids, offsets, 70, window=7) == pytest.approx(got)
 
 
+def test_lanes_hold_every_sequence_once():
+    rng = np.random.default_rng(12)
+    sequences = [rng.integers(1, 9, n).astype(np.int32) for n in [3, 1, 900, 40, 7, 7, 20_000, 2]]
+    ids, begins, length = gru.lanes(sequences, 3)
+    assert (np.diff(length) <= 0).all() and length.sum() == sum(map(len, sequences)) and len(ids) == length[0]
+    found = []
+    for j, n in enumerate(length.tolist()):
+        cuts = np.flatnonzero(begins[:n, j])
+        assert cuts[0] == 0 and not begins[n:, j].any()
+        found += [x.tolist() for x in np.split(ids[:n, j], cuts[1:])]
+    assert sorted(found) == sorted(x[a : a + gru.SEGMENT].tolist() for x in sequences for a in range(0, len(x), gru.SEGMENT))
+
+
+def test_gradient_through_time_with_sequences_end_to_end(monkeypatch):
+    """One window over three sequences in two lanes, against differences of the summed scores."""
+    p = {k: v.astype(np.float64) for k, v in gru.start(np.full(40, 10.0), np.array([5.0])).items()}
+    rng = np.random.default_rng(13)
+    p["classes"], p["words"] = rng.normal(0, 0.5, p["classes"].shape), rng.normal(0, 0.5, p["words"].shape)
+    sequences = [rng.integers(0, 41, n) for n in (9, 4, 3)]
+    ids, offsets = np.concatenate(sequences), np.array([0, 9, 13, 16])
+    moments = {}
+    gru.train(p, sequences, 40, moments, window=32, width=2, rate=0.0)
+    e = 1e-3
+    for k, at in (("state", (2, 5)), ("state", (7, 40)), ("state", (3, 20)), ("input", (int(ids[1]), 3)), ("input", (int(ids[10]), 40))):
+        up, down = ({n: v.copy() for n, v in p.items()} for _ in range(2))
+        up[k][at] += e
+        down[k][at] -= e
+        # The state that sequences start with is not trained, so it is held.
+        held = gru._step(p, p["input"][-1:], np.zeros((1, gru.HIDDEN)))[0]
+        value = []
+        for q in (up, down):
+            total = 0.0
+            for x in sequences:
+                h = held
+                for i in x:
+                    total += gru._outputs(q, h, np.array([i]), 40)[0][0]
+                    h = gru._step(q, q["input"][[i]], h)[0]
+            value.append(total)
+        got = moments[f"first {k}"][at] / 0.1 * len(ids)
+        assert got == pytest.approx(-(value[0] - value[1]) / (2 * e), rel=2e-2, abs=2e-4)
+
+
 def test_gradient_of_the_network():
     p = {k: v.astype(np.float64) for k, v in gru.start(np.full(40, 10.0), np.array([5.0])).items()}
     rng = np.random.default_rng(9)
