@@ -4,13 +4,22 @@ Inputs are places in a vocabulary: `n_words` frequent words, then levels (rarer
 how often they occur), then the start of a text. The output is factored: a softmax over
 classes, and for the frequent words one within their class of CLASS_WORDS words. Rarer
 words have a share of their level that does not depend on the state.
+
+In training sequences are laid end to end in lanes of about equal length, which advance side
+by side; the state starts anew where a sequence begins. So no step is spent on padding, and
+a step of numpy serves as many tokens as there are lanes.
 """
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 
 HIDDEN, CLASS_WORDS = 16, 32
+LANES = 256
+CHUNK = 8192  # predictions at a time, so that their class probabilities stay in the cache
+SEGMENT = 8192  # tokens over which the state is carried in training
 Params = dict[str, np.ndarray]
 
 
@@ -61,29 +70,48 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
 def _outputs(p: Params, h: np.ndarray, ids: np.ndarray, n_words: int, grad: Params | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural log-probability of each id given the state before it; with `grad`, also
     the gradient by the state, and gradients of the weights are added to it."""
+    out = np.empty(len(ids))
+    back = None if grad is None else np.empty_like(h)
+    for a in range(0, len(ids), CHUNK):
+        own = slice(a, a + CHUNK)
+        out[own], d = _some_outputs(p, h[own], ids[own], n_words, grad)
+        if back is not None:
+            back[own] = d
+    return out, back
+
+
+def _some_outputs(p: Params, h: np.ndarray, ids: np.ndarray, n_words: int, grad: Params | None) -> tuple[np.ndarray, np.ndarray | None]:
     label = classes_of(ids, n_words)
     rows = np.arange(len(ids))
-    logp = _log_softmax(h @ p["classes"] + p["class_bias"])
-    out = logp[rows, label].astype(np.float64)
+    x = h @ p["classes"]
+    x += p["class_bias"]
+    # A state is within -1 and 1, so weights that are small keep the exponentials in range.
+    if np.abs(p["classes"]).sum(0).max() + np.abs(p["class_bias"]).max() > 60 or np.abs(h).max(initial=0) > 1:
+        x -= x.max(1, keepdims=True)
+    out = x[rows, label].astype(np.float64)
+    np.exp(x, out=x)
+    total = x.sum(1)
+    out -= np.log(total)
     back = None
     if grad is not None:
-        d = np.exp(logp)
-        d[rows, label] -= 1
-        grad["classes"] += h.T @ d
-        grad["class_bias"] += d.sum(0)
-        back = d @ p["classes"].T
+        x /= total[:, None]
+        x[rows, label] -= 1
+        grad["classes"] += h.T @ x
+        grad["class_bias"] += x.sum(0)
+        back = x @ p["classes"].T
     order = np.argsort(label, kind="stable")
     edges = np.searchsorted(label[order], np.arange(len(p["words"]) + 1))
     for c in range(len(p["words"])):
         at = order[edges[c] : edges[c + 1]]
         if len(at):
-            inner = _log_softmax(h[at] @ p["words"][c] + p["word_bias"][c])
-            place = ids[at] - c * CLASS_WORDS
-            out[at] += inner[np.arange(len(at)), place]
+            state = h[at]
+            inner = _log_softmax(state @ p["words"][c] + p["word_bias"][c])
+            place, row = ids[at] - c * CLASS_WORDS, rows[: len(at)]
+            out[at] += inner[row, place]
             if grad is not None:
                 d = np.exp(inner)
-                d[np.arange(len(at)), place] -= 1
-                grad["words"][c] += h[at].T @ d
+                d[row, place] -= 1
+                grad["words"][c] += state.T @ d
                 grad["word_bias"][c] += d.sum(0)
                 back[at] += d @ p["words"][c].T
     return out, back
@@ -123,59 +151,99 @@ def score(p: Params, ids: np.ndarray, offsets: np.ndarray, n_words: int, window:
     return out
 
 
-def train(p: Params, sequences: list[np.ndarray], n_words: int, window: int = 32, batch: int = 64, rate: float = 0.01) -> Params:
+def lanes(sequences: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sequences, the longest first, each at the end of the lane that is shortest then.
+
+    Returns ids and marks of beginnings by (step, lane), and the lengths of the lanes, falling.
+    """
+    pieces = [x[a : a + SEGMENT] for x in sequences for a in range(0, len(x), SEGMENT)]
+    order = sorted(range(len(pieces)), key=lambda i: (-len(pieces[i]), i))
+    load = [(0, j) for j in range(min(width, len(pieces)))]
+    own: list[list[int]] = [[] for _ in load]
+    for i in order:
+        size, j = load[0]
+        own[j].append(i)
+        heapq.heapreplace(load, (size + len(pieces[i]), j))
+    length = np.array([sum(len(pieces[i]) for i in x) for x in own], np.int64)
+    rank = np.argsort(-length, kind="stable")
+    ids = np.zeros((int(length.max(initial=0)), len(own)), np.int32)
+    begins = np.zeros(ids.shape, bool)
+    for j, lane in enumerate(rank.tolist()):
+        at = 0
+        for i in own[lane]:
+            ids[at : at + len(pieces[i]), j] = pieces[i]
+            begins[at, j] = True
+            at += len(pieces[i])
+    return ids, begins, length[rank]
+
+
+def _add_rows(to: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+    """to[ids] += rows, where ids may repeat."""
+    order = np.argsort(ids, kind="stable")
+    ordered = ids[order]
+    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    to[ordered[first]] += np.add.reduceat(rows[order], first, axis=0)
+
+
+def train(p: Params, sequences: list[np.ndarray], n_words: int, moments: Params | None = None, window: int = 32, width: int = LANES, rate: float = 0.01) -> Params:
     """One pass of truncated backpropagation over the sequences, by Adam.
 
-    Sequences of a batch run side by side; gradients stop at the edges of a window,
-    the state does not.
+    Gradients stop at the edges of a window, the state does not. `moments` is what Adam knows
+    of earlier sequences; it is changed in place, so that a pass can be made in several calls.
     """
     p = {k: v.copy() for k, v in p.items()}
-    first = {k: np.zeros_like(v) for k, v in p.items()}
-    second = {k: np.zeros_like(v) for k, v in p.items()}
-    blank, updates = len(p["input"]) - 1, 0
-    sequences = sorted(sequences, key=lambda x: (len(x), x.tobytes()))
-    batches = [sequences[i : i + batch] for i in range(0, len(sequences), batch)]
-    order = np.random.Generator(np.random.PCG64(1)).permutation(len(batches))
-    for b in order:
-        own = batches[b]
-        length = max(map(len, own))
-        ids = np.zeros((length, len(own)), np.int64)
-        live = np.zeros((length, len(own)), bool)
-        for j, x in enumerate(own):
-            ids[: len(x), j], live[: len(x), j] = x, True
-        h = _step(p, np.repeat(p["input"][blank : blank + 1], len(own), 0), np.zeros((len(own), HIDDEN), np.float32))[0]
-        for at in range(0, length, window):
-            here = range(at, min(at + window, length))
-            grad = {k: np.zeros_like(v) for k, v in p.items()}
-            kept, states = [], []
-            for t in here:
-                states.append(h)
-                a = p["input"][ids[t]]
-                new, r, z, n, g = _step(p, a, h)
-                kept.append((r, z, n, g))
-                h = np.where(live[t][:, None], new, h)
-            mask = live[at : at + window].reshape(-1)
-            flat = np.concatenate(states)
-            _, back = _outputs(p, flat[mask], ids[at : at + window].reshape(-1)[mask], n_words, grad)
-            outward = np.zeros_like(flat)
-            outward[mask] = back
-            outward = outward.reshape(len(states), len(own), HIDDEN)
-            dh = np.zeros((len(own), HIDDEN), np.float32)
-            for k in range(len(states) - 1, -1, -1):
-                (r, z, n, g), on = kept[k], live[at + k][:, None]
-                d = np.where(on, dh, 0)
-                dn = d * (1 - z) * (1 - n * n)
-                dz = d * (states[k] - n) * z * (1 - z)
-                dr = dn * g * r * (1 - r)
-                inner = np.concatenate((dr, dz, dn * r), 1)
-                np.add.at(grad["input"], ids[at + k], np.concatenate((dr, dz, dn), 1))
-                grad["state"] += states[k].T @ inner
-                dh = np.where(on, d * z + inner @ p["state"].T, dh) + outward[k]
-            updates += 1
-            scale = 1 / max(mask.sum(), 1)
-            for k in p:
-                g = np.clip(grad[k] * scale, -1, 1)
-                first[k] += 0.1 * (g - first[k])
-                second[k] += 0.01 * (g * g - second[k])
-                p[k] -= rate * (first[k] / (1 - 0.9**updates)) / (np.sqrt(second[k] / (1 - 0.99**updates)) + 1e-6)
+    moments = {} if moments is None else moments
+    for k, v in p.items():
+        moments.setdefault(f"first {k}", np.zeros_like(v))
+        moments.setdefault(f"second {k}", np.zeros_like(v))
+    sequences = [x for x in sequences if len(x)]
+    if not sequences:
+        return p
+    blank = len(p["input"]) - 1
+    ids, begins, length = lanes(sequences, width)
+    active = np.searchsorted(-length, -np.arange(len(ids)), "left")
+    h = np.zeros((ids.shape[1], HIDDEN), np.float32)
+    for at in range(0, len(ids), window):
+        start_state = _step(p, p["input"][blank : blank + 1], np.zeros((1, HIDDEN), np.float32))[0]
+        grad = {k: np.zeros_like(v) for k, v in p.items()}
+        kept, states, tokens = [], [], []
+        for t in range(at, min(at + window, len(ids))):
+            m = int(active[t])
+            before = h[:m]
+            if begins[t, :m].any():
+                before = np.where(begins[t, :m, None], start_state, before)
+            now = ids[t, :m]
+            h, r, z, n, g = _step(p, p["input"][now], before)
+            states.append(before)
+            tokens.append(now)
+            kept.append((r, z, n, g, begins[t, :m]))
+        flat, told = np.concatenate(states), np.concatenate(tokens)
+        _, outward = _outputs(p, flat, told, n_words, grad)
+        ends = np.cumsum([len(x) for x in states])
+        into = np.empty((len(told), 3 * HIDDEN), np.float32)
+        inner = np.empty_like(into)
+        dh = np.zeros((0, HIDDEN), np.float32)
+        for k in range(len(states) - 1, -1, -1):
+            r, z, n, g, new = kept[k]
+            m = len(n)
+            own = slice(ends[k] - m, ends[k])
+            d = np.zeros((m, HIDDEN), np.float32)
+            d[: len(dh)] = dh
+            dn = d * (1 - z) * (1 - n * n)
+            dr = dn * g * r * (1 - r)
+            dz = d * (states[k] - n) * z * (1 - z)
+            np.concatenate((dr, dz, dn), 1, out=into[own])
+            np.concatenate((dr, dz, dn * r), 1, out=inner[own])
+            dh = d * z + inner[own] @ p["state"].T + outward[own]
+            # What led to the state that a sequence starts with belongs to another one.
+            dh[new] = 0
+        grad["state"] += flat.T @ inner
+        _add_rows(grad["input"], told, into)
+        moments["updates"] = moments.get("updates", 0) + 1
+        for k in p:
+            g = np.clip(grad[k] / len(told), -1, 1)
+            first, second = moments[f"first {k}"], moments[f"second {k}"]
+            first += 0.1 * (g - first)
+            second += 0.01 * (g * g - second)
+            p[k] -= rate * (first / (1 - 0.9 ** moments["updates"])) / (np.sqrt(second / (1 - 0.99 ** moments["updates"])) + 1e-6)
     return p

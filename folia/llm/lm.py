@@ -1,16 +1,19 @@
 """Language model scores: a gated recurrent network over factored word classes, on top of
 exact counts of all training documents.
 
-1. Texts are tokenized (A-Z lower-cased; words, then one end). Every block of about
-   BLOCK_ROWS documents sends its distinct words once, with their training counts; the
+1. Texts are tokenized (A-Z lower-cased; words, then one end). Every block of documents (of
+   BLOCK_ROWS at most, fewer of long ones, so that a block has some BLOCK_BYTES) sends its distinct words once, with their training counts; the
    task that holds a word replies to all blocks that asked. No vocabulary is
    collected, broadcast or held by one task.
 2. With the replies, each block scores the base model and turns its tokens into places
-   in the network's vocabulary: the `n_words` most frequent words, else a level (how often
-   the word occurs, by powers of two; seen once or never is the first level).
+   in the network's vocabulary: the most frequent words, else a level (how often the word
+   occurs, by powers of two; seen once or never is the first level). The vocabulary grows with
+   the square root of the number of distinct words (`vocabulary`), as classes keep a
+   step's cost near that of its square root.
 3. The network is trained by truncated backpropagation on all training documents, each in
    one of `rounds` (by hash), by TRAINERS tasks side by side or as many more as there are
-   TRAINER_TOKENS in a round. Their weights are averaged after each round.
+   TRAINER_TOKENS in a round. A task has the documents of one trainer, in the order of their ids,
+   so a repeated task learns the same weights. They are averaged after each round.
 4. Every whole document is scored, the state carried from window to window.
 
 Words of one level have a share of it by their count. On the first level, words seen
@@ -38,7 +41,10 @@ from folia.llm import gru
 from folia.llm.bytesops import U64, Texts, chunks, pack
 from folia.llm.common import located, map_arrow, partitions, remainder, written
 
-BLOCK_ROWS = 4096
+BLOCK_ROWS, BLOCK_BYTES = 4096, 1 << 25
+GROUP_TOKENS = 1 << 21  # tokens that a trainer has in memory
+SCORE_TOKENS = 1 << 22
+FEWEST_WORDS, MOST_WORDS = 768, 60_000  # frequent words; a place must fit 16 bits
 TRAINERS, TRAINER_TOKENS = 16, 1 << 21
 FIXED = 2.0**30  # weights are summed as whole parts of one, in whatever order they come
 LEVELS = 40
@@ -100,7 +106,12 @@ def _asking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield emit(b, parts)
 
 
-def _replying(top: int):
+def vocabulary(distinct: float) -> int:
+    """How many frequent words the network tells apart, of so many distinct ones."""
+    return int(min(max(FEWEST_WORDS, 2 * distinct**0.5), MOST_WORDS))
+
+
+def _replying(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Total counts for all that asked, in a partition that has all rows of its words."""
         columns = [[c.to_numpy() for c in b.columns] for b in batches]
@@ -119,7 +130,8 @@ def _replying(top: int):
         size = np.bincount(level[seen], minlength=LEVELS)
         mass = np.bincount(level[seen], total[seen], LEVELS).astype(np.int64)
         yield pack({"kind": np.ones(LEVELS, np.int64), "block": np.full(LEVELS, -1), "word": np.arange(LEVELS), "c": size, "n": mass}, REPLIES)
-        best = np.argsort(-total, kind="stable")[:top]
+        # Words are dealt out by hash, so all partitions have about as many; half as many more are sent.
+        best = np.argsort(-total, kind="stable")[: vocabulary(2.25 * parts * len(distinct))]
         best = best[total[best] > 1]
         yield pack({"kind": np.full(len(best), 2), "block": np.full(len(best), -1), "word": distinct[best], "c": total[best], "n": total[best]}, REPLIES)
 
@@ -179,7 +191,7 @@ def _twos(level_words: np.ndarray, level_mass: np.ndarray) -> int:
 
 def _ids(raw: list[bytes]) -> list[np.ndarray]:
     unpack = zstandard.ZstdDecompressor().decompress
-    return [np.frombuffer(unpack(x), np.uint16).astype(np.int64) for x in raw]
+    return [np.frombuffer(unpack(x), np.uint16).astype(np.int32) for x in raw]
 
 
 def _summing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,6 +206,16 @@ def _summing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pack({"team": np.zeros(len(total), np.int64), "name": list(total), "n": [n for n, _ in total.values()], "value": [v.tobytes() for _, v in total.values()]}, WEIGHTS)
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch with SCORE_TOKENS tokens together, or one longer text."""
+    ends, a = np.cumsum(batch.column("n_tokens").to_numpy()), 0
+    while a < batch.num_rows:
+        before = ends[a - 1] if a else 0
+        b = max(int(np.searchsorted(ends, before + SCORE_TOKENS, "right")), a + 1)
+        yield batch.slice(a, b - a)
+        a = b
+
+
 def train(coded: DataFrame, first: gru.Params, n_words: int, all_tokens: int, rounds: int) -> gru.Params:
     """Rounds of training by tasks side by side; every training document is in one round
     and one task's part of it."""
@@ -201,22 +223,25 @@ def train(coded: DataFrame, first: gru.Params, n_words: int, all_tokens: int, ro
     trainers = max(TRAINERS, -(-all_tokens // (rounds * TRAINER_TOKENS)))
     pool = coded.filter("NOT held_out").withColumn("draw", F.pmod(F.xxhash64("doc_id"), F.lit(rounds)))
     for turn in range(rounds):
-        own = pool.filter(F.col("draw") == turn).select(F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.lit(trainers)).alias("trainer"), "ids")
+        trainer = F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.lit(trainers)).cast("int").alias("trainer")
+        own = pool.filter(F.col("draw") == turn).select(trainer, "doc_id", "ids")
 
         def run(batches: Iterator[pa.RecordBatch], params=params) -> Iterator[pa.RecordBatch]:
-            # A trainer's documents come in batches; one batch is in memory at a time.
-            held: dict[int, gru.Params] = {}
+            weights, moments, k, held, size = params, {}, None, [], 0
             for batch in batches:
-                trainer = batch.column("trainer").to_numpy()
-                raw = batch.column("ids").to_pylist()
-                for k in np.unique(trainer):
-                    seqs = _ids([raw[i] for i in np.flatnonzero(trainer == k)])
-                    held[int(k)] = gru.train(held.get(int(k), params), seqs, n_words)
-            for k, weights in held.items():
+                for raw in batch.column("ids").to_pylist():
+                    held += _ids([raw])
+                    size += len(held[-1])
+                    if size >= GROUP_TOKENS:
+                        weights, held, size = gru.train(weights, held, n_words, moments), [], 0
+                k = batch.column("trainer")[0].as_py() if batch.num_rows else k
+            if k is not None:
+                weights = gru.train(weights, held, n_words, moments)
                 value = [np.rint(v * FIXED).astype(np.int64).tobytes() for v in map(np.float64, weights.values())]
                 yield pack({"team": [k % TRAINERS] * len(weights), "name": list(weights), "n": [1] * len(weights), "value": value}, WEIGHTS)
 
-        taught = map_arrow(own.repartition(trainers, "trainer"), run, WEIGHTS)
+        dealt = own.repartitionById(trainers, "trainer").sortWithinPartitions("doc_id", "ids")
+        taught = map_arrow(dealt, run, WEIGHTS)
         rows = map_arrow(taught.repartition(TRAINERS, "team"), _summing, WEIGHTS).collect()  # at most TRAINERS sets
         if rows:
             n = {k: sum(r.n for r in rows if r["name"] == k) for k in params}
@@ -224,21 +249,30 @@ def train(coded: DataFrame, first: gru.Params, n_words: int, all_tokens: int, ro
     return params
 
 
-def language_model(docs: DataFrame, n_words: int = 768, rounds: int = 2) -> DataFrame:
+def _blocks() -> F.Column:
+    """Documents that lie together in the input and are of like size are a block: a word they
+    share is asked for once, and a block of longer ones has fewer."""
+    most = BLOCK_BYTES // BLOCK_ROWS
+    size = F.coalesce(F.octet_length("text"), F.lit(0)) / most
+    step = F.greatest(F.ceil(F.log2(F.greatest(size, F.lit(1)))), F.lit(0)).cast("int")
+    rows = F.greatest(F.lit(BLOCK_ROWS) / F.pow(F.lit(2.0), step), F.lit(1.0))
+    return F.xxhash64("file", step, F.floor(F.col("row") / rows))
+
+
+def language_model(docs: DataFrame, rounds: int = 2) -> DataFrame:
     """Base score and model score of every document."""
     spark = docs.sparkSession
-    # Documents that lie together in the input are a block: a word they share is asked
-    # for once.
     own = (F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    blocked = located(docs, *own).withColumn("block", F.xxhash64("file", F.floor(F.col("row") / BLOCK_ROWS)))
+    blocked = located(docs, *own).withColumn("block", _blocks())
     blocked = blocked.withColumn("held_out", F.coalesce(remainder(10) == 0, F.lit(True)))
 
-    asked = map_arrow(blocked, _asking, ASKED).repartition(partitions(spark), "word")
-    replies = written(map_arrow(asked, _replying(n_words), REPLIES), "replies")
+    parts = partitions(spark)
+    asked = map_arrow(blocked, _asking, ASKED).repartition(parts, "word")
+    replies = written(map_arrow(asked, _replying(parts), REPLIES), "replies")
     by_level = {r.word: (r.c, r.n) for r in replies.filter("kind = 1").groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n")).collect()}  # LEVELS rows
     words, mass = (np.array([by_level.get(k, (0, 0))[i] for k in range(LEVELS)], np.int64) for i in range(2))
     all_words, all_tokens = int(words.sum()), int(mass.sum())
-    frequent = replies.filter("kind = 2").orderBy(F.desc("c"), "word").limit(n_words).collect()
+    frequent = replies.filter("kind = 2").orderBy(F.desc("c"), "word").limit(vocabulary(all_words)).collect()
     head, head_counts = np.array([r.word for r in frequent], np.int64), np.array([r.c for r in frequent], np.int64)
     for level in levels_of(head_counts):
         words[level] -= 1
@@ -252,8 +286,7 @@ def language_model(docs: DataFrame, n_words: int = 768, rounds: int = 2) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, BLOCK_ROWS):
-                part = batch.slice(a, BLOCK_ROWS)
+            for part in _slices(batch):
                 ids = _ids(part.column("ids").to_pylist())
                 offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids])))
                 states = gru.score(params, np.concatenate(ids), offsets, len(head)) / np.log(10)
