@@ -8,8 +8,8 @@ the histogram best are solved by non-negative least squares, rounded down and he
 to what is there. Rests take places by their rank in their bin. What is left over
 is packed greedily one after another, and cut where a window is full.
 
-Ranks and running sums are taken in salted buckets with offsets from bucket totals, so
-no bin is one task's work. Ids are never shuffled: the checksum of every piece is
+Ranks and running sums are taken in slices by a hash of the piece, with offsets from the totals
+of slices, so no bin is one task's work, and only numbers are sorted. Ids are never shuffled: the checksum of every piece is
 known when a document is tokenized, since a rest carries its running checksums at
 every UNIT tokens and a checksum of a part follows from those of two prefixes.
 
@@ -42,7 +42,9 @@ WINDOW, UNIT, END = 4096, 16, 2
 BINS = WINDOW // UNIT
 # Left over pieces are cut at whole units, so a window may get one unit less one more.
 GREEDY = WINDOW - UNIT
-BUCKET_ROWS = 500_000
+# Ranks and running sums are taken in slices of about so many rows, all bins together; with more
+# than MOST_SLICES of them slices grow, as the totals of the slices of a bin meet in one task.
+SLICE_ROWS, MOST_SLICES = 4096, 1 << 16
 LONG = pa.int64()
 PIECES = pa.schema([("doc_id", LONG), ("start", LONG), ("length", LONG), ("ids_crc32", LONG), ("doc_tokens", LONG), ("bin", LONG), ("marks", pa.binary())])
 PLACED = pa.schema([("doc_id", LONG), ("start", LONG), ("length", LONG), ("ids_crc32", LONG), ("doc_tokens", LONG), ("sequence_id", LONG), ("place", LONG)])
@@ -216,7 +218,11 @@ def combinations(present: np.ndarray) -> list[tuple[int, ...]]:
 
 
 def nnls(a: np.ndarray, b: np.ndarray, tolerance: float = 1e-9) -> np.ndarray:
-    """min |a x - b| over x >= 0, by the active sets of Lawson and Hanson."""
+    """min |a x - b| over x >= 0, by the active sets of Lawson and Hanson.
+
+    Ends after three times as many steps as there are rows or columns, whichever are fewer, if the
+    optimum is not found by then; what it leaves over is packed greedily.
+    """
     x = np.zeros(a.shape[1])
     passive = np.zeros(a.shape[1], bool)
     for _ in range(3 * min(a.shape)):
@@ -267,18 +273,23 @@ def plan(histogram: dict[int, int]) -> list[tuple[tuple[int, ...], int]]:
     return chosen
 
 
-def _salted(df: DataFrame, n: int) -> tuple[DataFrame, list[str]]:
-    return df.withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(max(1, n // BUCKET_ROWS)))), ["salt"]
-
+def _running(df: DataFrame, keys: list[str], n: int, weight: str | None, name: str) -> DataFrame:
+    """`df` with the sum of `weight` (1 if None) over the rows before, by `keys`, in an order that
+    is a hash of uid and uid.
 
-def _running(df: DataFrame, keys: list[str], n: int, weight: F.Column, name: str) -> DataFrame:
-    """The sum of `weight` over the rows before, by `keys`, in the order of salt and uid."""
-    salted, salt = _salted(df.withColumn("_w", weight), n)
+    Only uid, keys and weights are sorted, in groups of SLICE_ROWS or so whatever the key; the sums
+    are then joined to the rows.
+    """
+    slices = min(max(1, n // SLICE_ROWS), MOST_SLICES)
+    each = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
+    slim = df.select("uid", *keys, each.alias("_w"), F.pmod(F.xxhash64("uid"), F.lit(slices)).alias("_slice"))
     before = (Window.unboundedPreceding, -1)
-    totals = salted.groupBy(*keys, *salt).agg(F.sum("_w").alias("_total"))
-    offsets = totals.withColumn("_offset", F.coalesce(F.sum("_total").over(Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*salt).rowsBetween(*before)), F.lit(0))).drop("_total")
-    inside = F.coalesce(F.sum("_w").over(Window.partitionBy(*keys, *salt).orderBy("uid").rowsBetween(*before)), F.lit(0))
-    return salted.join(offsets, [*keys, *salt]).withColumn(name, (F.col("_offset") + inside).cast("long")).drop("_w", "_offset", "salt")
+    totals = slim.groupBy(*keys, "_slice").agg(F.sum("_w").alias("_total"))
+    ahead = F.sum("_total").over(Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_slice").rowsBetween(*before))  # a row per slice
+    offsets = totals.withColumn("_offset", F.coalesce(ahead, F.lit(0))).drop("_total")
+    inside = F.coalesce(F.sum("_w").over(Window.partitionBy(*keys, "_slice").orderBy("uid").rowsBetween(*before)), F.lit(0))
+    placed = slim.withColumn("_inside", inside).join(offsets, [*keys, "_slice"])
+    return df.join(placed.select("uid", (F.col("_offset") + F.col("_inside")).cast("long").alias(name)), "uid")
 
 
 def _cut(rows: DataFrame) -> DataFrame:
@@ -315,13 +326,13 @@ def packed(docs: DataFrame, path: str) -> DataFrame:
             used[b] += n
         base += n
     table = spark.createDataFrame(slots or [(-1, 0, 0, 0, 0)], "slot_bin long, low long, high long, base long, place long")
-    ranked = _running(pieces, ["bin"], total, F.lit(1), "rank")
+    ranked = _running(pieces, ["bin"], total, None, "rank")
     fits = (F.col("bin") == F.col("slot_bin")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
     joined = ranked.join(F.broadcast(table), fits, "left")  # at most 3 * BINS rows
     columns = [f.name for f in PLACED]
     placed = joined.filter("low IS NOT NULL").withColumn("sequence_id", F.col("base") + F.col("rank") - F.col("low")).select(*columns)
     rest = joined.filter("low IS NULL").select("uid", "doc_id", "start", "length", "doc_tokens", "marks", F.lit(base).cast("long").alias("base"))
     left = sum(n - used[b] for b, n in histogram.items())
-    everything = placed.unionByName(_cut(_running(rest, [], left, F.col("length"), "at")))
+    everything = placed.unionByName(_cut(_running(rest, [], left, "length", "at")))
     inside = Window.partitionBy("sequence_id").orderBy("place", "doc_id", "start").rowsBetween(Window.unboundedPreceding, -1)
     return everything.withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0)).cast("long")).drop("place")
