@@ -156,7 +156,9 @@ def fit_words(docs: DataFrame, sample: int = 6000, lines: int = 6000) -> crf.Mod
                 rows = [(int(k), index[a:b].tobytes(), labels[a:b].tobytes()) for k, a, b in zip(keys, chain[:-1], chain[1:], strict=True) if b > a]
                 yield pack({f.name: [r[i] for r in rows] for i, f in enumerate(SAMPLE_SCHEMA)}, SAMPLE_SCHEMA)
 
-    seen = map_arrow(id_text(docs).join(F.broadcast(chosen.distinct()), "doc_id"), run, SAMPLE_SCHEMA).dropDuplicates(["line"])
+    seen = map_arrow(id_text(docs).join(F.broadcast(chosen.distinct()), "doc_id"), run, SAMPLE_SCHEMA)
+    # Equal lines of documents of several kinds have other features; the least stand for them.
+    seen = seen.groupBy("line").agg(F.min(F.struct("features", "labels")).alias("least")).select("line", "least.*")
     has = F.instr(F.hex("labels"), "01") > 0
     ranked = seen.filter(has).orderBy("line").limit(lines).unionByName(seen.filter(~has).orderBy("line").limit(lines))
     rows = sorted(ranked.collect(), key=lambda r: r.line)
