@@ -332,23 +332,28 @@ def line_dedup(docs: DataFrame, least: int = 10, index: LineIndex | None = None)
 def without_repeated_lines(docs: DataFrame, least: int = 10) -> DataFrame:
     """`docs` with the remaining text, and its length where `n_chars` is a column.
 
-    A null text stays null.
+    A null text stays null. Whatever the columns are called, they are kept apart from
+    those that are joined to them.
     """
     index = LineIndex.build(docs, least)
-    drops = index.drops().select(F.col("doc_id").alias("_drop_id"), "drop_low", "drop_high")
-    joined = docs.join(drops, F.col("doc_id").cast("long") == F.col("_drop_id"), "left").drop("_drop_id")
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct("*").alias("doc"))
+    joined = whole.join(index.drops(), "doc_id", "left")
     names = docs.columns
+    text_at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t in chunks(batch.column("text")):
+            doc = batch.column("doc")
+            own = dict(zip(names, doc.flatten(), strict=True))
+            for t in chunks(doc.field(text_at)):
                 rows = batch.slice(t.first, t.last - t.first)
                 kept, _, dropped = _kept(t, rows, least)
-                text = pa.array([x.decode() if s else None for x, s in zip(kept, rows.column("text").is_valid().to_pylist(), strict=True)], pa.string())
-                columns = {name: rows.column(name) for name in names} | {"text": text}
+                columns = {name: column.slice(t.first, t.last - t.first) for name, column in own.items()}
+                columns["text"] = pa.array([x.decode() if s else None for x, s in zip(kept, columns["text"].is_valid().to_pylist(), strict=True)], pa.string())
                 if "n_chars" in names:
-                    fresh = [len(x.decode()) if d else n for x, d, n in zip(kept, dropped.tolist(), rows.column("n_chars").to_pylist(), strict=True)]
-                    columns["n_chars"] = pa.array(fresh, rows.column("n_chars").type)
+                    before = columns["n_chars"]
+                    fresh = [len(x.decode()) if d else n for x, d, n in zip(kept, dropped.tolist(), before.to_pylist(), strict=True)]
+                    columns["n_chars"] = pa.array(fresh, before.type)
                 yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
 
     return joined.mapInArrow(run, docs.schema)
