@@ -19,6 +19,7 @@ import numpy as np
 HIDDEN, CLASS_WORDS = 16, 32
 LANES = 256
 CHUNK = 8192  # predictions at a time, so that their class probabilities stay in the cache
+ROWS = 1024  # texts scored side by side
 SEGMENT = 8192  # tokens over which the state is carried in training
 Params = dict[str, np.ndarray]
 
@@ -51,20 +52,41 @@ def classes_of(ids: np.ndarray, n_words: int) -> np.ndarray:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    out = np.exp(-x)
+    out += 1
+    return np.divide(1, out, out=out)
 
 
 def _step(p: Params, a: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The state after an input with the rows `a` of the input weights, and what led to it."""
     g = h @ p["state"]
     gates = _sigmoid(a[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
-    r, z = gates[:, :HIDDEN], gates[:, HIDDEN:]
-    n = np.tanh(a[:, 2 * HIDDEN :] + r * g[:, 2 * HIDDEN :])
-    return n + z * (h - n), r, z, n, g[:, 2 * HIDDEN :]
-
-
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+    r, z, g = gates[:, :HIDDEN], gates[:, HIDDEN:], g[:, 2 * HIDDEN :]
+    # tanh(x) by the exponential, which numpy has in vector instructions.
+    n = r * g
+    n += a[:, 2 * HIDDEN :]
+    n *= 2
+    n = _sigmoid(n)
+    n *= 2
+    n -= 1
+    new = h - n
+    new *= z
+    new += n
+    return new, r, z, n, g
+
+
+def _normalized(x: np.ndarray, spread: float) -> np.ndarray:
+    """Turns logits into probabilities in place; returns the logarithm of each row's sum (less
+    what was taken off). Logits that are no larger than `spread` need no shift."""
+    shift = None
+    if not spread < 60:
+        shift = x.max(1, keepdims=True)
+        x -= shift
+    np.exp(x, out=x)
+    total = x.sum(1, keepdims=True)
+    x /= total
+    log = np.log(total[:, 0])
+    return log if shift is None else log + shift[:, 0]
 
 
 def _outputs(p: Params, h: np.ndarray, ids: np.ndarray, n_words: int, grad: Params | None = None) -> tuple[np.ndarray, np.ndarray | None]:
@@ -80,75 +102,81 @@ def _outputs(p: Params, h: np.ndarray, ids: np.ndarray, n_words: int, grad: Para
     return out, back
 
 
+def _spread(weights: np.ndarray, bias: np.ndarray, h: np.ndarray) -> float:
+    """How far logits can be from 0, but for those of places that are left empty."""
+    return float(np.abs(weights).sum(-2).max() * np.abs(h).max(initial=0) + np.abs(bias[bias > -1e3]).max(initial=0))
+
+
 def _some_outputs(p: Params, h: np.ndarray, ids: np.ndarray, n_words: int, grad: Params | None) -> tuple[np.ndarray, np.ndarray | None]:
     label = classes_of(ids, n_words)
     rows = np.arange(len(ids))
     x = h @ p["classes"]
     x += p["class_bias"]
-    # A state is within -1 and 1, so weights that are small keep the exponentials in range.
-    if np.abs(p["classes"]).sum(0).max() + np.abs(p["class_bias"]).max() > 60 or np.abs(h).max(initial=0) > 1:
-        x -= x.max(1, keepdims=True)
     out = x[rows, label].astype(np.float64)
-    np.exp(x, out=x)
-    total = x.sum(1)
-    out -= np.log(total)
+    out -= _normalized(x, _spread(p["classes"], p["class_bias"], h))
     back = None
     if grad is not None:
-        x /= total[:, None]
         x[rows, label] -= 1
         grad["classes"] += h.T @ x
         grad["class_bias"] += x.sum(0)
         back = x @ p["classes"].T
-    order = np.argsort(label, kind="stable")
+    order = np.argsort(label.astype(np.uint16), kind="stable")  # sorted by digits
     edges = np.searchsorted(label[order], np.arange(len(p["words"]) + 1))
+    spread = _spread(p["words"], p["word_bias"], h) if len(p["words"]) else 0.0
     for c in range(len(p["words"])):
         at = order[edges[c] : edges[c + 1]]
         if len(at):
             state = h[at]
-            inner = _log_softmax(state @ p["words"][c] + p["word_bias"][c])
+            x = state @ p["words"][c]
+            x += p["word_bias"][c]
             place, row = ids[at] - c * CLASS_WORDS, rows[: len(at)]
-            out[at] += inner[row, place]
+            found = x[row, place]
+            out[at] += found - _normalized(x, spread)
             if grad is not None:
-                d = np.exp(inner)
-                d[row, place] -= 1
-                grad["words"][c] += state.T @ d
-                grad["word_bias"][c] += d.sum(0)
-                back[at] += d @ p["words"][c].T
+                x[row, place] -= 1
+                grad["words"][c] += state.T @ x
+                grad["word_bias"][c] += x.sum(0)
+                back[at] += x @ p["words"][c].T
     return out, back
 
 
 def score(p: Params, ids: np.ndarray, offsets: np.ndarray, n_words: int, window: int = 64) -> np.ndarray:
     """Log-probability of each whole sequence ids[offsets[i]:offsets[i + 1]].
 
-    All advance together, longest first; the state is carried from window to window.
+    Sequences of like length advance together, longest first; the state is carried from window to
+    window. A window has `window` steps, or fewer of many sequences.
     """
     lengths = np.diff(offsets)
     order = np.argsort(-lengths, kind="stable")
-    first, lengths = offsets[:-1][order], lengths[order]
-    longest = int(lengths[0]) if len(lengths) else 0
+    out = np.zeros(len(lengths))
+    for a in range(0, len(order), ROWS):
+        own = order[a : a + ROWS]
+        out[own] = _score_together(p, ids, offsets[:-1][own], lengths[own], n_words, window)
+    return out
+
+
+def _score_together(p: Params, ids: np.ndarray, first: np.ndarray, lengths: np.ndarray, n_words: int, window: int) -> np.ndarray:
+    longest = int(lengths[0])
     active = np.searchsorted(-lengths, -np.arange(longest), "left")
     total = np.zeros(len(lengths))
     blank = len(p["input"]) - 1
-    h = np.zeros((len(lengths), HIDDEN), np.float32)
-    if len(lengths):
-        h = _step(p, np.repeat(p["input"][blank : blank + 1], len(lengths), 0), h)[0]
-    for at in range(0, longest, window):
-        states, tokens, owners = [], [], []
-        for t in range(at, min(at + window, longest)):
-            m = active[t]
-            now = ids[first[:m] + t]
-            states.append(h[:m])
-            tokens.append(now)
-            owners.append(m)
-            h = _step(p, p["input"][now], h[:m])[0]
-        got, _ = _outputs(p, np.concatenate(states), np.concatenate(tokens), n_words)
-        begin = 0
-        for m in owners:
-            total[:m] += got[begin : begin + m]
-            begin += m
-    out = np.zeros(len(lengths))
-    out[order] = total
-    return out
+    h = np.repeat(_step(p, p["input"][blank : blank + 1], np.zeros((1, HIDDEN), np.float32))[0], len(lengths), 0)
+    states, tokens, held = [], [], 0
+    for t in range(longest):
+        m = active[t]
+        now = ids[first[:m] + t]
+        states.append(h[:m])
+        tokens.append(now)
+        held += m
+        if held >= CHUNK or len(states) == window or t + 1 == longest:
+            got, _ = _outputs(p, np.concatenate(states), np.concatenate(tokens), n_words)
+            begin = 0
+            for x in tokens:
+                total[: len(x)] += got[begin : begin + len(x)]
+                begin += len(x)
+            states, tokens, held = [], [], 0
+        h = _step(p, p["input"][now], h[:m])[0]
+    return total
 
 
 def lanes(sequences: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -179,7 +207,7 @@ def lanes(sequences: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarr
 
 def _add_rows(to: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
     """to[ids] += rows, where ids may repeat."""
-    order = np.argsort(ids, kind="stable")
+    order = np.argsort(ids.astype(np.uint16), kind="stable")
     ordered = ids[order]
     first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
     to[ordered[first]] += np.add.reduceat(rows[order], first, axis=0)
@@ -220,23 +248,33 @@ def train(p: Params, sequences: list[np.ndarray], n_words: int, moments: Params
         flat, told = np.concatenate(states), np.concatenate(tokens)
         _, outward = _outputs(p, flat, told, n_words, grad)
         ends = np.cumsum([len(x) for x in states])
-        into = np.empty((len(told), 3 * HIDDEN), np.float32)
-        inner = np.empty_like(into)
-        dh = np.zeros((0, HIDDEN), np.float32)
+        r, z, n, g = (np.concatenate(x) for x in zip(*(k[:4] for k in kept), strict=True))
+        # What the gradient of a state is multiplied with on its way to each gate.
+        to_n, to_r, to_z = (1 - z) * (1 - n * n), g * r * (1 - r), (flat - n) * z * (1 - z)
+        inner = np.empty((len(told), 3 * HIDDEN), flat.dtype)
+        last = np.empty((len(told), HIDDEN), flat.dtype)
+        dh, back = np.zeros((0, HIDDEN), flat.dtype), p["state"].T.copy()
         for k in range(len(states) - 1, -1, -1):
-            r, z, n, g, new = kept[k]
-            m = len(n)
+            new = kept[k][4]
+            m = len(new)
             own = slice(ends[k] - m, ends[k])
-            d = np.zeros((m, HIDDEN), np.float32)
-            d[: len(dh)] = dh
-            dn = d * (1 - z) * (1 - n * n)
-            dr = dn * g * r * (1 - r)
-            dz = d * (states[k] - n) * z * (1 - z)
-            np.concatenate((dr, dz, dn), 1, out=into[own])
-            np.concatenate((dr, dz, dn * r), 1, out=inner[own])
-            dh = d * z + inner[own] @ p["state"].T + outward[own]
+            d = dh
+            if len(dh) < m:
+                d = np.zeros((m, HIDDEN), flat.dtype)
+                d[: len(dh)] = dh
+            dn, gates = last[own], inner[own]
+            np.multiply(d, to_n[own], out=dn)
+            np.multiply(dn, to_r[own], out=gates[:, :HIDDEN])
+            np.multiply(d, to_z[own], out=gates[:, HIDDEN : 2 * HIDDEN])
+            np.multiply(dn, r[own], out=gates[:, 2 * HIDDEN :])
+            dh = gates @ back
+            dh += d * z[own]
+            dh += outward[own]
             # What led to the state that a sequence starts with belongs to another one.
-            dh[new] = 0
+            if new.any():
+                dh[new] = 0
+        into = inner.copy()
+        into[:, 2 * HIDDEN :] = last
         grad["state"] += flat.T @ inner
         _add_rows(grad["input"], told, into)
         moments["updates"] = moments.get("updates", 0) + 1

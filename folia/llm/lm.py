@@ -41,7 +41,8 @@ from folia.llm import gru
 from folia.llm.bytesops import U64, Texts, chunks, pack
 from folia.llm.common import located, map_arrow, partitions, remainder, written
 
-BLOCK_ROWS, BLOCK_BYTES = 4096, 1 << 25
+BLOCK_ROWS, BLOCK_BYTES = 8192, 1 << 27
+OPEN_BLOCKS = 6  # whose words a task gathers at a time
 GROUP_TOKENS = 1 << 21  # tokens that a trainer has in memory
 SCORE_TOKENS = 1 << 22
 FEWEST_WORDS, MOST_WORDS = 768, 60_000  # frequent words; a place must fit 16 bits
@@ -100,7 +101,9 @@ def _asking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = of == b
                 distinct, inverse = np.unique(words[own], return_inverse=True)
                 held.setdefault(int(b), []).append((distinct, np.bincount(inverse, learns[own], len(distinct))))
-        for b in [b for b in held if b != int(block[-1])]:
+        # Blocks go on over several batches, those of like sizes side by side.
+        while len(held) > OPEN_BLOCKS:
+            b = next(iter(held))
             yield emit(b, held.pop(b))
     for b, parts in held.items():
         yield emit(b, parts)
@@ -108,7 +111,7 @@ def _asking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def vocabulary(distinct: float) -> int:
     """How many frequent words the network tells apart, of so many distinct ones."""
-    return int(min(max(FEWEST_WORDS, 2 * distinct**0.5), MOST_WORDS))
+    return int(min(max(FEWEST_WORDS, distinct**0.5), MOST_WORDS))
 
 
 def _replying(parts: int):
@@ -282,7 +285,8 @@ def language_model(docs: DataFrame, rounds: int = 2) -> DataFrame:
     own = replies.filter("kind = 0").select("block", "word", "c")
     coding = _coding(head, head_counts, words, mass, all_tokens, all_words)
     coded = written(packed.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(coding, from_arrow_schema(CODED)), "coded")
-    params = train(coded, gru.start(head_counts.astype(float), mass.astype(float)), len(head), all_tokens, rounds)
+    levels = mass[: int(np.flatnonzero(mass).max(initial=0)) + 1]
+    params = train(coded, gru.start(head_counts.astype(float), levels.astype(float)), len(head), all_tokens, rounds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
