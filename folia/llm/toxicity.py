@@ -9,8 +9,9 @@ Toxic samples are the words of toxic documents whose beginnings are far more
 frequent there than in ordinary ones (`lift`). The weights that turn
 counts of savings into a probability are calibrated on the sample.
 
-The sample is bounded (`sample` labelled documents, a parameter) and leaves out
-documents whose crc32(id) mod 5 is 0. Scores use nothing but the text.
+The sample is bounded by parameters: `sample` labelled documents, those of the lowest hash of their
+id, as far as `sample_bytes` of text go, and `ordinary_words` of the words of ordinary ones, evenly
+taken. It leaves out documents whose crc32(id) mod 5 is 0. Scores use nothing but the text.
 
 Defined results: null and empty texts have no suspect window and get the score
 of such texts. Each input row gives one row. Without labels of both kinds
@@ -148,7 +149,7 @@ def _copies(signatures: np.ndarray, least: float = 0.8) -> np.ndarray:
     return out
 
 
-def _learn(texts: list[tuple[bool, np.ndarray, int]], words: list[bytes], lift: float, size: int) -> Classifier | None:
+def _learn(texts: list[tuple[bool, np.ndarray, int]], words: list[bytes], lift: float, size: int, ordinary_words: int) -> Classifier | None:
     """The dictionaries of labelled texts, given as places in a list of distinct words and
     the group of copies of a text, which counts once; None if nothing sets the classes apart."""
     seen, groups = (Counter(), Counter()), (set(), set())
@@ -164,13 +165,13 @@ def _learn(texts: list[tuple[bool, np.ndarray, int]], words: list[bytes], lift:
     ordinary = np.concatenate([own[~marked[own]] for y, own, _ in texts if not y])
     if not len(toxic):
         return None
-    ordinary = ordinary[:: max(1, len(ordinary) // 60_000)]
+    ordinary = ordinary[:: max(1, len(ordinary) // ordinary_words)]
     toxic, ordinary = ([CARRIER[0][-1:] + words[i] + CARRIER[1][:1] for i in x.tolist()] for x in (toxic, ordinary))
     common, frame, half = _dictionary(ordinary, 8 * size), b"".join(CARRIER), len(ordinary) // 2
     return Classifier(common + _dictionary(toxic, size) + frame, common + _dictionary(ordinary[half : half + len(toxic)] or ordinary, size) + frame)
 
 
-def fit(values: list[tuple[str | None, int]], lift: float = 10.0, size: int = 2048) -> Classifier:
+def fit(values: list[tuple[str | None, int]], lift: float = 10.0, size: int = 2048, ordinary_words: int = 60_000) -> Classifier:
     """The classifier of labelled texts (label 1: toxic).
 
     Dictionaries of two thirds of the texts compress the other third, which
@@ -197,11 +198,11 @@ def fit(values: list[tuple[str | None, int]], lift: float = 10.0, size: int = 20
         here = np.flatnonzero(label == y)
         group[here] = here[_copies(sign[here])]
     words, texts = list(places), list(zip(label.tolist(), own, group.tolist(), strict=True))
-    found = _learn(texts, words, lift, size)
+    found = _learn(texts, words, lift, size, ordinary_words)
     if found is None:
         return Classifier()
     aside = np.arange(len(values)) % 3 == 2
-    taught = _learn([x for x, out in zip(texts, aside, strict=True) if not out], words, lift, size) if 0 < label[aside].sum() < aside.sum() else None
+    taught = _learn([x for x, out in zip(texts, aside, strict=True) if not out], words, lift, size, ordinary_words) if 0 < label[aside].sum() < aside.sum() else None
     use = aside if taught else ~np.zeros_like(aside)
     judge = taught or found
     cache = judge.savings()
@@ -217,10 +218,17 @@ def fit(values: list[tuple[str | None, int]], lift: float = 10.0, size: int = 20
     return found
 
 
-def fit_documents(docs: DataFrame, labels: DataFrame, sample: int = 5000) -> Classifier:
-    """The classifier of at most `sample` labelled documents that are not held out."""
-    rows = labelled_sample(docs, labels, "toxic", sample, remainder(5) != 0).select("doc_id", "text", "label").collect()
-    return fit([(r.text, r.label) for r in sorted(rows, key=lambda r: (r.doc_id, r.text or ""))])
+def fit_documents(docs: DataFrame, labels: DataFrame, sample: int = 5000, sample_bytes: int = 64 << 20) -> Classifier:
+    """The classifier of at most `sample` labelled documents that are not held out, of which as many
+    are taken as `sample_bytes` allow, by the hash of their ids."""
+    rows = labelled_sample(docs, labels, "toxic", sample, remainder(5) != 0)
+    sizes = rows.select(F.xxhash64("doc_id").alias("h"), "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).collect()
+    total = np.cumsum([r["size"] for r in sorted(sizes, key=lambda r: (r["h"], r["doc_id"], r["size"]))])
+    if len(total) and total[-1] > sample_bytes:
+        inside = int(np.searchsorted(total, sample_bytes, "right"))
+        rows = rows.filter(F.col("doc_id").isin([r["doc_id"] for r in sorted(sizes, key=lambda r: (r["h"], r["doc_id"], r["size"]))[:inside]]))
+    found = rows.select("doc_id", "text", "label").collect()
+    return fit([(r.text, r.label) for r in sorted(found, key=lambda r: (r.doc_id, r.text or ""))])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 5000) -> DataFrame:

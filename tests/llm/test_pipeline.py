@@ -9,7 +9,7 @@ import __spark_entry__ as contract
 import corpus_pipeline
 from folia.llm.common import read
 
-from .conftest import WORD  # noqa: F401
+from .conftest import ODD, WORD  # noqa: F401
 from .test_operators import check_packing, plain_classes, plain_lines, sha, shingles, weighted  # noqa: F401
 
 DATA = Path("/root/testdata/sf0.001")
@@ -56,3 +56,25 @@ def test_stages(sent):
                     leaking.add(i)
     assert texts[4].keys() == texts[3].keys() - leaking
     check_packing(frames[4].collect(), list(texts[4].items()))
+
+
+def test_stages_on_odd_and_empty_tables(sent, odd, empty):
+    """Each stage on its own: extra columns with the operators' own names, null and empty texts,
+    null ids, repeated rows, and no rows at all."""
+    rows = [(i, x, "src", "lang", 7, "a", "b", i, k) for k, (i, x) in enumerate(ODD)]
+    schema = "doc_id long, text string, source string, lang string, n_chars long, drop_low string, drop_high string, _drop_id long, _kept_id long"
+    docs = sent.createDataFrame(rows, schema).repartition(3)
+    texts = {i: x for i, x in ODD}
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(sent, docs, str(DATA))
+        assert out.columns == docs.columns
+        kept[name] = out.collect()
+        assert stage(sent, docs.limit(0), str(DATA)).count() == 0
+    assert len(kept["toxicity"]) == len(kept["line_dedup"]) == len(kept["benchmark_decontamination"]) == len(ODD)
+    assert all(r["drop_low"] == "a" and r["drop_high"] == "b" and r["_drop_id"] == r["doc_id"] for rows in kept.values() for r in rows)
+    assert {r.doc_id: r.text for r in kept["toxicity"]} == texts
+    near = sorted((r.doc_id if r.doc_id is not None else -1, r["_kept_id"]) for r in kept["minhash_near_dedup"])
+    assert [i for i, _ in near] == [-1, 1, 2, 4, 6, 7, 8, 9, 10]
+    check_packing(corpus_pipeline.pack_sequences(sent, docs, str(DATA)).collect(), ODD)
+    assert corpus_pipeline.pack_sequences(sent, docs.limit(0), str(DATA)).count() == 0
