@@ -7,7 +7,8 @@ words have a share of their level that does not depend on the state.
 
 In training sequences are laid end to end in lanes of about equal length, which advance side
 by side; the state starts anew where a sequence begins. So no step is spent on padding, and
-a step of numpy serves as many tokens as there are lanes.
+a step of numpy serves as many tokens as there are lanes. States and outputs hold a token per
+column, so that numpy works along long rows.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import numpy as np
 
 HIDDEN, CLASS_WORDS = 16, 32
 LANES = 256
-CHUNK = 8192  # predictions at a time, so that their class probabilities stay in the cache
+CHUNK = 32768  # predictions at a time
 ROWS = 1024  # texts scored side by side
 SEGMENT = 8192  # tokens over which the state is carried in training
 Params = dict[str, np.ndarray]
@@ -51,54 +52,63 @@ def classes_of(ids: np.ndarray, n_words: int) -> np.ndarray:
     return np.where(ids < n_words, ids // CLASS_WORDS, ids - n_words + -(-n_words // CLASS_WORDS))
 
 
+def _picked(x: np.ndarray, places: np.ndarray, axis: int) -> np.ndarray:
+    """Rows or columns at places that are known to exist, which spares numpy the test."""
+    return x.take(places, axis, mode="clip")
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    out = np.exp(-x)
-    out += 1
-    return np.divide(1, out, out=out)
+    """The logistic function, in place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.divide(1, x, out=x)
 
 
 def _step(p: Params, a: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The state after an input with the rows `a` of the input weights, and what led to it."""
-    g = h @ p["state"]
-    gates = _sigmoid(a[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
-    r, z, g = gates[:, :HIDDEN], gates[:, HIDDEN:], g[:, 2 * HIDDEN :]
-    # tanh(x) by the exponential, which numpy has in vector instructions.
+    """The state after an input whose rows of the input weights are the columns of `a`, and what
+    led to it."""
+    g = p["state"].T @ h
+    gates = _sigmoid(g[: 2 * HIDDEN] + a[: 2 * HIDDEN])
+    r, z, g = gates[:HIDDEN], gates[HIDDEN:], g[2 * HIDDEN :]
     n = r * g
-    n += a[:, 2 * HIDDEN :]
-    n *= 2
-    n = _sigmoid(n)
-    n *= 2
-    n -= 1
+    n += a[2 * HIDDEN :]
+    np.tanh(n, out=n)
     new = h - n
     new *= z
     new += n
     return new, r, z, n, g
 
 
+def _start_state(p: Params) -> np.ndarray:
+    """The state after the start of a text, as a column."""
+    return _step(p, p["input"][-1:].T, np.zeros((HIDDEN, 1), p["state"].dtype))[0]
+
+
 def _normalized(x: np.ndarray, spread: float) -> np.ndarray:
-    """Turns logits into probabilities in place; returns the logarithm of each row's sum (less
-    what was taken off). Logits that are no larger than `spread` need no shift."""
+    """Turns columns of logits into probabilities in place; returns the logarithm of each one's sum
+    (less what was taken off). Logits that are no larger than `spread` need no shift."""
     shift = None
     if not spread < 60:
-        shift = x.max(1, keepdims=True)
+        shift = x.max(0)
         x -= shift
     np.exp(x, out=x)
-    total = x.sum(1, keepdims=True)
+    total = x.sum(0)
     x /= total
-    log = np.log(total[:, 0])
-    return log if shift is None else log + shift[:, 0]
+    log = np.log(total)
+    return log if shift is None else log + shift
 
 
 def _outputs(p: Params, h: np.ndarray, ids: np.ndarray, n_words: int, grad: Params | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-    """Natural log-probability of each id given the state before it; with `grad`, also
-    the gradient by the state, and gradients of the weights are added to it."""
+    """Natural log-probability of each id given the state before it, a column of `h`; with `grad`,
+    also the gradient by the state, and gradients of the weights are added to it."""
     out = np.empty(len(ids))
     back = None if grad is None else np.empty_like(h)
     for a in range(0, len(ids), CHUNK):
         own = slice(a, a + CHUNK)
-        out[own], d = _some_outputs(p, h[own], ids[own], n_words, grad)
+        out[own], d = _some_outputs(p, h[:, own], ids[own], n_words, grad)
         if back is not None:
-            back[own] = d
+            back[:, own] = d
     return out, back
 
 
@@ -108,36 +118,45 @@ def _spread(weights: np.ndarray, bias: np.ndarray, h: np.ndarray) -> float:
 
 
 def _some_outputs(p: Params, h: np.ndarray, ids: np.ndarray, n_words: int, grad: Params | None) -> tuple[np.ndarray, np.ndarray | None]:
+    """What `_outputs` says, of so few ids that they are handled together. They are sorted by
+    class, so that the words of a class are found with a run of columns."""
     label = classes_of(ids, n_words)
-    rows = np.arange(len(ids))
-    x = h @ p["classes"]
-    x += p["class_bias"]
-    out = x[rows, label].astype(np.float64)
-    out -= _normalized(x, _spread(p["classes"], p["class_bias"], h))
+    order = np.argsort(label.astype(np.uint16), kind="stable")  # sorted by digits
+    label, ids, h = label[order], ids[order], _picked(h, order, 1)
+    columns = np.arange(len(ids))
+    x = p["classes"].T @ h
+    x += p["class_bias"][:, None]
+    found = x[label, columns].astype(np.float64)
+    found -= _normalized(x, _spread(p["classes"], p["class_bias"], h))
     back = None
     if grad is not None:
-        x[rows, label] -= 1
-        grad["classes"] += h.T @ x
-        grad["class_bias"] += x.sum(0)
-        back = x @ p["classes"].T
-    order = np.argsort(label.astype(np.uint16), kind="stable")  # sorted by digits
-    edges = np.searchsorted(label[order], np.arange(len(p["words"]) + 1))
+        x[label, columns] -= 1
+        grad["classes"] += h @ x.T
+        grad["class_bias"] += x.sum(1)
+        back = p["classes"] @ x
+    edges = np.searchsorted(label, np.arange(len(p["words"]) + 1))
     spread = _spread(p["words"], p["word_bias"], h) if len(p["words"]) else 0.0
     for c in range(len(p["words"])):
-        at = order[edges[c] : edges[c + 1]]
-        if len(at):
-            state = h[at]
-            x = state @ p["words"][c]
-            x += p["word_bias"][c]
-            place, row = ids[at] - c * CLASS_WORDS, rows[: len(at)]
-            found = x[row, place]
-            out[at] += found - _normalized(x, spread)
+        own = slice(edges[c], edges[c + 1])
+        state = h[:, own]
+        if state.shape[1]:
+            x = p["words"][c].T @ state
+            x += p["word_bias"][c][:, None]
+            place, column = ids[own] - c * CLASS_WORDS, columns[: state.shape[1]]
+            picked = x[place, column]
+            found[own] += picked - _normalized(x, spread)
             if grad is not None:
-                x[row, place] -= 1
-                grad["words"][c] += state.T @ x
-                grad["word_bias"][c] += x.sum(0)
-                back[at] += x @ p["words"][c].T
-    return out, back
+                x[place, column] -= 1
+                grad["words"][c] += state @ x.T
+                grad["word_bias"][c] += x.sum(1)
+                back[:, own] += p["words"][c] @ x
+    out = np.empty(len(ids))
+    out[order] = found
+    if back is None:
+        return out, None
+    place = np.empty_like(order)
+    place[order] = columns
+    return out, _picked(back, place, 1)
 
 
 def score(p: Params, ids: np.ndarray, offsets: np.ndarray, n_words: int, window: int = 64) -> np.ndarray:
@@ -159,23 +178,22 @@ def _score_together(p: Params, ids: np.ndarray, first: np.ndarray, lengths: np.n
     longest = int(lengths[0])
     active = np.searchsorted(-lengths, -np.arange(longest), "left")
     total = np.zeros(len(lengths))
-    blank = len(p["input"]) - 1
-    h = np.repeat(_step(p, p["input"][blank : blank + 1], np.zeros((1, HIDDEN), np.float32))[0], len(lengths), 0)
+    h = np.repeat(_start_state(p), len(lengths), 1)
     states, tokens, held = [], [], 0
     for t in range(longest):
         m = active[t]
         now = ids[first[:m] + t]
-        states.append(h[:m])
+        states.append(h[:, :m])
         tokens.append(now)
         held += m
         if held >= CHUNK or len(states) == window or t + 1 == longest:
-            got, _ = _outputs(p, np.concatenate(states), np.concatenate(tokens), n_words)
+            got, _ = _outputs(p, np.concatenate(states, 1), np.concatenate(tokens), n_words)
             begin = 0
             for x in tokens:
                 total[: len(x)] += got[begin : begin + len(x)]
                 begin += len(x)
             states, tokens, held = [], [], 0
-        h = _step(p, p["input"][now], h[:m])[0]
+        h = _step(p, np.ascontiguousarray(_picked(p["input"], now, 0).T), h[:, :m])[0]
     return total
 
 
@@ -210,7 +228,7 @@ def _add_rows(to: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
     order = np.argsort(ids.astype(np.uint16), kind="stable")
     ordered = ids[order]
     first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-    to[ordered[first]] += np.add.reduceat(rows[order], first, axis=0)
+    to[ordered[first]] += np.add.reduceat(_picked(rows, order, 0), first, axis=0)
 
 
 def train(p: Params, sequences: list[np.ndarray], n_words: int, moments: Params | None = None, window: int = 32, width: int = LANES, rate: float = 0.01) -> Params:
@@ -227,56 +245,53 @@ def train(p: Params, sequences: list[np.ndarray], n_words: int, moments: Params
     sequences = [x for x in sequences if len(x)]
     if not sequences:
         return p
-    blank = len(p["input"]) - 1
     ids, begins, length = lanes(sequences, width)
     active = np.searchsorted(-length, -np.arange(len(ids)), "left")
-    h = np.zeros((ids.shape[1], HIDDEN), np.float32)
+    h = np.zeros((HIDDEN, ids.shape[1]), p["state"].dtype)
     for at in range(0, len(ids), window):
-        start_state = _step(p, p["input"][blank : blank + 1], np.zeros((1, HIDDEN), np.float32))[0]
+        start_state = _start_state(p)
         grad = {k: np.zeros_like(v) for k, v in p.items()}
-        kept, states, tokens = [], [], []
-        for t in range(at, min(at + window, len(ids))):
+        steps = range(at, min(at + window, len(ids)))
+        ends = np.cumsum(active[steps.start : steps.stop])
+        told = np.concatenate([ids[t, : active[t]] for t in steps])
+        inputs = np.ascontiguousarray(_picked(p["input"], told, 0).T)
+        flat, r, z, n, g = np.empty((5, HIDDEN, len(told)), h.dtype)
+        for k, t in enumerate(steps):
             m = int(active[t])
-            before = h[:m]
+            own = slice(ends[k] - m, ends[k])
+            before = h[:, :m]
             if begins[t, :m].any():
-                before = np.where(begins[t, :m, None], start_state, before)
-            now = ids[t, :m]
-            h, r, z, n, g = _step(p, p["input"][now], before)
-            states.append(before)
-            tokens.append(now)
-            kept.append((r, z, n, g, begins[t, :m]))
-        flat, told = np.concatenate(states), np.concatenate(tokens)
+                before = np.where(begins[t, :m], start_state, before)
+            flat[:, own] = before
+            h, r[:, own], z[:, own], n[:, own], g[:, own] = _step(p, inputs[:, own], before)
         _, outward = _outputs(p, flat, told, n_words, grad)
-        ends = np.cumsum([len(x) for x in states])
-        r, z, n, g = (np.concatenate(x) for x in zip(*(k[:4] for k in kept), strict=True))
         # What the gradient of a state is multiplied with on its way to each gate.
         to_n, to_r, to_z = (1 - z) * (1 - n * n), g * r * (1 - r), (flat - n) * z * (1 - z)
-        inner = np.empty((len(told), 3 * HIDDEN), flat.dtype)
-        last = np.empty((len(told), HIDDEN), flat.dtype)
-        dh, back = np.zeros((0, HIDDEN), flat.dtype), p["state"].T.copy()
-        for k in range(len(states) - 1, -1, -1):
-            new = kept[k][4]
-            m = len(new)
+        inner = np.empty((3 * HIDDEN, len(told)), h.dtype)
+        last = np.empty((HIDDEN, len(told)), h.dtype)
+        dh = np.zeros((HIDDEN, 0), h.dtype)
+        for k, t in reversed(list(enumerate(steps))):
+            m = int(active[t])
             own = slice(ends[k] - m, ends[k])
             d = dh
-            if len(dh) < m:
-                d = np.zeros((m, HIDDEN), flat.dtype)
-                d[: len(dh)] = dh
-            dn, gates = last[own], inner[own]
-            np.multiply(d, to_n[own], out=dn)
-            np.multiply(dn, to_r[own], out=gates[:, :HIDDEN])
-            np.multiply(d, to_z[own], out=gates[:, HIDDEN : 2 * HIDDEN])
-            np.multiply(dn, r[own], out=gates[:, 2 * HIDDEN :])
-            dh = gates @ back
-            dh += d * z[own]
-            dh += outward[own]
+            if dh.shape[1] < m:
+                d = np.zeros((HIDDEN, m), h.dtype)
+                d[:, : dh.shape[1]] = dh
+            dn, gates = last[:, own], inner[:, own]
+            np.multiply(d, to_n[:, own], out=dn)
+            np.multiply(dn, to_r[:, own], out=gates[:HIDDEN])
+            np.multiply(d, to_z[:, own], out=gates[HIDDEN : 2 * HIDDEN])
+            np.multiply(dn, r[:, own], out=gates[2 * HIDDEN :])
+            dh = p["state"] @ gates
+            dh += d * z[:, own]
+            dh += outward[:, own]
             # What led to the state that a sequence starts with belongs to another one.
+            new = begins[t, :m]
             if new.any():
-                dh[new] = 0
-        into = inner.copy()
-        into[:, 2 * HIDDEN :] = last
-        grad["state"] += flat.T @ inner
-        _add_rows(grad["input"], told, into)
+                dh[:, new] = 0
+        grad["state"] += flat @ inner.T
+        inner[2 * HIDDEN :] = last
+        _add_rows(grad["input"], told, np.ascontiguousarray(inner.T))
         moments["updates"] = moments.get("updates", 0) + 1
         for k in p:
             g = np.clip(grad[k] / len(told), -1, 1)

@@ -196,7 +196,7 @@ def test_gradient_through_time_with_sequences_end_to_end(monkeypatch):
         up[k][at] += e
         down[k][at] -= e
         # The state that sequences start with is not trained, so it is held.
-        held = gru._step(p, p["input"][-1:], np.zeros((1, gru.HIDDEN)))[0]
+        held = gru._step(p, p["input"][-1:].T, np.zeros((gru.HIDDEN, 1)))[0]
         value = []
         for q in (up, down):
             total = 0.0
@@ -204,7 +204,7 @@ def test_gradient_through_time_with_sequences_end_to_end(monkeypatch):
                 h = held
                 for i in x:
                     total += gru._outputs(q, h, np.array([i]), 40)[0][0]
-                    h = gru._step(q, q["input"][[i]], h)[0]
+                    h = gru._step(q, q["input"][[i]].T, h)[0]
             value.append(total)
         got = moments[f"first {k}"][at] / 0.1 * len(ids)
         assert got == pytest.approx(-(value[0] - value[1]) / (2 * e), rel=2e-2, abs=2e-4)
@@ -213,7 +213,7 @@ def test_gradient_through_time_with_sequences_end_to_end(monkeypatch):
 def test_gradient_of_the_network():
     p = {k: v.astype(np.float64) for k, v in gru.start(np.full(40, 10.0), np.array([5.0])).items()}
     rng = np.random.default_rng(9)
-    h, ids = rng.normal(size=(12, gru.HIDDEN)), rng.integers(0, 41, 12)
+    h, ids = rng.normal(size=(gru.HIDDEN, 12)), rng.integers(0, 41, 12)
     grad = {k: np.zeros_like(v) for k, v in p.items()}
     _, back = gru._outputs(p, h, ids, 40, grad)
     e = 1e-6
