@@ -69,9 +69,9 @@ def pack(
     if scalar:
         items = F.transform(items, lambda x: x[fields[0]])
     # Arrays only grow when combined before a shuffle, so rows are shuffled
-    # bare; grouping and the join to the parents then stay in place.
+    # bare, by `number_parts`; grouping and the join to the parents then stay in place.
     group = inner if parts is None else [*inner, "part"]
-    rows = numbered.repartition(*group).groupBy(*group).agg(items.alias(name))
+    rows = numbered.groupBy(*group).agg(items.alias(name))
     if parts is None:
         rows = rows.withColumn("part", F.lit(0).cast("long"))
     else:
@@ -89,7 +89,13 @@ def attach(parents: DataFrame, packs: Sequence[Pack]) -> DataFrame:
     if any(list(p.keys) != keys for p in packs):
         raise ValueError("packs must share the parent key")
     several = [p.parts.select(*keys, "_parts") for p in packs if p.parts is not None]
-    docs, on = (in_parts(parents, keys, several), [*keys, "part"]) if several else (parents, keys)
+    docs, on = parents, keys
+    if several:
+        # The numbers are joined while there are neither parts nor arrays.
+        for p in packs:
+            if p.total:
+                docs = docs.join(p.counts, keys, "left").withColumnRenamed("_rows", f"_rows_{p.name}")
+        docs, on = in_parts(docs, keys, several), [*keys, "part"]
     names = []
     for p in packs:
         rows = p.rows if several else p.rows.drop("part")
@@ -98,8 +104,7 @@ def attach(parents: DataFrame, packs: Sequence[Pack]) -> DataFrame:
         names.append(p.name)
         if p.total:
             # With one part each, the array is all there is.
-            docs = docs.join(p.counts, keys, "left") if several else docs.withColumn("_rows", F.size(p.name))
-            docs = docs.withColumn(p.total, F.coalesce("_rows", F.lit(0)).cast("long")).drop("_rows")
+            docs = docs.withColumn(p.total, F.coalesce(f"_rows_{p.name}", F.lit(0)).cast("long") if several else F.size(p.name).cast("long"))
             names.append(p.total)
     if not several:
         docs = docs.withColumn("part", F.lit(0).cast("long"))
@@ -109,9 +114,10 @@ def attach(parents: DataFrame, packs: Sequence[Pack]) -> DataFrame:
 def in_parts(parents: DataFrame, keys: Sequence[str], several: Sequence[DataFrame]) -> DataFrame:
     """The parents once per `part`, as many as the most that any of `several` (keys, _parts) asks for."""
     most = reduce(DataFrame.unionByName, several).groupBy(*keys).agg(F.max("_parts").alias("_parts"))
-    further = most.select(*keys, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_parts") - 1)).alias("part"))
-    docs = parents.withColumn("part", F.lit(0).cast("long"))
-    return docs.unionByName(parents.join(further, list(keys)).select(*parents.columns, "part"))
+    last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
+    docs = parents.join(most, list(keys), "left")
+    own = [c for c in parents.columns if c != "part"]
+    return docs.select(*own, F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("part"))
 
 
 def embed_sets(parents: DataFrame, children: DataFrame, keys: Sequence[str], arrays: dict[str, Column], *, part_size: int) -> DataFrame:
@@ -138,9 +144,9 @@ def embed_sets(parents: DataFrame, children: DataFrame, keys: Sequence[str], arr
         present = reduce(Column.__or__, [F.col("_i")[n].isNotNull() for n in names])
         inner = [f"_k{i}" for i in range(len(keys))]
         distinct = items.filter(present).select(*inner, F.col("_i._which").alias("_which"), F.col("_i").alias("_item")).distinct()
-        numbered, parts = number_parts(distinct, [*inner, "_which"], part_size)
+        numbered, parts = number_parts(distinct, [*inner, "_which"], part_size, gather=inner)
         own = lambda i, n: F.when(F.col("_which") == i, F.col("_item")[n])
-        gathered = numbered.repartition(*inner, "part").groupBy(*inner, "part").agg(*[F.sort_array(F.collect_list(own(i, n))).alias(n) for i, n in enumerate(names)])
+        gathered = numbered.groupBy(*inner, "part").agg(*[F.sort_array(F.collect_list(own(i, n))).alias(n) for i, n in enumerate(names)])
         back = dict(zip(inner, keys))
         sets = sets.withColumn("part", F.lit(0).cast("long")).unionByName(gathered.withColumnsRenamed(back))
         several = [] if parts is None else [parts.withColumnsRenamed(back).select(*keys, "_parts")]

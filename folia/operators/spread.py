@@ -10,8 +10,9 @@ case, the plain Spark operation is used unchanged.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from folia.session import durable, written
@@ -20,6 +21,8 @@ from folia.session import durable, written
 HOT_ROWS = 1_000_000
 # A list of hot keys is broadcast only up to this many keys.
 MAX_HOT_KEYS = 100_000
+# Rows for a task to sort or gather, where the number of tasks is named.
+TASK_ROWS = 250_000
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], count: str = "_n") -> DataFrame:
@@ -155,6 +158,18 @@ def place_by_range(df: DataFrame, order: str, name: str, weight: str | None = No
     return placed.withColumn(name, (F.col("_offset") + F.col("_inside")).cast("long")).drop("_range", "_offset", "_inside")
 
 
+def dealt(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """`df` shuffled by `keys`, with a task per TASK_ROWS of its `rows` and no fewer than configured.
+
+    One setting for tables of any size lets a task grow with the table, and Spark merges what is
+    small when compressed, however many rows that is. Up to HOT_ROWS rows are left to both.
+    """
+    if rows <= HOT_ROWS:
+        return df.repartition(*keys)
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(configured, -(-rows // TASK_ROWS)), *keys)
+
+
 def oversized_keys(df: DataFrame, keys: Sequence[str], weight: Column | None, capacity: int) -> DataFrame | None:
     """Keys whose rows weigh more than `capacity` together, or None when there is none; an action.
 
@@ -162,45 +177,85 @@ def oversized_keys(df: DataFrame, keys: Sequence[str], weight: Column | None, ca
     weight needs; rows are combined before the shuffle. The result is written, so its size is
     known to whoever joins it; there are at most total weight / capacity such keys.
     """
+    return _sized_keys(df, keys, weight, capacity)[0]
+
+
+def _sized_keys(df: DataFrame, keys: Sequence[str], weight: Column | None, capacity: int) -> tuple[DataFrame | None, Row]:
+    """The oversized keys, and how many there are (large), all rows with a key (rows) and the most rows of a key (most)."""
     each = F.lit(1) if weight is None else weight
     counts = df.na.drop(subset=list(keys)).groupBy(*keys).agg(F.sum(each).alias("_n"), F.count(F.lit(1)).alias("_rows"))
-    if (counts.agg(F.max("_n")).first()[0] or 0) <= capacity:
-        return None
-    large = counts.filter(F.col("_n") > capacity)
-    return written(large.select(*keys, "_rows", F.expr(f"(_n + {capacity} - 1) div {capacity}").alias("_parts")), "oversized")
+    over = F.col("_n") > capacity
+    found = counts.agg(
+        F.count_if(over).alias("large"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"), F.max("_rows").alias("most")
+    ).first()
+    if not found.large:
+        return None, found
+    parts = F.expr(f"(_n + {capacity} - 1) div {capacity}").alias("_parts")
+    return written(counts.filter(over).select(*keys, "_rows", parts), "oversized"), found
 
 
 def number_parts(
-    children: DataFrame, keys: Sequence[str], part_size: int, part_bytes: int | None = None
+    children: DataFrame,
+    keys: Sequence[str],
+    part_size: int,
+    part_bytes: int | None = None,
+    gather: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Splits the children of each key into parts of at most `part_size` rows, and with
     `part_bytes` of about so many bytes (a part's last row may pass it).
 
     Returns the children with a `part` column, and the keys that need several parts (with
-    _rows and _parts), or None if all children are in part 0. Keys are counted when this is
+    _rows and _parts), or None if all children are in part 0. The children are dealt out by
+    `gather` (`keys` if not given) and part, to be gathered. Keys are counted when this is
     called. The rows of an oversized key take consecutive places by (hash of the row, row), and
-    the running weight gives the part, so a part depends on the rows of its key alone. Equal
-    rows are counted into one first, so a heap of copies never meets in one task. Rows
-    of all other keys are only passed on.
+    the running weight gives the part, so a part depends on the rows of its key alone.
+
+    A few oversized keys are broadcast: equal rows of theirs are counted into one first, so a heap
+    of copies never meets in one task, and rows of all other keys are only passed on. When there
+    are many, most rows need a place: a task sorts the rows of its keys, and only keys of
+    more than HOT_ROWS rows take the way of the few.
     """
     keys = list(keys)
+    gather = list(gather or keys)
     values = [c for c in children.columns if c not in keys]
     weight, capacity = None, part_size
     if part_bytes is not None:
         size = F.coalesce(F.octet_length(F.to_json(F.struct(*values))), F.lit(0)) if values else F.lit(0)
         weight, capacity = F.greatest(F.lit(part_bytes), size * part_size).cast("long"), part_size * part_bytes
-    parts = oversized_keys(children, keys, weight, capacity)
+    parts, found = _sized_keys(children, keys, weight, capacity)
     first = F.lit(0).cast("long").alias("part")
     if parts is None:
-        return children.select(*children.columns, first), None
-    small = children.join(parts.select(*keys), keys, "left_anti").select(*children.columns, first)
+        return dealt(children.select(*children.columns, first), gather, found.rows), None
     each = (F.lit(1).cast("long") if weight is None else weight).alias("_each")
-    large = children.select(*children.columns, each).join(parts.select(*keys, "_parts"), keys)
-    counted = large.groupBy(*keys, *values).agg(
-        F.count(F.lit(1)).alias("_copies"), F.max("_parts").alias("_parts"), F.max("_each").alias("_each")
-    )
-    bucketed = counted.withColumn("_bucket", F.pmod(F.xxhash64(*values), F.col("_parts")) if values else F.lit(0))
-    placed = running_start(bucketed, keys, "_bucket", values or [F.lit(0)], F.col("_copies") * F.col("_each"), "_start")
-    copies = placed.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
-    numbered = copies.withColumn("part", F.expr(f"(_start + _copy * _each) div {capacity}"))
-    return small.unionByName(numbered.select(*children.columns, "part")), parts
+    hash_of_row = F.xxhash64(*values) if values else F.lit(0)
+    many = found.large > MAX_HOT_KEYS
+    apart, rest = parts, children
+    if many:
+        hot_rows = max(HOT_ROWS, found.rows // MAX_HOT_KEYS)
+        apart = parts.filter(F.col("_rows") > hot_rows) if found.most > hot_rows else None
+        parts = dealt(parts, keys, found.rows)
+    if apart is not None:
+        rest = children.join(F.broadcast(apart.select(*keys)), keys, "left_anti")
+    if many:
+        has_key = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+        in_tasks = dealt(rest.filter(has_key).select(*children.columns, each), keys, found.rows)
+        by_key = Window.partitionBy(*keys)
+        sized = in_tasks.withColumn("_n", F.sum("_each").over(by_key))
+        bucketed = sized.withColumn("_bucket", F.pmod(hash_of_row, F.expr(f"(_n + {capacity} - 1) div {capacity}")))
+        before = by_key.orderBy("_bucket", *values).rowsBetween(Window.unboundedPreceding, -1)
+        placed = bucketed.withColumn("_start", F.coalesce(F.sum("_each").over(before), F.lit(0)))
+        numbered = placed.select(*children.columns, F.expr(f"_start div {capacity}").alias("part"))
+        numbered = numbered.unionByName(rest.filter(~has_key).select(*children.columns, first))
+    else:
+        numbered = rest.select(*children.columns, first)
+    if apart is not None:
+        large = children.select(*children.columns, each).join(F.broadcast(apart.select(*keys, "_parts")), keys)
+        counted = large.groupBy(*keys, *values).agg(
+            F.count(F.lit(1)).alias("_copies"), F.max("_parts").alias("_parts"), F.max("_each").alias("_each")
+        )
+        bucketed = counted.withColumn("_bucket", F.pmod(hash_of_row, F.col("_parts")) if values else F.lit(0))
+        placed = running_start(bucketed, keys, "_bucket", values or [F.lit(0)], F.col("_copies") * F.col("_each"), "_start")
+        copies = placed.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
+        part = F.expr(f"(_start + _copy * _each) div {capacity}").alias("part")
+        numbered = numbered.unionByName(copies.select(*children.columns, part))
+    return dealt(numbered, [*gather, "part"], found.rows), parts

@@ -62,6 +62,26 @@ def test_several_packs_do_not_multiply_even_in_parts(spark, customers):
     ]
 
 
+def test_embed_many_with_many_oversized_keys_loses_nothing(spark, monkeypatch):
+    """Arrays, part numbers and totals are those of few keys, and the join keeps the tasks of the rows."""
+    from folia.operators import spread
+
+    parents = spark.createDataFrame([(k,) for k in [*range(60), None]], "k int")
+    children = spark.createDataFrame([(i % 50, i) for i in range(420)] + [(7, i) for i in range(200)] + [(None, 1)], "k int, v int")
+    embedded = lambda: D.embed_many(parents, children, ["k"], "items", total="n", part_size=3)
+    few = rows(embedded())
+    for name, value in (("MAX_HOT_KEYS", 4), ("HOT_ROWS", 100), ("TASK_ROWS", 50)):
+        monkeypatch.setattr(spread, name, value, raising=False)
+    assert rows(embedded()) == few
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        many = embedded()
+        assert rows(many) == few
+        assert many.rdd.getNumPartitions() >= 620 // 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_embed_one_is_a_null_object_without_match(customers, employees):
     docs = {r["customerNumber"]: r["salesRep"] for r in D.embed_one(customers, employees, "rep", "employeeNumber", "salesRep", ["lastName", "firstName"]).collect()}
     assert docs[1].asDict() == {"lastName": "L", "firstName": "F"}

@@ -89,3 +89,37 @@ def test_parts_depend_on_the_rows_of_their_key_alone(spark, skewed):
 def test_number_parts_leaves_small_keys_alone(skewed):
     parted, parts = spread.number_parts(skewed, ["k"], 1000)
     assert parts is None and rows(parted.drop("part")) == rows(skewed)
+
+
+def test_many_oversized_keys_get_the_same_parts_as_a_few(skewed, monkeypatch):
+    """Whether the keys are broadcast, sorted by the task of their key, or both, as key 1 here."""
+    children = skewed.unionByName(skewed.filter("k is null"))
+    parts_of = lambda: Counter(tuple(r) for r in spread.number_parts(children, ["k"], 3)[0].select("k", "v", "part").collect())
+    few = parts_of()
+    monkeypatch.setattr(spread, "MAX_HOT_KEYS", 3)
+    assert parts_of() == few
+    monkeypatch.setattr(spread, "MAX_HOT_KEYS", 20)
+    monkeypatch.setattr(spread, "HOT_ROWS", 100)
+    assert parts_of() == few
+
+
+def test_parts_by_bytes_are_the_same_for_many_oversized_keys(spark, monkeypatch):
+    data = [(i % 50, "x" * (i % 90), -0.0 if i % 4 else None) for i in range(900)]
+    children = spark.createDataFrame(data, "k int, v string, d double").repartition(5)
+    parts_of = lambda: Counter(tuple(r) for r in spread.number_parts(children, ["k"], 5, 60)[0].select("k", "v", "d", "part").collect())
+    few = parts_of()
+    monkeypatch.setattr(spread, "MAX_HOT_KEYS", 3)
+    assert parts_of() == few
+
+
+@pytest.mark.parametrize("part_size", [3, 1000])
+def test_more_rows_make_more_tasks_and_not_larger_ones(spark, monkeypatch, part_size):
+    """The session has three shuffle partitions, whatever the size of the table."""
+    monkeypatch.setattr(spread, "MAX_HOT_KEYS", 10, raising=False)
+    monkeypatch.setattr(spread, "HOT_ROWS", 500, raising=False)
+    monkeypatch.setattr(spread, "TASK_ROWS", 100, raising=False)
+    for n in (1000, 6000):
+        children = spark.range(n).select((F.col("id") % (n // 5)).alias("k"), "id").repartition(4)
+        parted, _ = spread.number_parts(children, ["k"], part_size)
+        each = [r["count"] for r in parted.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(each) == n and max(each) <= 200
